@@ -1,7 +1,8 @@
 """Suffix stripping after M. F. Porter, "An algorithm for suffix stripping" (1980).
 
-The stemmer runs on a table of distinct words and uses only built-in string
-expressions, one projection per step, so it stays inside generated code. The
+The stemmer is one column of built-in string expressions. Every step binds the
+word it works on once, as the variable of a one-element ``transform``, so the
+expression grows with the number of steps and not with its powers. The
 consonant/vowel tests are the usual regular expressions over word shapes; a
 leading ``y`` is written ``Y`` meanwhile because it always is a consonant.
 
@@ -13,6 +14,7 @@ letter, and the extra endings ``fulli`` and ``logi``.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +47,12 @@ HAS_VOWEL = f"^({_C})?[aeiouy]"
 SHORT = f"^({_C}[aeiouy][^aeiouwxy]|[aeiou][^aeiou])$"  # measure 1, ends consonant-vowel-consonant
 
 
-def _ending(endings) -> str:
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` applied to a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _ending(endings: Iterable[str]) -> str:
     """Pattern that captures the longest of the endings."""
     return "(" + "|".join(sorted(endings, key=len, reverse=True)) + ")$"
 
@@ -58,71 +65,103 @@ def _cut(word: Column, ending: Column) -> Column:
     return F.substr(word, F.lit(1), F.length(word) - F.length(ending))
 
 
-def with_stems(words: DataFrame, token: str = "token", stem: str = "stem") -> DataFrame:
-    """Add the stem of each word; call it on distinct words."""
-    w, e, base = F.col("__w"), F.col("__e"), F.col("__b")
+def _drop(word: Column, count: int) -> Column:
+    return F.substr(word, F.lit(1), F.length(word) - count)
 
-    def ending(frame: DataFrame, pattern: str) -> DataFrame:
-        """Split the current word into ``__b`` and the ending ``__e`` ('' if none fits)."""
-        return frame.withColumn("__e", F.regexp_extract(w, pattern, 1)).withColumn("__b", _cut(w, e))
 
-    def become(frame: DataFrame, value: Column) -> DataFrame:
-        return frame.withColumn("__w", value)
+def _replace(pattern: str, rule: Callable[[Column, Column, Column], Column]) -> Callable[[Column], Column]:
+    """Step that finds an ending ``e`` and lets ``rule(word, base, e)`` decide."""
 
-    out = become(words, F.regexp_replace(F.col(token), "^y", "Y"))
+    def step(word: Column) -> Column:
+        found = F.regexp_extract(word, pattern, 1)
+        return _with(
+            found, lambda e: F.when(e == "", word).otherwise(_with(_cut(word, e), lambda base: rule(word, base, e)))
+        )
 
-    # plurals
-    out = become(
-        out,
-        F.when(w.rlike("^.ies$"), F.regexp_replace(w, "ies$", "ie"))
-        .when(w.rlike("(sses|ies)$"), F.regexp_replace(w, "es$", ""))
-        .when(w.rlike("ss$"), w)
-        .otherwise(F.regexp_replace(w, "s$", "")),
+    return step
+
+
+def _plural(w: Column) -> Column:
+    return (
+        F.when(~w.endswith("s") | w.endswith("ss") & ~w.endswith("sses"), w)
+        .when(w.rlike("^.ies$"), _drop(w, 1))
+        .when(w.rlike("(sses|ies)$"), _drop(w, 2))
+        .otherwise(_drop(w, 1))
     )
-    # past tense and -ing
-    out = ending(out, "(ied|eed|ed|ing)$")
-    shortened = (e.isin("ed", "ing")) & base.rlike(HAS_VOWEL)
-    out = out.withColumn("__cut", shortened)
-    out = become(
-        out,
-        F.when((e == "ied") & (F.length(w) == 4), F.concat(base, F.lit("ie")))
-        .when(e == "ied", F.concat(base, F.lit("i")))
-        .when((e == "eed") & base.rlike(POSITIVE), F.concat(base, F.lit("ee")))
-        .when(F.col("__cut"), base)
-        .otherwise(w),
+
+
+def _past(w: Column, base: Column, e: Column) -> Column:
+    return (
+        F.when(e == "ied", F.concat(base, F.when(F.length(w) == 4, "ie").otherwise("i")))
+        .when(e == "eed", F.when(base.rlike(POSITIVE), _drop(w, 1)).otherwise(w))
+        .when(base.rlike(HAS_VOWEL), _repaired(base))
+        .otherwise(w)
     )
-    out = become(
-        out,
-        F.when(~F.col("__cut"), w)
-        .when(w.rlike("(at|bl|iz)$"), F.concat(w, F.lit("e")))
-        .when(w.rlike(r"([^aeiouy])\1$"), F.regexp_replace(w, r"([^aeiouylsz])\1$", "$1"))
-        .when(w.rlike(SHORT), F.concat(w, F.lit("e")))
-        .otherwise(w),
+
+
+def _repaired(w: Column) -> Column:
+    """A word whose ``ed`` or ``ing`` is gone, made to look like a word again."""
+    return (
+        F.when(w.rlike("(at|bl|iz)$") | w.rlike(SHORT), F.concat(w, F.lit("e")))
+        .when(w.rlike(r"([^aeiouylsz])\1$"), _drop(w, 1))
+        .otherwise(w)
     )
-    # final y
-    out = become(out, F.when(w.rlike("^.+[^aeiouy]y$"), F.regexp_replace(w, "y$", "i")).otherwise(w))
-    # double and simple endings
-    out = become(out, F.when(w.rlike("alli$") & F.regexp_replace(w, "alli$", "").rlike(POSITIVE),
-                             F.regexp_replace(w, "li$", "")).otherwise(w))
-    out = ending(out, _ending(STEP_2))
-    before_logi = F.when(e == "logi", F.concat(base, F.lit("l"))).otherwise(base)
-    out = become(out, F.when((e != "") & before_logi.rlike(POSITIVE),
-                             F.concat(base, F.element_at(_table(STEP_2), e))).otherwise(w))
-    out = ending(out, _ending(STEP_3))
-    out = become(out, F.when((e != "") & base.rlike(POSITIVE),
-                             F.concat(base, F.element_at(_table(STEP_3), e))).otherwise(w))
-    out = ending(out, _ending(STEP_4))
-    out = become(out, F.when((e != "") & base.rlike(ABOVE_ONE) & ((e != "ion") | base.rlike("[st]$")), base).otherwise(w))
-    # final e and double l
-    out = out.withColumn("__b", F.regexp_replace(w, "e$", ""))
-    drops = (base != w) & (base.rlike(ABOVE_ONE) | (base.rlike(POSITIVE) & ~base.rlike(SHORT)))
-    out = become(out, F.when(drops, base).otherwise(w))
-    out = become(out, F.when(w.rlike("ll$") & F.regexp_replace(w, "l$", "").rlike(ABOVE_ONE),
-                             F.regexp_replace(w, "l$", "")).otherwise(w))
-    word = F.col(token)
-    result = (
+
+
+def _final_y(w: Column) -> Column:
+    return F.when(w.rlike("^.+[^aeiouy]y$"), F.concat(_drop(w, 1), F.lit("i"))).otherwise(w)
+
+
+def _alli(w: Column) -> Column:
+    return F.when(w.endswith("alli") & _drop(w, 4).rlike(POSITIVE), _drop(w, 2)).otherwise(w)
+
+
+def _double(w: Column, base: Column, e: Column) -> Column:
+    tested = F.when(e == "logi", F.concat(base, F.lit("l"))).otherwise(base)
+    return F.when(tested.rlike(POSITIVE), F.concat(base, F.element_at(_table(STEP_2), e))).otherwise(w)
+
+
+def _derived(w: Column, base: Column, e: Column) -> Column:
+    return F.when(base.rlike(POSITIVE), F.concat(base, F.element_at(_table(STEP_3), e))).otherwise(w)
+
+
+def _suffix(w: Column, base: Column, e: Column) -> Column:
+    return F.when(base.rlike(ABOVE_ONE) & ((e != "ion") | base.rlike("[st]$")), base).otherwise(w)
+
+
+def _final_e(w: Column, base: Column, e: Column) -> Column:
+    return F.when(base.rlike(ABOVE_ONE) | (base.rlike(POSITIVE) & ~base.rlike(SHORT)), base).otherwise(w)
+
+
+def _final_l(w: Column) -> Column:
+    return F.when(w.endswith("ll") & _drop(w, 1).rlike(ABOVE_ONE), _drop(w, 1)).otherwise(w)
+
+
+STEPS = (
+    _plural,
+    _replace("(ied|eed|ed|ing)$", _past),
+    _final_y,
+    _alli,
+    _replace(_ending(STEP_2), _double),
+    _replace(_ending(STEP_3), _derived),
+    _replace(_ending(STEP_4), _suffix),
+    _replace("(e)$", _final_e),
+    _final_l,
+)
+
+
+def porter_stem(word: Column) -> Column:
+    """Stem of a lower-case word."""
+    stem = F.regexp_replace(word, "^y", "Y")
+    for step in STEPS:
+        stem = _with(stem, step)
+    return (
         F.when(word.isin(*IRREGULAR), F.element_at(_table(IRREGULAR), word))
         .when(F.length(word) <= 2, word)
-        .otherwise(F.lower(w))
+        .otherwise(F.lower(stem))
     )
-    return out.withColumn(stem, result).drop("__w", "__e", "__b", "__cut")
+
+
+def with_stems(words: DataFrame, token: str = "token", stem: str = "stem") -> DataFrame:
+    """Add the stem of each word; call it on distinct words."""
+    return words.withColumn(stem, porter_stem(F.col(token)))

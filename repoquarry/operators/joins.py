@@ -4,46 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
+HOT_KEYS = 1000
 FAN_OUT = 64
 
 
+def key_weights(facts: DataFrame, on: Sequence[str]) -> DataFrame:
+    """How many facts have each key; one map-side combined count over the key columns."""
+    return facts.where(F.col(on[0]).isNotNull()).groupBy(*on).agg(F.count("*").alias("weight"))
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
+    weight: str,
     how: str = "left",
-    hot_share: float = HOT_SHARE,
+    hot_keys: int = HOT_KEYS,
     fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Join facts to a table that is unique on ``on``, hot keys spread over tasks.
 
-    Keys that hold more than ``hot_share`` of the facts are found by a pre-aggregated
-    count; there are fewer than ``1 / hot_share`` of them, so that list may be
-    broadcast whatever the data size. Only their rows in ``dim`` are repeated
-    ``fan_out`` times, and their facts take one of the copies by a hash of
-    ``spread_by``. ``how`` is any join type that keeps the facts on the left.
+    ``weight`` is a column of ``dim`` that says how many facts have the key, or a
+    number in proportion; it is dropped. Keys above ``1 / hot_keys`` of the total are
+    fewer than ``hot_keys``, so that list may be broadcast whatever the data size.
+    Only their rows in ``dim`` are repeated ``fan_out`` times, and their facts take
+    one of the copies by a hash of ``spread_by``. ``how`` keeps the facts on the left.
     """
     on = list(on)
-    counts = facts.groupBy(*on).agg(F.count("*").alias("__n"))
-    total = facts.select(F.count("*")).scalar()
+    # a key with few facts is never hot, however small the table
+    bar = F.greatest(F.sum(weight) / hot_keys, F.lit(10_000))
     hot = F.broadcast(
-        counts.where(F.col("__n") > F.greatest(total * F.lit(hot_share), F.lit(1000))).select(
-            *on, F.lit(fan_out).alias("__copies")
-        )
+        dim.where(F.col(weight) > dim.select(bar).scalar()).select(*on, F.lit(fan_out).alias("__copies"))
     )
-    hash_slot = F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")
+    # null keys find no partner, so they may go anywhere
+    spread = F.col("__copies").isNotNull() | F.col(on[0]).isNull()
+    slot = F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")
     salted = (
         facts.join(hot, on, "left")
-        .withColumn("__salt", F.when(F.col("__copies").isNotNull(), hash_slot).otherwise(0))
+        .withColumn("__salt", F.when(spread, slot).otherwise(0))
         .drop("__copies")
     )
     copies = (
-        dim.join(hot, on, "left")
+        dim.drop(weight)
+        .join(hot, on, "left")
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__copies"), F.lit(1)) - 1)))
         .drop("__copies")
     )
@@ -52,8 +59,8 @@ def lookup_join(
 
 def linked_runs(commits: DataFrame, runs: DataFrame) -> DataFrame:
     """CI runs with the commit they ran on (``sha`` = ``commit_hash``)."""
-    sides = commits.select(F.col("commit_hash").alias("sha"), *[c for c in commits.columns if c != "commit_hash"])
-    return lookup_join(runs.where(F.col("sha").isNotNull()), sides, ["sha"], ["pipeline_id"], "inner")
+    sides = commits.withColumnRenamed("commit_hash", "sha").join(key_weights(runs, ["sha"]), "sha")
+    return lookup_join(runs.where(F.col("sha").isNotNull()), sides, ["sha"], ["pipeline_id"], "weight", "inner")
 
 
 def orphan_parents(parents: DataFrame, commits: DataFrame) -> DataFrame:
@@ -77,16 +84,12 @@ def sampled_issues(issues: DataFrame, sample: DataFrame | None, with_repo: bool
 
 def with_clusters(tokens: DataFrame, clusters: DataFrame, spread_by: Sequence[str]) -> DataFrame:
     """Cluster of each token row; tokens outside the map keep a null cluster."""
-    return lookup_join(tokens, clusters.select("token", "cluster"), ["token"], spread_by)
-
+    known = key_weights(tokens, ["token"]).join(clusters.select("token", "cluster"), "token", "left")
+    return lookup_join(tokens, known, ["token"], spread_by, "weight")
 
-def semi_by(df: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
-    return lookup_join(df, keys.select(*on).distinct(), on, spread_by, "left_semi")
 
-
-def key_condition(left: str, right: str, keys: Sequence[str]) -> Column:
-    """Null-safe equality of two aliased sides on ``keys``."""
-    test = F.lit(True)
-    for key in keys:
-        test = test & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
-    return test
+def semi_by(facts: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
+    """Facts whose key is among ``keys``."""
+    on = list(on)
+    present = key_weights(facts, on).join(keys.select(*on), on, "left_semi")
+    return lookup_join(facts, present, on, spread_by, "weight", "left_semi")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import name_parts, naming_convention
 from ..functions.text import comment_body
-from .joins import lookup_join
+from .joins import key_weights, lookup_join
 
 # Elements that name an identifier and source files that have markup.
 KINDS = {"function": "function", "class": "class", "decl": "variable"}
@@ -143,8 +143,8 @@ def split_units(archives: DataFrame, first: int | None = None) -> DataFrame:
 def function_names(identifiers: DataFrame) -> DataFrame:
     """Functions of each file: how many, and their names one row each in order."""
     functions = identifiers.where(F.col("kind") == "function")
-    counts = functions.groupBy("file_path").agg(F.count("*").alias("n_functions"))
-    return lookup_join(functions.select("file_path", "pos", "name"), counts, ["file_path"], ["pos"], "inner")
+    counts = key_weights(functions, ["file_path"]).withColumn("n_functions", F.col("weight"))
+    return lookup_join(functions.select("file_path", "pos", "name"), counts, ["file_path"], ["pos"], "weight", "inner")
 
 
 def source_files(files: DataFrame, path: str = "file_path", first: int | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ def _before(order: str, partition: Sequence[str]) -> Column:
 
 
 def prefix_counts(points: DataFrame, probes: DataFrame) -> DataFrame:
-    """For each distinct time ``t`` (microseconds): points before it and up to it.
+    """For each distinct time ``t`` (microseconds): points before it, points up to it, probes at it.
 
     ``points`` and ``probes`` have one long column ``t``. Repeated times collapse
     in a pre-aggregated count first. The running total then goes through three
@@ -28,29 +28,28 @@ def prefix_counts(points: DataFrame, probes: DataFrame) -> DataFrame:
     a million distinct microseconds, a day 86,400 seconds, and the single window
     over days has one row per calendar day.
     """
-    marks = points.select("t", F.lit(1).cast("long").alias("n")).unionByName(
-        probes.select("t", F.lit(0).cast("long").alias("n"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    marks = points.select("t", one.alias("n"), none.alias("probes")).unionByName(
+        probes.select("t", none.alias("n"), one.alias("probes"))
     )
     times = (
         marks.where(F.col("t").isNotNull())
         .groupBy("t")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"), F.sum("probes").alias("probes"))
         .withColumn("second", F.col("t") - F.pmod("t", F.lit(_SECOND)))
-        .withColumn("day", F.col("t") - F.pmod("t", F.lit(_DAY)))
+        .withColumn("in_second", _before("t", ["second"]))
     )
-    seconds = times.groupBy("day", "second").agg(F.sum("n").alias("n"))
+    day = F.col("second") - F.pmod("second", F.lit(_DAY))
+    seconds = times.groupBy("second").agg(F.sum("n").alias("n")).withColumn("day", day)
+    seconds = seconds.withColumn("in_day", _before("second", ["day"]))
     days = seconds.groupBy("day").agg(F.sum("n").alias("n"))
     day_start = days.select("day", _before("day", [F.lit(0)]).alias("day_start"))
-    second_start = (
-        seconds.withColumn("in_day", _before("second", ["day"]))
-        .join(day_start, "day")
-        .select("second", (F.col("day_start") + F.col("in_day")).alias("second_start"))
+    second_start = seconds.join(day_start, "day").select(
+        "second", (F.col("day_start") + F.col("in_day")).alias("second_start")
     )
     before = F.col("second_start") + F.col("in_second")
-    return (
-        times.withColumn("in_second", _before("t", ["second"]))
-        .join(second_start, "second")
-        .select("t", before.alias("n_before"), (before + F.col("n")).alias("n_until"))
+    return times.join(second_start, "second").select(
+        "t", before.alias("n_before"), (before + F.col("n")).alias("n_until"), "probes"
     )
 
 
@@ -75,8 +74,8 @@ def count_in_windows(
     framed = intervals.withColumn("__start", micros(start)).withColumn("__end", micros(end))
     probes = framed.select(F.explode(F.array("__start", "__end")).alias("t"))
     counts = prefix_counts(points.select(micros(time).alias("t")), probes)
-    opened = counts.select(F.col("t").alias("__start"), "n_before")
-    closed = counts.select(F.col("t").alias("__end"), "n_until")
-    joined = lookup_join(framed, opened, ["__start"], row_key)
-    joined = lookup_join(joined, closed, ["__end"], row_key)
+    opened = counts.select(F.col("t").alias("__start"), "n_before", "probes")
+    closed = counts.select(F.col("t").alias("__end"), "n_until", "probes")
+    joined = lookup_join(framed, opened, ["__start"], row_key, "probes")
+    joined = lookup_join(joined, closed, ["__end"], row_key, "probes")
     return joined.withColumn(out, F.col("n_until") - F.col("n_before")).drop("__start", "__end", "n_before", "n_until")

@@ -41,7 +41,7 @@ def _same(left: str, right: str) -> Column:
 
 
 def hash_cuts(ordered: DataFrame, group: Column, quota: Column) -> DataFrame:
-    """Per group the place (hash, ids) of the last sampled row: (__group, __cut).
+    """Per group the place (hash, ids) of the last sampled row: (__group, __cut, __size).
 
     ``quota`` is the wanted number of rows as an expression over ``__size``, the
     rows of the group. A group with quota 0 has no row here.
@@ -55,14 +55,14 @@ def hash_cuts(ordered: DataFrame, group: Column, quota: Column) -> DataFrame:
         .withColumn("__before", F.coalesce(F.sum("__n").over(so_far), F.lit(0)))
         .withColumn("__rest", F.least(quota, F.col("__size")) - F.col("__before"))
         .where((F.col("__rest") > 0) & (F.col("__rest") <= F.col("__n")))
-        .select(F.col("__group").alias("__edge_group"), F.col("__bucket").alias("__edge_bucket"), "__rest")
+        .select(F.col("__group").alias("__edge_group"), F.col("__bucket").alias("__edge_bucket"), "__rest", "__size")
     )
     rank = F.row_number().over(Window.partitionBy("__group", "__bucket").orderBy("__place"))
     return (
         placed.join(edges, _same("__group", "__edge_group") & (F.col("__bucket") == F.col("__edge_bucket")))
         .withColumn("__rank", rank)
         .where(F.col("__rank") == F.col("__rest"))
-        .select("__group", F.col("__place").alias("__cut"))
+        .select("__group", F.col("__place").alias("__cut"), "__size")
     )
 
 
@@ -112,13 +112,16 @@ def sample_stratified(
     quota = F.lit(n) if n is not None else F.ceil(F.col("__size") * F.lit(frac))
     cuts = materialize(hash_cuts(ordered, group, quota))
     cuts, small = broadcast_if_small(cuts, max_broadcast_groups)
-    named = F.to_json(F.struct(group.alias("g"))) if not small else None
     if small:
-        cuts = cuts.withColumnRenamed("__group", "__cut_group")
+        cuts = cuts.select(F.col("__group").alias("__cut_group"), "__cut")
         joined = ordered.withColumn("__group", group).join(cuts, _same("__group", "__cut_group"))
     else:
-        keyed = cuts.select(F.to_json(F.struct(F.col("__group").alias("g"))).alias("__name"), "__cut")
-        joined = lookup_join(ordered.withColumn("__name", named), keyed, ["__name"], ["__hash"], "inner")
+        # a null group needs a name to join on; JSON tells it from every value
+        def named(value: Column) -> Column:
+            return F.to_json(F.struct(value.alias("g")))
+
+        dim = cuts.select(named(F.col("__group")).alias("__name"), "__cut", "__size")
+        joined = lookup_join(ordered.withColumn("__name", named(group)), dim, ["__name"], ["__hash"], "__size", "inner")
     return joined.where(F.col("__place") <= F.col("__cut")).select(*columns)
 
 

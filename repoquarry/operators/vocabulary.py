@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stemming import with_stems
 from ..functions.text import STOP_WORDS, keeps_word, words
-from .joins import lookup_join
+from .joins import key_weights, lookup_join
 
 
 def token_rows(
@@ -28,8 +28,8 @@ def token_rows(
 
 def stemmed_rows(tokens: DataFrame, spread_by: Sequence[str]) -> DataFrame:
     """Token rows with each token replaced by its stem, stemming distinct tokens only."""
-    stems = with_stems(tokens.select("token").distinct())
-    joined = lookup_join(tokens, stems, ["token"], spread_by, "inner")
+    stems = with_stems(key_weights(tokens, ["token"]))
+    joined = lookup_join(tokens, stems, ["token"], spread_by, "weight", "inner")
     return joined.drop("token").withColumnRenamed("stem", "token")
 
 
