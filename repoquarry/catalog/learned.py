@@ -8,6 +8,7 @@ from ..operators.vocabulary import stemmed_rows, vocabulary_table
 from ..plans.analyze import analyze
 from ..plans.predict import predict_commit_types
 from ..plans.research import predict_resolution_times
+from ..session import materialize
 from ..sources.tables import read_table
 from . import query
 from .adaptors import COMMITS_SQL, commits, events, issues, token_vec_id, tokens_sql
@@ -92,7 +93,8 @@ def token_vectors(spark, folder, tokens):
 
 
 def document_vocabulary(spark, folder):
-    return vocabulary_table(document_tokens(spark, folder), ["doc_id", "pos"])
+    """Stemmed vocabulary, stored because its tokens also select the vectors."""
+    return materialize(vocabulary_table(document_tokens(spark, folder), ["doc_id", "pos"]))
 
 
 @query("cluster_vocabulary")

@@ -12,15 +12,20 @@ from ..session import materialize
 
 
 def with_vectors(vocabulary: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Add the vector of every token; a token without one gets the zero vector.
+    """Add the vector of every token, the zero vector where there is none; materialized.
 
-    Both sides are unique on the token. The dimension is read off one row.
+    Both sides are unique on the token. The dimension is read off one row. Fits
+    pass over the result many times and spend their time on arithmetic, so it is
+    stored, in as many partitions as the session shuffles into, however few bytes
+    a partition then holds.
     """
     width = vectors.select(F.size("vector")).limit(1).collect()
     dimension = width[0][0] if width else 1
     joined = vocabulary.join(vectors.select("token", "vector"), "token", "left")
     filled = F.coalesce(F.col("vector").cast("array<double>"), F.array_repeat(F.lit(0.0), dimension))
-    return joined.withColumn("vector", filled)
+    spark = vocabulary.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return materialize(joined.withColumn("vector", filled).repartition(parts, "token"))
 
 
 def cluster_vocabulary(
@@ -31,7 +36,7 @@ def cluster_vocabulary(
     Weighting by the frequency ``n`` clusters occurrences without repeating rows.
     With one cluster, or one token, all labels are 0 and there is no model.
     """
-    points = materialize(with_vectors(vocabulary, vectors))
+    points = with_vectors(vocabulary, vectors)
     k = min(k, points.limit(max(k, 1)).count())
     if k <= 1:
         return points.withColumn("cluster", F.lit(0)), None

@@ -18,12 +18,18 @@ class Analysis:
     vocabularies: dict[str, DataFrame]  # token, n, first, vector, cluster
     top: DataFrame  # source, cluster, tokens
     alignment: DataFrame
-    coordinates: dict[str, DataFrame]
-    representatives: dict[str, DataFrame]
 
     def report(self) -> DataFrame:
         return alignment_report(self.top, self.alignment)
 
+    def coordinates(self, source: str) -> DataFrame:
+        """Two principal components of a source's tokens, the points of its scatter plot."""
+        return reduce_dimensions(self.vocabularies[source])
+
+    def representatives(self, source: str) -> DataFrame:
+        """The token that stands for each cluster in the plot."""
+        return representative_tokens(self.coordinates(source))
+
 
 def source_texts(
     commits: DataFrame, identifiers: DataFrame, comments: DataFrame, commit_limit: int | None = None
@@ -55,7 +61,7 @@ def analyze(
     ``vectors`` maps tokens to word vectors. A source without tokens is left out.
     """
     texts = source_texts(commits, identifiers, comments, commit_limit)
-    vocabularies, labelled, tops, coordinates, representatives = {}, None, None, {}, {}
+    vocabularies, labelled, tops = {}, None, None
     for source, rows in texts.items():
         tokens = token_rows(rows, ["key"], "text")
         clustered, _ = cluster_vocabulary(vocabulary_table(tokens, ["key", "pos"]), vectors, k)
@@ -65,13 +71,8 @@ def analyze(
         top = top_tokens(clustered.withColumn("source", F.lit(source)), top_n, ("source", "cluster"))
         labelled = part if labelled is None else labelled.unionByName(part)
         tops = top if tops is None else tops.unionByName(top)
-        if not clustered.isEmpty():
-            coordinates[source] = reduce_dimensions(clustered)
-            representatives[source] = representative_tokens(coordinates[source])
     return Analysis(
         vocabularies,
         top_token_lists(tops, ("source", "cluster")),
         pairwise_alignment(labelled, list(SOURCE_TITLES)),
-        coordinates,
-        representatives,
     )
