@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS
-from ..sources.tables import read_table
+from ..sources.tables import read_table, read_texts
 
 STOP_LIST = ", ".join(f"'{word}'" for word in STOP_WORDS)
 
@@ -83,7 +83,7 @@ issues AS (
 
 def commits(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as commits: a header in several styles, the text as subject and body."""
-    d = read_table(spark, folder, "documents", ["doc_id", "text", "lang", "source"])
+    d = read_texts(spark, folder, "documents", ["doc_id", "text", "lang", "source"])
     style = F.pmod("doc_id", F.lit(4))
     head = (
         F.when(style == 0, F.concat(F.lit("Fix("), "lang", F.lit(")!: ")))
@@ -110,7 +110,7 @@ COMMITS_SQL = """commits AS (
 
 def identifier_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Words of the documents, as written, as identifiers of the file named after the source."""
-    d = read_table(spark, folder, "documents", ["doc_id", "text", "source"])
+    d = read_texts(spark, folder, "documents", ["doc_id", "text", "source"])
     words = F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}_]+)"), 1)
     return d.select(F.col("source").alias("file_path"), "doc_id", F.posexplode(words).alias("pos", "name"))
 

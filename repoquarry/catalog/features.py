@@ -6,8 +6,8 @@ from ..functions.text import FEATURE_LABELS
 from ..operators import modeling
 from ..operators.clustering import representative_tokens
 from ..operators.features import commit_features, issue_features
-from ..operators.vocabulary import vocabulary_table
-from ..sources.tables import read_table
+from ..operators.vocabulary import token_rows, vocabulary_table
+from ..sources.tables import read_table, read_texts
 from . import query
 from .adaptors import ISSUES_SQL, commits, events, issues, token_label, token_vec_id, tokens_sql, vec_id_sql
 from .text import BIN_SQL, COMMITS_SQL, label_sql
@@ -20,7 +20,7 @@ FEATURE_LIST = ", ".join(f"'{label}'" for label in FEATURE_LABELS)
 def labels(spark, folder):
     from ..functions.text import commit_label
 
-    rows = read_table(spark, folder, "documents", ["text"]).select(commit_label(F.col("text")).alias("label"))
+    rows = read_texts(spark, folder, "documents", ["text"]).select(commit_label(F.col("text")).alias("label"))
     return modeling.label_distribution(rows)
 
 
@@ -41,18 +41,13 @@ FROM commits LEFT JOIN counted USING (doc_id), sizes""")
 def commit_feature_rows(spark, folder):
     ids = vocabulary_table(speech_tokens(spark, folder), ["doc_id", "pos"], stem=False)
     notes = vocabulary_table(page_tokens(spark, folder), ["doc_id", "pos"], stem=False)
-    known = document_tokens(spark, folder).select("token").union(ids.select("token")).union(notes.select("token"))
-    lang = read_table(spark, folder, "documents", ["lang", "source"]).select(F.explode(F.array("lang", "source")).alias("token"))
-    vectors = token_label(known.union(lang).union(_header_words(spark)).distinct(), spark, folder)
-    clusters = vectors.where(F.col("label") < 5).withColumnRenamed("label", "cluster")
-    table = commit_features(commits(spark, folder), "doc_id", "message", clusters, 5, ids, notes, stem=False)
+    messages = commits(spark, folder)
+    terms = token_rows(messages, ["doc_id"], "message").select("token").distinct()
+    clusters = token_label(terms, spark, folder).where(F.col("label") < 5).withColumnRenamed("label", "cluster")
+    table = commit_features(messages, "doc_id", "message", clusters, 5, ids, notes, stem=False)
     return table.withColumns({name: F.round(name, 6) for name in table.columns if name not in ("doc_id", "label")})
 
 
-def _header_words(spark):
-    return spark.range(1).select(F.explode(F.array(F.lit("fix"), F.lit("feat"))).alias("token"))
-
-
 @query("issue_features", f"""WITH {ISSUES_SQL},
 living AS (SELECT *, (epoch_us(closed_at) - epoch_us(created_at)) / 1e6 AS seconds FROM issues),
 counted AS (SELECT issue_number, count(c.ts) AS n FROM living i

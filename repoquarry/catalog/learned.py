@@ -9,7 +9,7 @@ from ..plans.analyze import analyze
 from ..plans.predict import predict_commit_types
 from ..plans.research import predict_resolution_times
 from ..session import materialize
-from ..sources.tables import read_table
+from ..sources.tables import read_table, read_texts
 from . import query
 from .adaptors import COMMITS_SQL, commits, events, issues, token_vec_id, tokens_sql
 from .markup import documents as markup_documents
@@ -118,7 +118,7 @@ def study_tables(spark, folder):
 
     cleaned = clean_commits(commits(spark, folder))
     identifiers = markup.extract_identifiers(markup_documents(spark, folder))
-    spoken = read_table(spark, folder, "conversations", ["role", "text"])
+    spoken = read_texts(spark, folder, "conversations", ["role", "text"])
     comments = spoken.select(F.col("role").alias("file_path"), F.col("text").alias("comment_text"))
     vectors = read_table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     words = document_vocabulary(spark, folder).select("token").withColumn("vec_id", token_vec_id(F.col("token")))

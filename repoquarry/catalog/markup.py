@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import markup
 from ..operators.identifiers import file_identifier_dataset
-from ..sources.tables import read_table
+from ..sources.tables import read_texts
 from . import query
 
 # every fiftieth document is cut off and does not parse
@@ -14,7 +14,7 @@ FACTS_SQL = """facts AS (SELECT p_partkey, 'src/' || lower(p_type) || '/P' || p_
 
 
 def facts(spark, folder):
-    p = read_table(spark, folder, "part", ["p_partkey", "p_name", "p_type", "p_brand", "p_size"])
+    p = read_texts(spark, folder, "part", ["p_partkey", "p_name", "p_type", "p_brand", "p_size"])
     return p.select(
         "p_partkey",
         F.concat(F.lit("src/"), F.lower("p_type"), F.lit("/P"), "p_partkey", F.lit(".java")).alias("file_path"),

@@ -7,7 +7,7 @@ from ..functions.naming import name_parts, naming_convention
 from ..functions.sizing import mean_size, proportion_size
 from ..operators.cleaning import clean_commits, clean_titles
 from ..operators.features import closed_issues, commit_texts, life_span_report, with_life_span
-from ..sources.tables import read_table
+from ..sources.tables import read_table, read_texts
 from . import query
 from .adaptors import COMMITS_SQL, EVENTS_SQL, ISSUES_SQL, commits, events, issues, micros
 
@@ -62,7 +62,7 @@ MARKDOWN_SQL = r"""d AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN ' - ' WHEN 1
 
 @query("plain_text", f"WITH {MARKDOWN_SQL} SELECT doc_id, {plain_sql('md')} AS plain FROM d")
 def plain_text(spark, folder):
-    d = read_table(spark, folder, "documents", ["doc_id", "text", "lang", "source"])
+    d = read_texts(spark, folder, "documents", ["doc_id", "text", "lang", "source"])
     start = F.when(F.col("doc_id") % 3 == 0, " - ").when(F.col("doc_id") % 3 == 1, "2. ").otherwise("")
     middle = F.when(F.col("doc_id") % 2 == 0, " ```x``` ").otherwise("\x07\n\n\n\n")
     md = F.concat(start, F.lit("# "), "source", F.lit(" `"), "lang", F.lit("`  \r\n```py "), "lang", F.lit("\n"), "text",
@@ -129,8 +129,8 @@ def timestamps(spark, folder):
 @query("commit_label", f"""SELECT doc_id, {label_sql('text')} AS label FROM documents
 UNION ALL SELECT -1 - conv_id * 1000 - turn, {label_sql("role || ' ' || text")} FROM conversations""")
 def commit_labels(spark, folder):
-    d = read_table(spark, folder, "documents", ["doc_id", "text"])
-    c = read_table(spark, folder, "conversations", ["conv_id", "turn", "role", "text"])
+    d = read_texts(spark, folder, "documents", ["doc_id", "text"])
+    c = read_texts(spark, folder, "conversations", ["conv_id", "turn", "role", "text"])
     spoken = c.select((-1 - F.col("conv_id") * 1000 - F.col("turn")).alias("doc_id"),
                       F.concat_ws(" ", "role", "text").alias("text"))
     return d.unionByName(spoken).select("doc_id", text.commit_label(F.col("text")).alias("label"))
@@ -187,7 +187,7 @@ NAMES_SQL = r"""names AS (SELECT DISTINCT name FROM (
 
 
 def spelled_names(spark, folder):
-    d = read_table(spark, folder, "documents", ["text"])
+    d = read_texts(spark, folder, "documents", ["text"])
     p = read_table(spark, folder, "part", ["p_name", "p_type", "p_size"])
     found = d.select(F.explode(F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}_]+)"), 1)).alias("name"))
     made = p.select(F.explode(F.array(F.translate("p_name", " ", "_"), F.translate(F.initcap("p_name"), " ", ""),
@@ -230,7 +230,7 @@ def joined(spark, folder):
     SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN ' ' || chr(10) || chr(9) WHEN 1 THEN '' WHEN 2 THEN NULL ELSE text END AS message
     FROM documents) WHERE regexp_matches(message, '[^{SPACE[1:]}')""")
 def nonblank_messages(spark, folder):
-    d = read_table(spark, folder, "documents", ["doc_id", "text"])
+    d = read_texts(spark, folder, "documents", ["doc_id", "text"])
     case = F.col("doc_id") % 5
     message = F.when(case == 0, " \n\t").when(case == 1, "").when(case > 2, F.col("text"))
     return commit_texts(d.withColumn("message", message), "doc_id")

@@ -6,7 +6,7 @@ from ..operators import vocabulary as ops
 from ..operators.identifiers import identifier_features
 from ..operators.joins import with_clusters
 from ..operators.markup import page_comments
-from ..sources.tables import read_table
+from ..sources.tables import read_table, read_texts
 from . import query
 from .adaptors import IDENTIFIERS_SQL, identifier_rows, token_label, tokens_sql, vec_id_sql
 
@@ -19,7 +19,7 @@ COMMENT_SQL = r"""page_comments AS (
 
 @query("page_comments", f"WITH {COMMENT_SQL} SELECT page_id, CAST(pos AS INTEGER) AS pos, comment_text FROM page_comments")
 def comments(spark, folder):
-    return page_comments(read_table(spark, folder, "pages", ["page_id", "html"]), "page_id", "html")
+    return page_comments(read_texts(spark, folder, "pages", ["page_id", "html"]), "page_id", "html")
 
 
 TOKENS = tokens_sql("tok", "documents", "doc_id", "text")
@@ -28,11 +28,11 @@ PAGED = tokens_sql("noted", "(SELECT page_id AS doc_id, html FROM pages)", "doc_
 
 
 def document_tokens(spark, folder):
-    return ops.token_rows(read_table(spark, folder, "documents", ["doc_id", "text"]), ["doc_id"], "text")
+    return ops.token_rows(read_texts(spark, folder, "documents", ["doc_id", "text"]), ["doc_id"], "text")
 
 
 def speech_tokens(spark, folder):
-    spoken = read_table(spark, folder, "conversations", ["conv_id", "turn", "text"])
+    spoken = read_texts(spark, folder, "conversations", ["conv_id", "turn", "text"])
     return ops.token_rows(
         spoken.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text"), ["doc_id"], "text"
     )
@@ -40,7 +40,7 @@ def speech_tokens(spark, folder):
 
 def page_tokens(spark, folder):
     """Page sources stand in for the third kind of text; their own comments hold no words."""
-    pages = read_table(spark, folder, "pages", ["page_id", "html"])
+    pages = read_texts(spark, folder, "pages", ["page_id", "html"])
     return ops.token_rows(pages.select(F.col("page_id").alias("doc_id"), "html"), ["doc_id"], "html")
 
 

@@ -34,9 +34,8 @@ def naming_convention(name: Column) -> Column:
 
 def name_parts(name: Column) -> Column:
     """Lower-cased parts of an identifier, split at ``_``, blanks and before A-Z."""
-    spaced = F.regexp_replace(F.coalesce(name, F.lit("")), "([A-Z])", " $1")
-    parts = F.filter(F.split(spaced, f"(?:_|{SPACE})+"), lambda part: part != "")
-    return F.transform(parts, F.lower)
+    spaced = F.lower(F.regexp_replace(F.coalesce(name, F.lit("")), "([A-Z])", " $1"))
+    return F.array_remove(F.split(spaced, f"(?:_|{SPACE})+"), "")
 
 
 def local_tag(tag: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.stemming import with_stems
 from ..functions.text import commit_label, is_feature_request, is_not_blank
 from ..functions.timing import life_span_seconds, resolution_bin
-from .joins import key_weights, lookup_join
+from .joins import lookup_join
 from .range_count import count_in_windows
 from .vocabulary import token_rows
 
@@ -37,13 +37,12 @@ def token_profile(
     comment_vocabulary: DataFrame | None,
     stem: bool,
 ) -> DataFrame:
-    """What each raw token stands for: (token, weight, term, cluster, in_ids, in_comments).
+    """What each distinct token stands for: (token, term, cluster, in_ids, in_comments).
 
     ``term`` is the stem, or the token itself. The three vocabularies hold terms;
     they meet in one aggregation, so documents are joined only once.
     """
-    raw = key_weights(tokens, ["token"])
-    terms = with_stems(raw, stem="term") if stem else raw.withColumn("term", F.col("token"))
+    terms = with_stems(tokens, stem="term") if stem else tokens.withColumn("term", F.col("token"))
     empty = F.lit(None).cast("int")
     parts = [clusters.select(F.col("token").alias("term"), F.col("cluster").cast("int").alias("cluster"),
                              F.lit(False).alias("in_ids"), F.lit(False).alias("in_comments"))]
@@ -58,7 +57,7 @@ def token_profile(
         F.max("cluster").alias("cluster"), F.max("in_ids").alias("in_ids"), F.max("in_comments").alias("in_comments")
     )
     return terms.join(known, "term", "left").select(
-        "token", "weight", "term", "cluster",
+        "token", "term", "cluster",
         F.coalesce("in_ids", F.lit(False)).alias("in_ids"),
         F.coalesce("in_comments", F.lit(False)).alias("in_comments"),
     )
@@ -82,9 +81,11 @@ def commit_features(
     labelled = commits.select(key, F.col(message).alias("__text"), commit_label(F.col(message)).alias("label"))
     tokens = token_rows(labelled, [key], "__text")
     pairs = tokens.groupBy(key, "token").agg(F.count("*").alias("n"))
-    profile = token_profile(pairs, clusters, identifier_vocabulary, comment_vocabulary, stem)
+    # counting n instead of rows keeps the columns, and so the shuffle, of the pairs
+    weights = pairs.groupBy("token").agg(F.count("n").alias("weight"))
+    profile = token_profile(weights.select("token"), clusters, identifier_vocabulary, comment_vocabulary, stem)
     terms = (
-        lookup_join(pairs, profile, ["token"], [key], "weight", "inner")
+        lookup_join(pairs, profile, ["token"], [key], "inner", weights)
         .groupBy(key, "term")
         .agg(F.sum("n").alias("n"), F.max("cluster").alias("cluster"), F.max("in_ids").alias("in_ids"),
              F.max("in_comments").alias("in_comments"))

@@ -5,35 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.naming import name_parts
-from .markup import extract_identifiers, with_spelling
+from ..functions.naming import name_parts, naming_convention
+from .markup import extract_identifiers
 
 METRICS = ("n_identifiers", "avg_identifier_length", "avg_tokens_per_identifier", "vocab_size", "vocab_diversity",
            "pct_snake_case", "pct_camel_case", "pct_pascal_case")
 
 
 def identifier_features(identifiers: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """Metrics per ``file_path`` from identifier rows (file_path, name, ..).
+    """Metrics per ``file_path`` from identifier rows (file_path, name).
 
-    Each identifier becomes one row per word part; its first row carries the
-    identifier's own numbers. Rows collapse to (file, part) before they meet per
-    file, so a file with most of the identifiers is spread by its vocabulary.
-    With ``files`` every file gets a row, zeros where nothing was found.
+    Repeats of a name in a file are counted before the name is taken apart. Each
+    name then becomes one row per word part, whose first carries the numbers of
+    the name. Rows collapse to (file, part) before they meet per file, so a file
+    with most of the identifiers is spread by its vocabulary. With ``files`` every
+    file gets a row, zeros where nothing was found.
     """
-    spelled = with_spelling(identifiers) if "convention" not in identifiers.columns else identifiers
-    parts = spelled.select(
-        "file_path", "length", "n_tokens", "convention",
-        F.posexplode_outer(name_parts(F.col("name"))).alias("part_no", "part"),
+    names = (
+        identifiers.groupBy("file_path", "name")
+        .agg(F.count("*").alias("m"))
+        .withColumns({"length": F.length("name"), "convention": naming_convention(F.col("name")),
+                      "parts": name_parts(F.col("name"))})
+    )
+    parts = names.select(
+        "file_path", "m", "length", "convention", F.size("parts").alias("n_parts"),
+        F.posexplode_outer("parts").alias("part_no", "part"),
     )
     lead = F.coalesce(F.col("part_no"), F.lit(0)) == 0
 
-    def leads(value) -> Column:
-        return F.sum(F.when(lead, value).otherwise(0))
+    def leads(value: Column) -> Column:
+        return F.sum(F.when(lead, F.col("m") * value).otherwise(0))
 
     by_part = parts.groupBy("file_path", "part").agg(
-        leads(1).alias("n"),
+        leads(F.lit(1)).alias("n"),
         leads(F.col("length")).alias("chars"),
-        leads(F.col("n_tokens")).alias("tokens"),
+        leads(F.col("n_parts")).alias("tokens"),
         leads((F.col("convention") == "snake_case").cast("int")).alias("snake"),
         leads((F.col("convention") == "camelCase").cast("int")).alias("camel"),
         leads((F.col("convention") == "PascalCase").cast("int")).alias("pascal"),

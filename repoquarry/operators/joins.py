@@ -21,36 +21,30 @@ def lookup_join(
     dim: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
-    weight: str,
     how: str = "left",
+    weights: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
     fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Join facts to a table that is unique on ``on``, hot keys spread over tasks.
 
-    ``weight`` is a column of ``dim`` that says how many facts have the key, or a
-    number in proportion; it is dropped. Keys above ``1 / hot_keys`` of the total are
-    fewer than ``hot_keys``, so that list may be broadcast whatever the data size.
-    Only their rows in ``dim`` are repeated ``fan_out`` times, and their facts take
-    one of the copies by a hash of ``spread_by``. ``how`` keeps the facts on the left.
+    ``weights`` (the key columns and ``weight``) says how many facts have each key; it
+    is counted when not given. Keys above ``1 / hot_keys`` of the total are fewer than
+    ``hot_keys``, so that list may be broadcast whatever the data size. Only their
+    rows in ``dim`` are repeated ``fan_out`` times, and their facts take one of the
+    copies by a hash of ``spread_by``. ``how`` keeps the facts on the left.
     """
     on = list(on)
+    weights = key_weights(facts, on) if weights is None else weights
     # a key with few facts is never hot, however small the table
-    bar = F.greatest(F.sum(weight) / hot_keys, F.lit(10_000))
-    hot = F.broadcast(
-        dim.where(F.col(weight) > dim.select(bar).scalar()).select(*on, F.lit(fan_out).alias("__copies"))
-    )
+    bar = weights.select(F.greatest(F.sum("weight") / hot_keys, F.lit(10_000))).scalar()
+    hot = F.broadcast(weights.where(F.col("weight") > bar).select(*on, F.lit(fan_out).alias("__copies")))
     # null keys find no partner, so they may go anywhere
     spread = F.col("__copies").isNotNull() | F.col(on[0]).isNull()
     slot = F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")
-    salted = (
-        facts.join(hot, on, "left")
-        .withColumn("__salt", F.when(spread, slot).otherwise(0))
-        .drop("__copies")
-    )
+    salted = facts.join(hot, on, "left").withColumn("__salt", F.when(spread, slot).otherwise(0)).drop("__copies")
     copies = (
-        dim.drop(weight)
-        .join(hot, on, "left")
+        dim.join(hot, on, "left")
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__copies"), F.lit(1)) - 1)))
         .drop("__copies")
     )
@@ -59,8 +53,8 @@ def lookup_join(
 
 def linked_runs(commits: DataFrame, runs: DataFrame) -> DataFrame:
     """CI runs with the commit they ran on (``sha`` = ``commit_hash``)."""
-    sides = commits.withColumnRenamed("commit_hash", "sha").join(key_weights(runs, ["sha"]), "sha")
-    return lookup_join(runs.where(F.col("sha").isNotNull()), sides, ["sha"], ["pipeline_id"], "weight", "inner")
+    sides = commits.withColumnRenamed("commit_hash", "sha")
+    return lookup_join(runs.where(F.col("sha").isNotNull()), sides, ["sha"], ["pipeline_id"], "inner")
 
 
 def orphan_parents(parents: DataFrame, commits: DataFrame) -> DataFrame:
@@ -84,12 +78,9 @@ def sampled_issues(issues: DataFrame, sample: DataFrame | None, with_repo: bool
 
 def with_clusters(tokens: DataFrame, clusters: DataFrame, spread_by: Sequence[str]) -> DataFrame:
     """Cluster of each token row; tokens outside the map keep a null cluster."""
-    known = key_weights(tokens, ["token"]).join(clusters.select("token", "cluster"), "token", "left")
-    return lookup_join(tokens, known, ["token"], spread_by, "weight")
+    return lookup_join(tokens, clusters.select("token", "cluster"), ["token"], spread_by)
 
 
 def semi_by(facts: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
     """Facts whose key is among ``keys``."""
-    on = list(on)
-    present = key_weights(facts, on).join(keys.select(*on), on, "left_semi")
-    return lookup_join(facts, present, on, spread_by, "weight", "left_semi")
+    return lookup_join(facts, keys.select(*on).distinct(), on, spread_by, "left_semi")

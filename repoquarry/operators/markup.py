@@ -129,13 +129,13 @@ def split_units(archives: DataFrame, first: int | None = None) -> DataFrame:
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = []
             for document, xml in zip(batch["document"], batch["xml"]):
                 root = _parse(xml)
                 units = [] if root is None else [child for child in root if _local(child.tag) == "unit"]
                 for no, unit in enumerate(units[:first] if first else units):
-                    text = ET.tostring(unit, encoding="unicode")
-                    yield pd.DataFrame([(document, no, unit.get("filename", ""), text)],
-                                       columns=["document", "unit_no", "file_path", "xml"])
+                    found.append((document, no, unit.get("filename", ""), ET.tostring(unit, encoding="unicode")))
+            yield pd.DataFrame(found, columns=["document", "unit_no", "file_path", "xml"])
 
     return archives.select("document", "xml").mapInPandas(split, _UNITS)
 
@@ -143,8 +143,10 @@ def split_units(archives: DataFrame, first: int | None = None) -> DataFrame:
 def function_names(identifiers: DataFrame) -> DataFrame:
     """Functions of each file: how many, and their names one row each in order."""
     functions = identifiers.where(F.col("kind") == "function")
-    counts = key_weights(functions, ["file_path"]).withColumn("n_functions", F.col("weight"))
-    return lookup_join(functions.select("file_path", "pos", "name"), counts, ["file_path"], ["pos"], "weight", "inner")
+    weights = key_weights(functions, ["file_path"])
+    counts = weights.withColumnRenamed("weight", "n_functions")
+    rows = functions.select("file_path", "pos", "name")
+    return lookup_join(rows, counts, ["file_path"], ["pos"], "inner", weights)
 
 
 def source_files(files: DataFrame, path: str = "file_path", first: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import lookup_join
+from .joins import key_weights, lookup_join
 
 _DAY = 86_400_000_000
 _SECOND = 1_000_000
@@ -20,7 +20,7 @@ def _before(order: str, partition: Sequence[str]) -> Column:
 
 
 def prefix_counts(points: DataFrame, probes: DataFrame) -> DataFrame:
-    """For each distinct time ``t`` (microseconds): points before it, points up to it, probes at it.
+    """For each distinct time ``t`` (microseconds): points before it and points up to it.
 
     ``points`` and ``probes`` have one long column ``t``. Repeated times collapse
     in a pre-aggregated count first. The running total then goes through three
@@ -28,14 +28,13 @@ def prefix_counts(points: DataFrame, probes: DataFrame) -> DataFrame:
     a million distinct microseconds, a day 86,400 seconds, and the single window
     over days has one row per calendar day.
     """
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    marks = points.select("t", one.alias("n"), none.alias("probes")).unionByName(
-        probes.select("t", none.alias("n"), one.alias("probes"))
+    marks = points.select("t", F.lit(1).cast("long").alias("n")).unionByName(
+        probes.select("t", F.lit(0).cast("long").alias("n"))
     )
     times = (
         marks.where(F.col("t").isNotNull())
         .groupBy("t")
-        .agg(F.sum("n").alias("n"), F.sum("probes").alias("probes"))
+        .agg(F.sum("n").alias("n"))
         .withColumn("second", F.col("t") - F.pmod("t", F.lit(_SECOND)))
         .withColumn("in_second", _before("t", ["second"]))
     )
@@ -49,7 +48,7 @@ def prefix_counts(points: DataFrame, probes: DataFrame) -> DataFrame:
     )
     before = F.col("second_start") + F.col("in_second")
     return times.join(second_start, "second").select(
-        "t", before.alias("n_before"), (before + F.col("n")).alias("n_until"), "probes"
+        "t", before.alias("n_before"), (before + F.col("n")).alias("n_until")
     )
 
 
@@ -74,8 +73,8 @@ def count_in_windows(
     framed = intervals.withColumn("__start", micros(start)).withColumn("__end", micros(end))
     probes = framed.select(F.explode(F.array("__start", "__end")).alias("t"))
     counts = prefix_counts(points.select(micros(time).alias("t")), probes)
-    opened = counts.select(F.col("t").alias("__start"), "n_before", "probes")
-    closed = counts.select(F.col("t").alias("__end"), "n_until", "probes")
-    joined = lookup_join(framed, opened, ["__start"], row_key, "probes")
-    joined = lookup_join(joined, closed, ["__end"], row_key, "probes")
+    opened = counts.select(F.col("t").alias("__start"), "n_before")
+    closed = counts.select(F.col("t").alias("__end"), "n_until")
+    joined = lookup_join(framed, opened, ["__start"], row_key)
+    joined = lookup_join(joined, closed, ["__end"], row_key, weights=key_weights(framed, ["__end"]))
     return joined.withColumn(out, F.col("n_until") - F.col("n_before")).drop("__start", "__end", "n_before", "n_until")

@@ -120,8 +120,9 @@ def sample_stratified(
         def named(value: Column) -> Column:
             return F.to_json(F.struct(value.alias("g")))
 
-        dim = cuts.select(named(F.col("__group")).alias("__name"), "__cut", "__size")
-        joined = lookup_join(ordered.withColumn("__name", named(group)), dim, ["__name"], ["__hash"], "__size", "inner")
+        name = named(F.col("__group")).alias("__name")
+        dim, sizes = cuts.select(name, "__cut"), cuts.select(name, F.col("__size").alias("weight"))
+        joined = lookup_join(ordered.withColumn("__name", named(group)), dim, ["__name"], ["__hash"], "inner", sizes)
     return joined.where(F.col("__place") <= F.col("__cut")).select(*columns)
 
 

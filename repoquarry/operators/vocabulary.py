@@ -28,8 +28,9 @@ def token_rows(
 
 def stemmed_rows(tokens: DataFrame, spread_by: Sequence[str]) -> DataFrame:
     """Token rows with each token replaced by its stem, stemming distinct tokens only."""
-    stems = with_stems(key_weights(tokens, ["token"]))
-    joined = lookup_join(tokens, stems, ["token"], spread_by, "weight", "inner")
+    weights = key_weights(tokens, ["token"])
+    stems = with_stems(weights.select("token"))
+    joined = lookup_join(tokens, stems, ["token"], spread_by, "inner", weights)
     return joined.drop("token").withColumnRenamed("stem", "token")
 
 

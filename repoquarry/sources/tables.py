@@ -18,6 +18,17 @@ def read_table(spark: SparkSession, folder: str, table: str, columns: Sequence[s
     return frame.select(*columns) if columns else frame
 
 
+def read_texts(spark: SparkSession, folder: str, table: str, columns: Sequence[str]) -> DataFrame:
+    """Text columns for work that is bound by the processor, such as tokenizing.
+
+    A table stored in fewer splits than there are cores is spread over them first;
+    a table of many splits, the normal case on a cluster, is read as it is.
+    """
+    frame = read_table(spark, folder, table, columns)
+    cores = spark.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
 def read_database(
     spark: SparkSession,
     url: str,
