@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
+HOT_ROWS = 10_000
 FAN_OUT = 64
 
 
@@ -24,6 +25,7 @@ def lookup_join(
     how: str = "left",
     weights: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
+    hot_rows: int = HOT_ROWS,
     fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Join facts to a table that is unique on ``on``, hot keys spread over tasks.
@@ -37,7 +39,7 @@ def lookup_join(
     on = list(on)
     weights = key_weights(facts, on) if weights is None else weights
     # a key with few facts is never hot, however small the table
-    bar = weights.select(F.greatest(F.sum("weight") / hot_keys, F.lit(10_000))).scalar()
+    bar = weights.select(F.greatest(F.sum("weight") / hot_keys, F.lit(hot_rows))).scalar()
     hot = F.broadcast(weights.where(F.col("weight") > bar).select(*on, F.lit(fan_out).alias("__copies")))
     # null keys find no partner, so they may go anywhere
     spread = F.col("__copies").isNotNull() | F.col(on[0]).isNull()
