@@ -23,7 +23,7 @@ def pages(items: DataFrame, field: str | None = None, *keys: str) -> DataFrame:
 
 
 @query("issues_from_json", f"""WITH {EVENTS_SQL}
-SELECT event_id AS issue_number, event_type || ' ' || user_id AS title, CASE WHEN k % 3 = 0 THEN '' ELSE props END AS body,
+SELECT CAST(event_id AS INTEGER) AS issue_number, event_type || ' ' || user_id AS title, CASE WHEN k % 3 = 0 THEN '' ELSE props END AS body,
        CASE WHEN k % 5 <> 0 THEN 'User' || user_id END AS author, CASE WHEN k % 2 = 0 THEN 'closed' ELSE 'open' END AS state,
        k AS comments_count, event_type || ',k' || k AS labels, epoch_us(date_trunc('second', ts)) AS created_us,
        CASE WHEN k % 2 = 0 THEN epoch_us(date_trunc('second', ts)) END AS closed_us
@@ -50,7 +50,7 @@ def issues_from_json(spark, folder):
 
 
 @query("pulls_state", f"""WITH {EVENTS_SQL}
-SELECT event_id AS pr_number, event_type AS title, 'User' || user_id AS author,
+SELECT CAST(event_id AS INTEGER) AS pr_number, event_type AS title, 'User' || user_id AS author,
        CASE WHEN k % 3 = 2 THEN 'merged' WHEN k % 2 = 0 THEN 'closed' ELSE 'open' END AS state,
        CASE WHEN k % 3 = 2 THEN epoch_us(date_trunc('second', ts)) END AS merged_us
 FROM ev""")

@@ -55,7 +55,7 @@ IDENTIFIERS_SQL = f"""{FACTS_SQL}, found AS (
 
 
 @query("markup_identifiers", f"""WITH {IDENTIFIERS_SQL}
-SELECT file_path, pos, name, kind, scope, length(name) AS length,
+SELECT file_path, pos, name, kind, scope, CAST(length(name) AS INTEGER) AS length,
     CASE pos WHEN 0 THEN 'PascalCase' WHEN 1 THEN 'SCREAMING_SNAKE' WHEN 2 THEN 'camelCase' ELSE 'snake_case' END AS convention,
     CAST(len(list_filter(regexp_split_to_array(regexp_replace(name, '([A-Z])', ' \\1', 'g'), '[_ ]+'), lambda x: x <> '')) AS INTEGER) AS n_tokens
 FROM found""")
@@ -92,7 +92,7 @@ def archive_identifiers(spark, folder):
     return found.groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query("function_names", f"""WITH {FACTS_SQL} SELECT file_path, 2 AS pos, func AS name, 1 AS n_functions FROM facts WHERE NOT broken""")
+@query("function_names", f"""WITH {FACTS_SQL} SELECT file_path, 2 AS pos, func AS name, CAST(1 AS BIGINT) AS n_functions FROM facts WHERE NOT broken""")
 def functions(spark, folder):
     return markup.function_names(markup.extract_identifiers(documents(spark, folder)))
 

@@ -244,7 +244,7 @@ def closed(spark, folder):
 
 
 @query("sample_size_proportion", """SELECT c_mktsegment, n, CAST(least(ceil(384.16 / (1 + (384.16 - 1) / n)), n) AS BIGINT) AS wanted,
-    385 AS unlimited
+    CAST(385 AS BIGINT) AS unlimited
 FROM (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1)""")
 def proportion_sizes(spark, folder):
     sizes = read_table(spark, folder, "customer").groupBy("c_mktsegment").agg(F.count("*").alias("n"))
