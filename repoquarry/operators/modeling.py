@@ -11,7 +11,7 @@ from pyspark.ml.feature import IndexToString, StringIndexerModel, VectorAssemble
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sampling import _with_order, hash_cuts
+from .sampling import hash_ordered, hash_cuts, hash_edges
 
 # Trees of a forest, seed, and the deepest tree the library accepts.
 TREES = 100
@@ -55,7 +55,7 @@ def split_dataset(
     """
     quotas = split_quotas(rows, label, test_size).collect()
     columns = rows.columns
-    ordered = _with_order(rows, ids, seed)
+    ordered = hash_ordered(rows, ids, seed)
     if all(row["size"] >= 2 for row in quotas):
         wanted = F.lit(0)
         for row in quotas:
@@ -64,7 +64,8 @@ def split_dataset(
     else:
         total = sum(row["size"] for row in quotas)
         group, quota = F.lit("all"), F.lit(math.ceil(total * test_size))
-    cuts = hash_cuts(ordered, group, quota).select(F.col("__group").alias("__cut_group"), "__cut")
+    edges = F.broadcast(hash_edges(ordered, group, quota))  # one row per class
+    cuts = hash_cuts(ordered, group, edges).select(F.col("__group").alias("__cut_group"), "__cut")
     marked = ordered.withColumn("__group", group).join(
         F.broadcast(cuts), F.col("__group").eqNullSafe(F.col("__cut_group")), "left"
     )

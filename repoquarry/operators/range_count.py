@@ -75,6 +75,8 @@ def count_in_windows(
     counts = prefix_counts(points.select(micros(time).alias("t")), probes)
     opened = counts.select(F.col("t").alias("__start"), "n_before")
     closed = counts.select(F.col("t").alias("__end"), "n_until")
-    joined = lookup_join(framed, opened, ["__start"], row_key)
-    joined = lookup_join(joined, closed, ["__end"], row_key, weights=key_weights(framed, ["__end"]))
+    # starts and ends are weighed together: a time that is hot on either side is in the list
+    weights = key_weights(probes, ["t"])
+    joined = lookup_join(framed, opened, ["__start"], row_key, weights=weights.withColumnRenamed("t", "__start"))
+    joined = lookup_join(joined, closed, ["__end"], row_key, weights=weights.withColumnRenamed("t", "__end"))
     return joined.withColumn(out, F.col("n_until") - F.col("n_before")).drop("__start", "__end", "n_before", "n_until")

@@ -3,7 +3,9 @@
 A sample is described by one cut per group, the hash of its last row. Cuts come
 from counts per leading hash digits, so no group is ever gathered in one task:
 16**4 = 65,536 hash buckets split a group evenly, only the one bucket the cut falls
-into is ranked, and the population itself is filtered where it lies.
+into is ranked, and the population itself is filtered where it lies. The edges
+(one row per group: its last bucket and how many rows of it) are broadcast when
+their number is bounded or was counted.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ def seeded_hash(ids: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws(":", *[F.col(name).cast("string") for name in ids], F.lit(str(seed))))
 
 
-def _with_order(rows: DataFrame, ids: Sequence[str], seed: int) -> DataFrame:
+def hash_ordered(rows: DataFrame, ids: Sequence[str], seed: int) -> DataFrame:
+    """Add the hash, its leading digits as bucket, and the place (hash, ids) in the order."""
     hashed = rows.withColumn("__hash", seeded_hash(ids, seed))
     return hashed.withColumn("__bucket", F.substring("__hash", 1, _DIGITS)).withColumn(
         "__place", F.struct("__hash", *ids)
@@ -40,29 +43,34 @@ def _same(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))
 
 
-def hash_cuts(ordered: DataFrame, group: Column, quota: Column) -> DataFrame:
-    """Per group the place (hash, ids) of the last sampled row: (__group, __cut, __size).
+def hash_edges(ordered: DataFrame, group: Column, quota: Column) -> DataFrame:
+    """Per group the bucket its sample ends in: (__edge_group, __edge_bucket, __rest, __size).
 
     ``quota`` is the wanted number of rows as an expression over ``__size``, the
-    rows of the group. A group with quota 0 has no row here.
+    rows of the group; ``__rest`` of them lie in the last bucket. A group with quota
+    0 has no row here.
     """
-    placed = ordered.select(group.alias("__group"), "__bucket", "__place")
-    counts = placed.groupBy("__group", "__bucket").agg(F.count("*").alias("__n"))
+    counts = ordered.groupBy(group.alias("__group"), "__bucket").agg(F.count("*").alias("__n"))
     whole = Window.partitionBy("__group")
     so_far = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    edges = (
+    return (
         counts.withColumn("__size", F.sum("__n").over(whole))
         .withColumn("__before", F.coalesce(F.sum("__n").over(so_far), F.lit(0)))
         .withColumn("__rest", F.least(quota, F.col("__size")) - F.col("__before"))
         .where((F.col("__rest") > 0) & (F.col("__rest") <= F.col("__n")))
         .select(F.col("__group").alias("__edge_group"), F.col("__bucket").alias("__edge_bucket"), "__rest", "__size")
     )
+
+
+def hash_cuts(ordered: DataFrame, group: Column, edges: DataFrame) -> DataFrame:
+    """Per group the place (hash, ids) of the last sampled row: (__group, __cut)."""
+    placed = ordered.select(group.alias("__group"), "__bucket", "__place")
     rank = F.row_number().over(Window.partitionBy("__group", "__bucket").orderBy("__place"))
     return (
         placed.join(edges, _same("__group", "__edge_group") & (F.col("__bucket") == F.col("__edge_bucket")))
         .withColumn("__rank", rank)
         .where(F.col("__rank") == F.col("__rest"))
-        .select("__group", F.col("__place").alias("__cut"), "__size")
+        .select("__group", F.col("__place").alias("__cut"))
     )
 
 
@@ -74,10 +82,12 @@ def sample_uniform(population: DataFrame, k: int, ids: Sequence[str], seed: int
     columns = population.columns
     if k <= 0:
         return population.limit(0)
-    ordered = _with_order(population, ids, seed)
+    ordered = hash_ordered(population, ids, seed)
     if k <= _TOP_K:
         return ordered.orderBy("__place").limit(k).select(*columns)
-    cut = hash_cuts(ordered, F.lit(0), F.lit(k)).select("__cut")
+    everything = F.lit(0)
+    edge = F.broadcast(hash_edges(ordered, everything, F.lit(k)))  # one row
+    cut = hash_cuts(ordered, everything, edge).select("__cut")
     return ordered.join(F.broadcast(cut), F.col("__place") <= F.col("__cut")).select(*columns)
 
 
@@ -93,9 +103,10 @@ def sample_stratified(
 ) -> DataFrame:
     """Per group ``min(n, size)`` rows, or ``ceil(size * frac)`` rows.
 
-    A null key is a group of its own. The cuts, one row per group, are broadcast
-    when a count shows they are few; otherwise they are joined on the group with
-    hot groups spread.
+    A null key is a group of its own. Edges and cuts, one row per group, are
+    broadcast when a count shows they are few. Otherwise the edges are joined on
+    group and hash bucket, which no group can make hot, and the cuts on the group
+    with hot groups spread.
     """
     if (n is None) == (frac is None):
         raise ValueError("give exactly one of n and frac")
@@ -103,25 +114,25 @@ def sample_stratified(
     if (n is not None and n <= 0) or (frac is not None and frac <= 0):
         return population.limit(0)
     group = F.col(key) if isinstance(key, str) else key
-    ordered = _with_order(population, ids, seed)
+    ordered = hash_ordered(population, ids, seed)
     if n is not None and n <= _SMALL_PER_GROUP:
         # the rank limit is applied in every task before the shuffle
         place = Window.partitionBy("__group").orderBy("__place")
         ranked = ordered.withColumn("__group", group).withColumn("__rank", F.row_number().over(place))
         return ranked.where(F.col("__rank") <= n).select(*columns)
     quota = F.lit(n) if n is not None else F.ceil(F.col("__size") * F.lit(frac))
-    cuts = materialize(hash_cuts(ordered, group, quota))
-    cuts, small = broadcast_if_small(cuts, max_broadcast_groups)
+    edges, small = broadcast_if_small(materialize(hash_edges(ordered, group, quota)), max_broadcast_groups)
+    cuts = hash_cuts(ordered, group, edges)
     if small:
-        cuts = cuts.select(F.col("__group").alias("__cut_group"), "__cut")
-        joined = ordered.withColumn("__group", group).join(cuts, _same("__group", "__cut_group"))
+        few = F.broadcast(cuts.select(F.col("__group").alias("__cut_group"), "__cut"))
+        joined = ordered.withColumn("__group", group).join(few, _same("__group", "__cut_group"))
     else:
         # a null group needs a name to join on; JSON tells it from every value
         def named(value: Column) -> Column:
             return F.to_json(F.struct(value.alias("g")))
 
-        name = named(F.col("__group")).alias("__name")
-        dim, sizes = cuts.select(name, "__cut"), cuts.select(name, F.col("__size").alias("weight"))
+        dim = cuts.select(named(F.col("__group")).alias("__name"), "__cut")
+        sizes = edges.select(named(F.col("__edge_group")).alias("__name"), F.col("__size").alias("weight"))
         joined = lookup_join(ordered.withColumn("__name", named(group)), dim, ["__name"], ["__hash"], "inner", sizes)
     return joined.where(F.col("__place") <= F.col("__cut")).select(*columns)
 
