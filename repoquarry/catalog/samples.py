@@ -126,6 +126,6 @@ def split(spark, folder):
 @query("sample_commits", """SELECT md5(CAST(doc_id AS VARCHAR)) AS commit_hash, source AS author_name FROM (
     SELECT *, row_number() OVER (ORDER BY doc_id DESC) - 1 AS i FROM documents) WHERE i % 10 = 1""")
 def sample_commits(spark, folder):
-    """Every tenth commit from the newest on; seed 0 draws the start 6, seed 42 the start 1."""
+    """Every tenth commit from the newest on; seed 42 draws the start 1."""
     sample = sampling.sample_entity(commits(spark, folder), "commits", step=10, seed=42)
     return sample.select("commit_hash", "author_name")

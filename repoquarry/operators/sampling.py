@@ -87,8 +87,8 @@ def sample_uniform(population: DataFrame, k: int, ids: Sequence[str], seed: int
         return ordered.orderBy("__place").limit(k).select(*columns)
     everything = F.lit(0)
     edge = F.broadcast(hash_edges(ordered, everything, F.lit(k)))  # one row
-    cut = hash_cuts(ordered, everything, edge).select("__cut")
-    return ordered.join(F.broadcast(cut), F.col("__place") <= F.col("__cut")).select(*columns)
+    cut = hash_cuts(ordered, everything, edge).select("__cut").scalar()
+    return ordered.where(F.col("__place") <= cut).select(*columns)
 
 
 def sample_stratified(

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, markup, sampling, upsert
-from ..sources import gitlog
+from ..operators.identifiers import file_identifier_dataset
+from ..sources import gitlog, payloads
 from ..sources.tables import write_csv, write_table
 
 
@@ -40,6 +41,31 @@ def append_newest(log: DataFrame, commits: DataFrame) -> DataFrame:
     return upsert.strict_insert(commits.select(*newest.columns), newest, ["commit_hash"])
 
 
+ORIGIN = ["provider", "repo"]
+
+
+def ingest(pages: dict[str, DataFrame], stored: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Merge landed response pages into the tracker and CI tables.
+
+    ``pages`` has tables named issues, pulls, runs and jobs, all optional, with
+    provider, repo, page_no and json; jobs also run_id. Jobs are taken only with
+    the runs they belong to.
+    """
+    stored, tables = stored or {}, {}
+    if "issues" in pages:
+        rows = payloads.issue_rows(pages["issues"], carry=ORIGIN, page_no="page_no")
+        tables["issues"] = upsert.upsert_issues(stored.get("issues"), rows, "arrival")
+    if "pulls" in pages:
+        rows = payloads.pull_rows(pages["pulls"], carry=ORIGIN, page_no="page_no")
+        tables["pull_requests"] = upsert.upsert_pull_requests(stored.get("pull_requests"), rows, "arrival")
+    if "runs" in pages:
+        runs = payloads.run_rows(pages["runs"], carry=ORIGIN, page_no="page_no")
+        jobs = payloads.job_rows(pages["jobs"], "run_id", carry=ORIGIN, page_no="page_no") if "jobs" in pages else None
+        merged = upsert.ingest_ci(stored.get("ci_pipelines"), stored.get("ci_jobs"), runs, jobs, "arrival")
+        tables |= {name: table for name, table in zip(("ci_pipelines", "ci_jobs"), merged) if table is not None}
+    return stored | tables
+
+
 def mine_code(archives: DataFrame, first: int | None = None) -> dict[str, DataFrame]:
     """Identifiers and comments of multi-unit markup documents (document, xml)."""
     units = markup.split_units(archives, first)
@@ -48,6 +74,11 @@ def mine_code(archives: DataFrame, first: int | None = None) -> dict[str, DataFr
     return {"code_identifiers": identifiers, "code_comments": comments}
 
 
+def write_identifier_dataset(documents: DataFrame, path: str) -> bool:
+    """Naming metrics of the supported source files among (file_path, xml), as CSV."""
+    return write_csv(file_identifier_dataset(markup.source_files(documents)), path)
+
+
 def clean(tables: dict[str, DataFrame], limit: int | None = None) -> dict[str, DataFrame]:
     """The tables given, cleaned columns added."""
     keys = {"issues": ("provider", "repo", "issue_number"), "pull_requests": ("provider", "repo", "pr_number")}

@@ -1,8 +1,9 @@
 """Provider payloads landed as JSON, flattened to table rows.
 
 Each reader takes a table with one JSON document per row, the body of one
-response page, and keeps the columns named in ``carry`` (repository, arrival
-number and the like).
+response page, and keeps the columns named in ``carry`` (provider, repository and
+the like). With ``page_no``, a column that numbers the pages as they arrived, the
+rows get an ``arrival`` number for the merges.
 """
 
 from __future__ import annotations
@@ -39,20 +40,36 @@ def _filled(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
-def _items(pages: DataFrame, json: str, shape: str, field: str | None, carry: Sequence[str]) -> DataFrame:
-    """One row per item of every page, in page order."""
+# more than any page holds
+_PAGE_ITEMS = 1_000_000
+
+
+def _items(
+    pages: DataFrame, json: str, shape: str, field: str | None, carry: Sequence[str], page_no: str | None
+) -> DataFrame:
+    """One row per item of every page, the carried columns and the arrival number in front."""
     schema = f"array<{shape}>" if field is None else f"struct<{field}:array<{shape}>>"
     parsed = F.from_json(json, schema)
     items = parsed if field is None else parsed[field]
-    return pages.select(*carry, F.inline(items))
+    if page_no is None:
+        return pages.select(*carry, F.inline(items))
+    placed = pages.select(*carry, F.col(page_no).cast("long").alias("__page"), F.posexplode(items).alias("__pos", "__item"))
+    arrival = (F.col("__page") * _PAGE_ITEMS + F.col("__pos")).alias("arrival")
+    return placed.select(*carry, arrival, "__item.*")
+
+
+def _kept(carry: Sequence[str], page_no: str | None) -> list[str]:
+    return [*carry] if page_no is None else [*carry, "arrival"]
 
 
-def issue_rows(pages: DataFrame, json: str = "json", carry: Sequence[str] = ()) -> DataFrame:
+def issue_rows(
+    pages: DataFrame, json: str = "json", carry: Sequence[str] = (), page_no: str | None = None
+) -> DataFrame:
     """Issues of list pages; items that are pull requests are dropped."""
-    items = _items(pages, json, ISSUE_ITEM, None, carry).where(F.col("pull_request").isNull())
+    items = _items(pages, json, ISSUE_ITEM, None, carry, page_no).where(F.col("pull_request").isNull())
     names = F.transform("labels", lambda label: F.coalesce(label["name"], F.lit("")))
     return items.select(
-        *carry,
+        *_kept(carry, page_no),
         F.col("number").alias("issue_number"),
         remove_nul(F.col("title")).alias("title"),
         remove_nul(F.col("body")).alias("body"),
@@ -66,12 +83,14 @@ def issue_rows(pages: DataFrame, json: str = "json", carry: Sequence[str] = ())
     )
 
 
-def pull_rows(pages: DataFrame, json: str = "json", carry: Sequence[str] = ()) -> DataFrame:
+def pull_rows(
+    pages: DataFrame, json: str = "json", carry: Sequence[str] = (), page_no: str | None = None
+) -> DataFrame:
     """Pull requests of list pages; a merge time makes the state ``merged``."""
-    items = _items(pages, json, PULL_ITEM, None, carry)
+    items = _items(pages, json, PULL_ITEM, None, carry, page_no)
     state = F.when(_filled("merged_at").isNotNull(), "merged").otherwise(F.coalesce("state", F.lit("open")))
     return items.select(
-        *carry,
+        *_kept(carry, page_no),
         F.col("number").alias("pr_number"),
         F.coalesce("title", F.lit("")).alias("title"),
         F.col("user.login").alias("author"),
@@ -82,11 +101,13 @@ def pull_rows(pages: DataFrame, json: str = "json", carry: Sequence[str] = ()) -
     )
 
 
-def run_rows(pages: DataFrame, json: str = "json", carry: Sequence[str] = ()) -> DataFrame:
+def run_rows(
+    pages: DataFrame, json: str = "json", carry: Sequence[str] = (), page_no: str | None = None
+) -> DataFrame:
     """CI runs: conclusion, else status, else ``unknown``."""
-    items = _items(pages, json, RUN_ITEM, "workflow_runs", carry)
+    items = _items(pages, json, RUN_ITEM, "workflow_runs", carry, page_no)
     return items.select(
-        *carry,
+        *_kept(carry, page_no),
         F.col("id").cast("string").alias("pipeline_id"),
         F.coalesce(_filled("conclusion"), _filled("status"), F.lit("unknown")).alias("status"),
         utc_timestamp(F.col("created_at")).alias("created_at"),
@@ -95,11 +116,13 @@ def run_rows(pages: DataFrame, json: str = "json", carry: Sequence[str] = ()) ->
     )
 
 
-def job_rows(pages: DataFrame, run_id: str, json: str = "json", carry: Sequence[str] = ()) -> DataFrame:
+def job_rows(
+    pages: DataFrame, run_id: str, json: str = "json", carry: Sequence[str] = (), page_no: str | None = None
+) -> DataFrame:
     """CI jobs of the run whose id stands in column ``run_id``."""
-    items = _items(pages, json, JOB_ITEM, "jobs", [*dict.fromkeys([*carry, run_id])])
+    items = _items(pages, json, JOB_ITEM, "jobs", [*dict.fromkeys([*carry, run_id])], page_no)
     return items.select(
-        *carry,
+        *_kept(carry, page_no),
         F.col(run_id).cast("string").alias("pipeline_id"),
         F.col("id").cast("string").alias("job_id"),
         "name",

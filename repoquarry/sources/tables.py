@@ -76,10 +76,10 @@ def append_run(spark: SparkSession, folder: str, repo_path: str, head_hash: str,
 
 
 def write_csv(df: DataFrame, path: str) -> bool:
-    """CSV folder with header; nothing is written for an empty result."""
+    """CSV folder with header, quotes doubled; nothing is written for an empty result."""
     if df.isEmpty():
         return False
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
     return True
 
 
@@ -93,7 +93,7 @@ def read_sample(spark: SparkSession, path: str | None) -> DataFrame | None:
     if not path:
         return None
     try:
-        raw = spark.read.option("header", True).csv(path)
+        raw = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(path)
         keys = [name for name in ("repo", "issue_number") if name in raw.columns]
         if "issue_number" not in keys:
             return None

@@ -181,6 +181,30 @@ def test_ci_ingest(spark):
     assert linked_runs(commits, pipelines).select("pipeline_id", "author_name").collect() == [("1001", "unknown")]
 
 
+def test_ingest_pages(spark):
+    def listed(*values, **more):
+        rows = [("github", "acme/widgets", no, json.dumps(v)) for no, v in enumerate(values)]
+        frame = spark.createDataFrame(rows, "provider string, repo string, page_no int, json string")
+        return frame.withColumns({name: F.lit(v) for name, v in more.items()})
+
+    moved = [{**ISSUES_PAGE[0], "state": "closed", "closed_at": "2024-02-01T00:00:00Z"}]
+    pulls = [{"number": 11, "title": "b", "state": "closed", "created_at": "2024-01-01T00:00:00Z",
+              "merged_at": "2024-01-02T00:00:00Z"}]
+    pages = {
+        "issues": listed(ISSUES_PAGE, moved),
+        "pulls": listed(pulls),
+        "runs": listed({"workflow_runs": [{"id": 1001, "conclusion": "success", "created_at": "2024-01-01T00:00:00Z"}]}),
+        "jobs": listed({"jobs": [{"id": 2001, "name": "build", "status": "running"}]}, run_id=1001),
+    }
+    tables = mine.ingest(pages)
+    again = mine.ingest(pages, tables)
+    for name, table in tables.items():
+        assert sorted(table.collect(), key=repr) == sorted(again[name].collect(), key=repr), name
+    assert {r.issue_number: r.state for r in tables["issues"].collect()} == {1: "closed", 3: "open"}
+    assert [r.state for r in tables["pull_requests"].collect()] == ["merged"]
+    assert tables["ci_jobs"].count() == tables["ci_pipelines"].count() == 1
+
+
 def test_streamed_arrivals(spark, tmp_path):
     source, landed = str(tmp_path / "in"), str(tmp_path / "landed")
     batches = [[("a", 1, 0), ("b", 1, 1)], [("a", None, 2), ("a", 5, 3)], [("b", 7, 4), ("c", 9, 5)]]
