@@ -20,6 +20,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .binding import bound
+
 # Words with a stem of their own.
 IRREGULAR = {
     "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
@@ -47,11 +49,6 @@ HAS_VOWEL = f"^({_C})?[aeiouy]"
 SHORT = f"^({_C}[aeiouy][^aeiouwxy]|[aeiou][^aeiou])$"  # measure 1, ends consonant-vowel-consonant
 
 
-def _with(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` applied to a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _ending(endings: Iterable[str]) -> str:
     """Pattern that captures the longest of the endings."""
     return "(" + "|".join(sorted(endings, key=len, reverse=True)) + ")$"
@@ -74,8 +71,8 @@ def _replace(pattern: str, rule: Callable[[Column, Column, Column], Column]) ->
 
     def step(word: Column) -> Column:
         found = F.regexp_extract(word, pattern, 1)
-        return _with(
-            found, lambda e: F.when(e == "", word).otherwise(_with(_cut(word, e), lambda base: rule(word, base, e)))
+        return bound(
+            found, lambda e: F.when(e == "", word).otherwise(bound(_cut(word, e), lambda base: rule(word, base, e)))
         )
 
     return step
@@ -154,7 +151,7 @@ def porter_stem(word: Column) -> Column:
     """Stem of a lower-case word."""
     stem = F.regexp_replace(word, "^y", "Y")
     for step in STEPS:
-        stem = _with(stem, step)
+        stem = bound(stem, step)
     return (
         F.when(word.isin(*IRREGULAR), F.element_at(_table(IRREGULAR), word))
         .when(F.length(word) <= 2, word)
