@@ -7,6 +7,7 @@ from ..operators import modeling
 from ..operators.clustering import representative_tokens
 from ..operators.features import commit_features, issue_features
 from ..operators.vocabulary import token_rows, vocabulary_table
+from ..session import materialize
 from ..sources.tables import read_table, read_texts
 from . import query
 from .adaptors import ISSUES_SQL, commits, events, issues, token_label, token_vec_id, tokens_sql, vec_id_sql
@@ -39,8 +40,9 @@ SELECT doc_id, {label_sql('message')} AS label,
     round(coalesce(mi / (d + ids - mi), 0), 6) AS id_overlap, round(coalesce(mn / (d + notes - mn), 0), 6) AS comment_overlap
 FROM commits LEFT JOIN counted USING (doc_id), sizes""")
 def commit_feature_rows(spark, folder):
-    ids = vocabulary_table(speech_tokens(spark, folder), ["doc_id", "pos"], stem=False)
-    notes = vocabulary_table(page_tokens(spark, folder), ["doc_id", "pos"], stem=False)
+    # read twice each, to flag tokens and for their size; the prediction plan stores them too
+    ids = materialize(speech_tokens(spark, folder).select("token").distinct())
+    notes = materialize(page_tokens(spark, folder).select("token").distinct())
     messages = commits(spark, folder)
     terms = token_rows(messages, ["doc_id"], "message").select("token").distinct()
     clusters = token_label(terms, spark, folder).where(F.col("label") < 5).withColumnRenamed("label", "cluster")

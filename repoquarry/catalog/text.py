@@ -15,7 +15,8 @@ SPACE = text.SPACE
 
 
 def plain_sql(column: str) -> str:
-    """The eight replacements in their original spelling."""
+    """The eight replacements, one regular expression after the other."""
+    # Patterns, replacements and flags in the order they apply.
     steps = [
         (r"```(?:[^\n]*)(.*?)```", r"<CODE>\1</CODE>", "gs"), (r"`(.*?)`", r"<CODE>\1</CODE>", "gs"), ("#", "", "g"),
         (rf"^{SPACE}*(?:[-*+]|\p{{Nd}}+\.)", "", ""), (r"\r\n|\r", "\\n", "g"), (r"\n{3,}", "\\n\\n", "g"),

@@ -81,8 +81,8 @@ def commit_features(
     labelled = commits.select(key, F.col(message).alias("__text"), commit_label(F.col(message)).alias("label"))
     tokens = token_rows(labelled, [key], "__text")
     pairs = tokens.groupBy(key, "token").agg(F.count("*").alias("n"))
-    # counting n instead of rows keeps the columns, and so the shuffle, of the pairs
-    weights = pairs.groupBy("token").agg(F.count("n").alias("weight"))
+    # every use needs n, by the filter too, so that all of them read one shuffle of the pairs
+    weights = pairs.groupBy("token").agg(F.sum("n").alias("weight")).where(F.col("weight") > 0)
     profile = token_profile(weights.select("token"), clusters, identifier_vocabulary, comment_vocabulary, stem)
     terms = (
         lookup_join(pairs, profile, ["token"], [key], "inner", weights)

@@ -1,4 +1,7 @@
-"""Text reports as (line_no, line) tables, put together from metric tables."""
+"""Text reports as (line_no, line) tables, put together from metric tables.
+
+Fixed values: the wording and number formats of the lines.
+"""
 
 from __future__ import annotations
 
