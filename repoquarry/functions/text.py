@@ -177,8 +177,12 @@ def words(text: Column) -> Column:
 
 
 def keeps_word(word: Column, min_length: int = 3, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    """Whether a word belongs to a vocabulary: no number, long enough, no stop word."""
-    keep = ~word.rlike(rf"^{DIGIT}+\z") & (F.length(word) >= min_length)
+    """Whether a word belongs to a vocabulary: no number, long enough, no stop word.
+
+    The null test stands first and is written out. Otherwise the optimizer infers it
+    in some uses of the same rows only, and their equal shuffles are not shared.
+    """
+    keep = word.isNotNull() & ~word.rlike(rf"^{DIGIT}+\z") & (F.length(word) >= min_length)
     return keep & ~word.isin(*stop_words) if stop_words else keep
 
 

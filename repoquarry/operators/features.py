@@ -79,7 +79,8 @@ def commit_features(
     A commit without tokens has zeros everywhere.
     """
     labelled = commits.select(key, F.col(message).alias("__text"), commit_label(F.col(message)).alias("label"))
-    tokens = token_rows(labelled, [key], "__text")
+    # the final join would infer the key's null test for one use of the tokens only
+    tokens = token_rows(labelled.where(F.col(key).isNotNull()), [key], "__text")
     pairs = tokens.groupBy(key, "token").agg(F.count("*").alias("n"))
     # every use needs n, by the filter too, so that all of them read one shuffle of the pairs
     weights = pairs.groupBy("token").agg(F.sum("n").alias("weight")).where(F.col("weight") > 0)
