@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,21 +32,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
+
+    Where it is unset, a session on one machine gets a temporary folder; a cluster has
+    to name one.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="repoquarry-checkpoint-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return re.sub(r"^file:/+", "file:///", folder).rstrip("/")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
 
     Used where a plan must not be evaluated twice: row numbers over a sorted
     table, inputs of iterative fits, and results whose size is then checked.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="repoquarry-checkpoint-")
-        context.setCheckpointDir(folder)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
