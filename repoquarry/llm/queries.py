@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import repetition_rules
+from . import repetition_rules, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -63,3 +63,42 @@ def _repetition_sql(rules: repetition_rules.Rules) -> str:
 
 
 ORACLES["op2_repetition_rules"] = _repetition_sql(repetition_rules.Rules())
+
+
+# --- 7: URL filters -----------------------------------------------------------------------------
+
+# The rules of the query.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@_query
+def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(_table(spark, folder, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op7_url_rules"] = rf"""
+    WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+    rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    split AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host) + length(rule_path) DESC NULLS LAST) AS place
+      FROM split LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+    SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdict, 'allow') AS verdict FROM ranked WHERE place = 1"""
+
+
+# --- 9: WARC ------------------------------------------------------------------------------------
+
+
+@_query
+def op9_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc_index.new_folder(spark)
+    index = warc_index.write_archives(_table(spark, folder, "pages"), archives)
+    return warc_index.read_records(index, archives, payload=False)
+
+
+ORACLES["op9_warc_index"] = f"""
+    WITH firsts AS (SELECT page_id, encode(coalesce(html, '')) AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+    SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+      CASE WHEN octet_length(payload) >= {warc_index.MIN_SHARED} AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN octet_length(payload) >= {warc_index.MIN_SHARED} AND page_id > first THEN first END AS refers_to FROM firsts"""
