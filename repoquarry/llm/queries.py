@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import repetition_rules, url_rules, warc_index
+from . import best_fit_packing, repetition_rules, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -65,6 +65,20 @@ def _repetition_sql(rules: repetition_rules.Rules) -> str:
 ORACLES["op2_repetition_rules"] = _repetition_sql(repetition_rules.Rules())
 
 
+# --- 3: best-fit packing ------------------------------------------------------------------------
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit_packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
+
+
 # --- 7: URL filters -----------------------------------------------------------------------------
 
 # The rules of the query.
