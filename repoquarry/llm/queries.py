@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit_packing, repetition_rules, url_rules, warc_index
+from . import best_fit_packing, parity_join, repetition_rules, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -79,6 +79,35 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
 
 
+# --- 5: n-gram Jaccard join ---------------------------------------------------------------------
+
+
+@_query
+def op5_parity_join(spark: SparkSession, folder: str) -> DataFrame:
+    return parity_join.classes(_table(spark, folder, "documents"), shingle=3, percent=90)
+
+
+ORACLES["op5_parity_join"] = r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+      FROM documents),
+    shingles AS (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [list_aggregate(ws, 'string_agg', ' ')]
+        ELSE list_distinct([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] for i in range(1, len(ws) - 1)]) END) AS s FROM words),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    -- a pair that reaches 0.9 shares one of the first tenth of either set, the rarest shingles first
+    ranked AS (SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY f, s) AS place
+      FROM shingles JOIN sizes USING (doc_id) JOIN (SELECT s, count(*) AS f FROM shingles GROUP BY s) USING (s)),
+    heads AS (SELECT doc_id, s, n FROM ranked WHERE place <= n - ceil(0.9 * n) + 1),
+    candidates AS (SELECT DISTINCT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny
+      FROM heads a JOIN heads b ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)),
+    shared AS (SELECT x, y, nx, ny, count(*) AS n_both FROM candidates JOIN shingles a ON a.doc_id = x JOIN shingles b ON b.doc_id = y AND a.s = b.s GROUP BY ALL),
+    links AS (SELECT x, y FROM shared WHERE 100 * n_both >= 90 * (nx + ny - n_both)),
+    edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reach(doc_id, other) AS (SELECT x, y FROM edges UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON r.other = e.x)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id
+    FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id"""
+
+
 # --- 7: URL filters -----------------------------------------------------------------------------
 
 # The rules of the query.
