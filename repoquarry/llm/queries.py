@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import best_fit_packing, parity_join, repetition_rules, url_rules, warc_index
+from . import best_fit_packing, parity_join, repetition_rules, toxic_segments, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -145,3 +146,19 @@ ORACLES["op9_warc_index"] = f"""
     SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
       CASE WHEN octet_length(payload) >= {warc_index.MIN_SHARED} AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
       CASE WHEN octet_length(payload) >= {warc_index.MIN_SHARED} AND page_id > first THEN first END AS refers_to FROM firsts"""
+
+
+# --- 10: toxicity -------------------------------------------------------------------------------
+
+
+def in_fold(column: str, folds: int) -> Column:
+    """Whether crc32 of the id as text is divisible by ``folds``; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds == 0
+
+
+@_query
+def op10_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = toxic_segments.fit(docs, _table(spark, folder, "labels"), ~in_fold("doc_id", 5))
+    scored = toxic_segments.score_documents(docs, model, with_segments=False)
+    return scored.select("doc_id", in_fold("doc_id", 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
