@@ -66,7 +66,7 @@ def shingle_sets(column: pa.Array, k: int) -> Sets:
     words = split_words(column)
     n_words = np.bincount(words.doc, minlength=words.n_docs)
     docs, keys = [], []
-    for n, at, rolled in roll(word_hashes(words, lower=True), words.doc, k):
+    for n, at, rolled in roll(word_hashes(words, lower=True), words.doc, range(1, k + 1)):
         wanted = np.ones(len(at), bool) if n == k else n_words[words.doc[at]] == n
         docs.append(words.doc[at][wanted])
         keys.append(rolled[wanted])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, parity_join, repetition_rules, toxic_segments, url_rules, warc_index
+from . import best_fit_packing, parity_join, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -20,6 +20,15 @@ def _query(function):
     return function
 
 
+# --- 1: benchmark decontamination ---------------------------------------------------------------
+
+
+@_query
+def op1_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = template_decontamination.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "item_words", "covered_words", "slots_changed")
+
+
 # --- 2: quality rules ---------------------------------------------------------------------------
 
 

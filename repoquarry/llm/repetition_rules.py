@@ -99,14 +99,13 @@ def measures(column: pa.Array, rules: Rules) -> dict[str, np.ndarray]:
     np.cumsum(((words.data & 0xC0) != 0x80) & ~SPACE[words.data], out=word_points[1:])
     out["dup_line_chars"] = per_unit((word_points[end] - word_points[start])[again], line_doc[again], n)
     wanted = {rules.base_window, *(k for k, _ in rules.windows)}
-    for k, at, keys in roll(word_hashes(words), doc, max(wanted)):
-        if k in wanted:
-            twice, _ = repeated(keys, doc[at])
-            cover = covered(at[twice], k, len(doc))
-            if k == rules.base_window:
-                out["n_repeat_words"] = np.bincount(doc[cover], minlength=n).astype(np.int64)
-            if k in dict(rules.windows):
-                out[f"dup_{k}gram_chars"] = per_unit(length[cover], doc[cover], n)
+    for k, at, keys in roll(word_hashes(words), doc, wanted):
+        twice, _ = repeated(keys, doc[at])
+        cover = covered(at[twice], k, len(doc))
+        if k == rules.base_window:
+            out["n_repeat_words"] = np.bincount(doc[cover], minlength=n).astype(np.int64)
+        if k in dict(rules.windows):
+            out[f"dup_{k}gram_chars"] = per_unit(length[cover], doc[cover], n)
     return out
 
 

@@ -9,7 +9,7 @@ about 2^-64 a pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -146,15 +146,17 @@ def string_hashes(texts: list[str], lower: bool = False) -> np.ndarray:
 _ROLL = _U(0xF1357AEA2E62A9C5)
 
 
-def roll(keys: np.ndarray, unit: np.ndarray, n_max: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Rolling hashes of windows of 1 .. ``n_max`` consecutive keys inside one unit.
+def roll(keys: np.ndarray, unit: np.ndarray, lengths: Iterable[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Rolling hashes of windows of n consecutive keys inside one unit, for each n of ``lengths``.
 
     Yields (n, first positions, hashes). The window of n keys extends that of n - 1.
     """
-    rolled = keys.copy()
-    for n in range(1, n_max + 1):
+    lengths, rolled = set(lengths), keys.copy()
+    for n in range(1, max(lengths, default=0) + 1):
         if n > 1:
             rolled = rolled[:-1] * _ROLL + keys[n - 1 :] if len(rolled) else rolled
+        if n not in lengths:
+            continue
         at = np.flatnonzero(unit[: len(rolled)] == unit[n - 1 : n - 1 + len(rolled)]) if len(rolled) else np.zeros(0, np.int64)
         yield n, at, mix(rolled[at] + _U(n))
 
