@@ -8,7 +8,7 @@ more is needed, the fullest closes. What a task has open at its end is packed on
 in tasks of up to ``REPACK_PIECES`` pieces, so that many small tasks do not leave many
 half-empty sequences.
 
-Texts are split where a space or line feed follows a character that is not white
+Texts are split where a space follows a character that is not white
 space. No token of the byte-level tokenizer crosses such a place, so the ids of the
 parts, kept in a bounded cache, are those of the whole text.
 
@@ -38,17 +38,16 @@ END_ID = 0
 OPEN_BINS = 256
 TASK_PIECES = 100_000  # pieces that one task packs in the first round
 REPACK_PIECES = 1_000_000  # and in the second
-CACHED_PARTS = 400_000
+CACHED_PARTS = 800_000
 CACHED_CHARS = 48
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 4 << 20
 
-_PARTS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_CUTS = re.compile(r"(?<=\S)(?=[ \n])")
+_CUTS = re.compile(r"(?<=\S)(?= )")
 
 
 class _Ids(dict):
-    """Ids of text parts, as little-endian unsigned 32-bit bytes."""
+    """Ids of text parts, as little-endian unsigned 32-bit bytes. Most parts are kept without the space before them."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -60,27 +59,26 @@ class _Ids(dict):
         for token, i in vocabulary.items():
             self.sizes[i] = len(token)
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of new parts. Those that begin with a space and end without one are encoded as one text."""
-        joined = [p for p in parts if p[0] in " \n" and not p[-1].isspace()]
-        found = {p: self._encode(p).tobytes() for p in parts if not (p[0] in " \n" and not p[-1].isspace())}
-        if joined:
-            ids = self._encode("".join(joined))
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode()) for p in joined])) + 1
+    def _learn(self, parts: list[str]) -> None:
+        """Add new parts, encoded as one text of which each begins with a space and follows a character that is none."""
+        if parts:
+            ids = self.encode(" " + " ".join(parts))
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode()) + 1 for p in parts])) + 1
             data, at = ids.tobytes(), 0
-            for part, end in zip(joined, (4 * ends).tolist()):
-                found[part], at = data[at:end], end
-        return found
+            for part, end in zip(parts, (4 * ends).tolist()):
+                self[part], at = data[at:end], end
 
     def of_all(self, texts: list[str | None]) -> list[bytes]:
-        split = [[] if not t else _CUTS.split(t) if _OTHER_SPACE.search(t) else _PARTS.findall(t) for t in texts]
-        new = self._learn(list(set().union(*split).difference(self)))
+        split = [_parts(t) for t in texts]
+        new = set().union(*(parts for _, parts in split)).difference(self)
+        odd = {p for p in new if not p or p[-1].isspace()}  # a part that ends in white space is followed by nothing
         room = CACHED_PARTS - len(self)
-        self.update(new)
-        out = [b"".join(map(self.__getitem__, parts)) for parts in split]
+        self._learn(list(new - odd))
+        self.update((p, self.encode(" " + p).tobytes()) for p in odd)
+        out = [b"".join([*(self.encode(p).tobytes() for p in alone), *map(self.__getitem__, parts)]) for alone, parts in split]
         kept = 0
         for part in new:
             if kept < room and len(part) <= CACHED_CHARS:
@@ -90,6 +88,20 @@ class _Ids(dict):
         return out
 
 
+def _parts(text: str | None) -> tuple[list[str], list[str]]:
+    """(parts as they are, parts that follow with a space before each).
+
+    A space after a character that is not white space begins a part; other spaces do not.
+    """
+    if not text:
+        return [], []
+    if "  " in text or "\n " in text or _OTHER_SPACE.search(text):
+        first, *rest = _CUTS.split(text)
+        return [first], [part[1:] for part in rest]
+    first, *rest = text.split(" ")
+    return [first] if first else [], rest
+
+
 _LOADED: dict[str, _Ids] = {}
 
 
