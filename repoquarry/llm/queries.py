@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, parity_join, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
+from . import best_fit_packing, ordinal_quality, parity_join, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -20,6 +20,11 @@ def _query(function):
     return function
 
 
+def in_fold(column: str, folds: int) -> Column:
+    """Whether crc32 of the id as text is divisible by ``folds``; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds == 0
+
+
 # --- 1: benchmark decontamination ---------------------------------------------------------------
 
 
@@ -89,6 +94,20 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
 
 
+# --- 4: quality classifier ----------------------------------------------------------------------
+
+
+@_query
+def op4_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    # Grades from the two ratings: 0 poor, 1 good but toxic, 2 good.
+    grades = _table(spark, folder, "labels").select("doc_id", (F.col("quality") * (2 - F.col("toxic"))).alias("grade"))
+    docs = _table(spark, folder, "documents")
+    model = ordinal_quality.fit(docs, grades, 3, ~in_fold("doc_id", 5))
+    graded = ordinal_quality.grade_documents(docs, model)
+    good = F.col("tail")[0]
+    return graded.select("doc_id", in_fold("doc_id", 5).alias("held_out"), "expected_grade", good.alias("p_good"), F.col("tail")[1].alias("p_best"), (good >= 0.5).alias("kept"))
+
+
 # --- 5: n-gram Jaccard join ---------------------------------------------------------------------
 
 
@@ -160,11 +179,6 @@ ORACLES["op9_warc_index"] = f"""
 # --- 10: toxicity -------------------------------------------------------------------------------
 
 
-def in_fold(column: str, folds: int) -> Column:
-    """Whether crc32 of the id as text is divisible by ``folds``; a null id counts as an empty text."""
-    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds == 0
-
-
 @_query
 def op10_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
