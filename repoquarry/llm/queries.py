@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, ordinal_quality, parity_join, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
+from . import best_fit_packing, licence_classifier, ordinal_quality, parity_join, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -137,6 +137,15 @@ ORACLES["op5_parity_join"] = r"""
     FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id"""
 
 
+# --- 6: licence scans ---------------------------------------------------------------------------
+
+
+@_query
+def op6_licence_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return licence_classifier.statements(docs, licence_classifier.fit(docs))
+
+
 # --- 7: URL filters -----------------------------------------------------------------------------
 
 # The rules of the query.
