@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, licence_classifier, ordinal_quality, parity_join, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
+from . import best_fit_packing, licence_classifier, ordinal_quality, parity_join, recurrent_lm, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -168,6 +168,14 @@ ORACLES["op7_url_rules"] = rf"""
     SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdict, 'allow') AS verdict FROM ranked WHERE place = 1"""
 
 
+# --- 8: LM scoring ------------------------------------------------------------------------------
+
+
+@_query
+def op8_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return recurrent_lm.score_documents(_table(spark, folder, "documents"), in_fold("doc_id", 10))
+
+
 # --- 9: WARC ------------------------------------------------------------------------------------
 
 
