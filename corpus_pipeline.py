@@ -4,15 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repoquarry.llm import repetition_rules
+from repoquarry.llm import best_fit_packing, parity_join, repetition_rules, template_decontamination, toxic_segments
+from repoquarry.llm.queries import in_fold, tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that the repetition rules reject."""
     return repetition_rules.keep_unrepetitive(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
-ORACLE_SQL = None
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents whose passages are toxic; labels of the documents that are left teach the scores."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxic_segments.drop_toxic(docs, toxic_segments.fit(docs, labels, ~in_fold("doc_id", 5)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of texts whose 5-word shingles link them at 0.8 or more."""
+    return parity_join.keep_one(docs, shingle=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that hold a benchmark item, as it is or with other slot values."""
+    return template_decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences of 2,048 tokens."""
+    return best_fit_packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+
+ORACLE_SQL = None  # the toxicity scores are learned
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -248,6 +248,21 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without all but the smallest id of every class, with all their columns.
+
+    Of rows that share an id and the text one stays. Rows with a null id stay, as no class can be named by them.
+    """
+    placed = materialize(classes(docs, id_col, text_col, shingle, percent).select(F.col(id_col).alias("_id"), "component_id").filter("_id IS NOT NULL"))
+    drop = placed.filter("_id <> component_id").select("_id").distinct()
+    kept = docs.join(drop, F.col(f"`{id_col}`") == F.col("_id"), "left_anti")
+    twice = materialize(placed.groupBy("_id").count().filter("count > 1").select("_id"))
+    if not twice.count():
+        return kept
+    same = F.col(f"`{id_col}`") == F.col("_id")
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([id_col, text_col]))
+
+
 def _texts(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """(sid, text) of the sets in ``pairs``, from one row each."""
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
