@@ -408,7 +408,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                 at = found.find(key)
                 y = found.outputs(key, at)
                 natural = score_texts(shared.value, doc, y, n)
-                add = lambda v, where: np.bincount(doc[where], weights=v[where], minlength=n)
+                add = lambda v, where: np.bincount(doc[where], weights=v[where], minlength=n).astype(float)
                 near, outside = at >= 0, y < GROUPS
                 log_c = np.log10((found.count[at] if len(found.count) else np.zeros(len(at))) + SMOOTH)
                 tokens = np.bincount(doc, minlength=n)

@@ -212,6 +212,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows whose text holds no item, with all their columns."""
-    found = materialize(contaminated(docs, items, id_col, text_col, item_col, item_text_col).select(F.col("key").alias("_key"), F.col("key2").alias("_key2")).distinct())
+    found = contaminated(docs, items, id_col, text_col, item_col, item_text_col)
+    found = materialize(found.select(F.col("key").alias("__key"), F.col("key2").alias("__key2")).distinct())
     key, key2 = text_keys(F.col(f"`{text_col}`"))
-    return docs.join(found, (F.col("_key") == key) & (F.col("_key2") == key2), "left_anti")
+    return docs.join(found, (F.col("__key") == key) & (F.col("__key2") == key2), "left_anti")

@@ -84,10 +84,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
                     F.concat("rule_host", "rule_path").alias("rule"),
                     F.col("rule_verdict").alias("verdict"),
                 )
-            ).alias("best")
+            ).alias("__best")
         )
     )
     return (
         split.join(best, ["host", "path"], "left")
-        .select(*(F.col(f"`{c}`") for c in split.columns), F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+        .select(*(F.col(f"`{c}`") for c in split.columns), F.col("__best.rule").alias("rule"), F.coalesce("__best.verdict", F.lit(default)).alias("verdict"))
     )
