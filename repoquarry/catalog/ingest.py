@@ -26,7 +26,7 @@ def pages(items: DataFrame, field: str | None = None, *keys: str) -> DataFrame:
 SELECT CAST(event_id AS INTEGER) AS issue_number, event_type || ' ' || user_id AS title, CASE WHEN k % 3 = 0 THEN '' ELSE props END AS body,
        CASE WHEN k % 5 <> 0 THEN 'User' || user_id END AS author, CASE WHEN k % 2 = 0 THEN 'closed' ELSE 'open' END AS state,
        k AS comments_count, event_type || ',k' || k AS labels, epoch_us(date_trunc('second', ts)) AS created_us,
-       CASE WHEN k % 2 = 0 THEN epoch_us(date_trunc('second', ts)) END AS closed_us
+       CASE WHEN k % 2 = 0 THEN epoch_us(date_trunc('second', ts)) END AS closed_us, CASE WHEN k % 4 = 0 THEN 'done' END AS state_reason
 FROM ev WHERE event_type <> 'view'""")
 def issues_from_json(spark, folder):
     e = events(spark, folder)
@@ -36,6 +36,7 @@ def issues_from_json(spark, folder):
         F.when(F.col("k") % 3 != 0, F.col("props")).alias("body"),
         F.when(F.col("k") % 5 != 0, F.struct(F.concat(F.lit("User"), "user_id").alias("login"))).alias("user"),
         F.when(F.col("k") % 2 == 0, "closed").alias("state"),
+        F.when(F.col("k") % 4 == 0, "done").alias("state_reason"),
         F.col("k").alias("comments"),
         F.array(F.struct(F.col("event_type").alias("name")),
                 F.struct(F.concat(F.lit("k"), "k").alias("name"))).alias("labels"),
@@ -45,14 +46,15 @@ def issues_from_json(spark, folder):
     )
     rows = payloads.issue_rows(pages(e.select(F.col("event_id").alias("item_id"), item.alias("item"))))
     return rows.withColumns({"created_us": micros("created_at"), "closed_us": micros("closed_at")}).drop(
-        "created_at", "closed_at", "state_reason"
+        "created_at", "closed_at"
     )
 
 
 @query("pulls_state", f"""WITH {EVENTS_SQL}
 SELECT CAST(event_id AS INTEGER) AS pr_number, event_type AS title, 'User' || user_id AS author,
        CASE WHEN k % 3 = 2 THEN 'merged' WHEN k % 2 = 0 THEN 'closed' ELSE 'open' END AS state,
-       CASE WHEN k % 3 = 2 THEN epoch_us(date_trunc('second', ts)) END AS merged_us
+       CASE WHEN k % 3 = 2 THEN epoch_us(date_trunc('second', ts)) END AS merged_us, epoch_us(date_trunc('second', ts)) AS created_us,
+       CASE WHEN k % 5 = 0 THEN epoch_us(date_trunc('second', ts)) END AS closed_us
 FROM ev""")
 def pulls_state(spark, folder):
     e = events(spark, folder)
@@ -64,14 +66,16 @@ def pulls_state(spark, folder):
         F.when(F.col("k") % 2 == 0, "closed").alias("state"),
         iso(F.col("at")).alias("created_at"),
         merged.alias("merged_at"),
+        F.when(F.col("k") % 5 == 0, iso(F.col("at"))).alias("closed_at"),
     )
     rows = payloads.pull_rows(pages(e.select(F.col("event_id").alias("item_id"), item.alias("item"))))
-    return rows.select("pr_number", "title", "author", "state", micros("merged_at").alias("merged_us"))
+    return rows.select("pr_number", "title", "author", "state", *(micros(f"{c}_at").alias(f"{c}_us") for c in ("merged", "created", "closed")))
 
 
 @query("run_status", f"""WITH {EVENTS_SQL}
 SELECT CAST(event_id AS VARCHAR) AS pipeline_id, CASE WHEN k % 3 = 0 THEN 'success' WHEN k % 2 = 0 THEN 'queued'
-       ELSE 'unknown' END AS status, md5(CAST(user_id AS VARCHAR)) AS sha, epoch_us(date_trunc('second', ts)) AS created_us
+       ELSE 'unknown' END AS status, md5(CAST(user_id AS VARCHAR)) AS sha, epoch_us(date_trunc('second', ts)) AS created_us,
+       CASE WHEN k % 2 = 1 THEN epoch_us(date_trunc('second', ts)) END AS updated_us
 FROM ev""")
 def run_status(spark, folder):
     e = events(spark, folder)
@@ -80,15 +84,16 @@ def run_status(spark, folder):
         F.when(F.col("k") % 3 == 0, "success").when(F.col("k") % 3 == 1, "").alias("conclusion"),
         F.when(F.col("k") % 2 == 0, "queued").when(F.col("k") % 5 == 0, "").alias("status"),
         iso(F.col("at")).alias("created_at"),
+        F.when(F.col("k") % 2 == 1, iso(F.col("at"))).alias("updated_at"),
         F.md5(F.col("user_id").cast("string")).alias("head_sha"),
     )
     rows = payloads.run_rows(pages(e.select(F.col("event_id").alias("item_id"), item.alias("item")), "workflow_runs"))
-    return rows.select("pipeline_id", "status", "sha", micros("created_at").alias("created_us"))
+    return rows.select("pipeline_id", "status", "sha", micros("created_at").alias("created_us"), micros("updated_at").alias("updated_us"))
 
 
 @query("job_rows", f"""WITH {EVENTS_SQL}
 SELECT CAST(user_id AS VARCHAR) AS pipeline_id, CAST(event_id AS VARCHAR) AS job_id, event_type AS name,
-       CASE WHEN k % 2 = 0 THEN 'done' ELSE 'running' END AS status,
+       CASE WHEN k % 2 = 0 THEN 'done' ELSE 'running' END AS status, epoch_us(date_trunc('second', ts)) AS started_us,
        CASE WHEN k % 2 = 0 THEN epoch_us(date_trunc('second', ts)) END AS finished_us,
        CASE WHEN k % 2 = 0 THEN k * 731 // 1000 END AS duration_seconds
 FROM ev""")
@@ -106,7 +111,7 @@ def job_rows(spark, folder):
     )
     listed = pages(e.select("user_id", F.col("event_id").alias("item_id"), item.alias("item")), "jobs", "user_id")
     rows = payloads.job_rows(listed, "user_id")
-    return rows.select("pipeline_id", "job_id", "name", "status", micros("finished_at").alias("finished_us"),
+    return rows.select("pipeline_id", "job_id", "name", "status", micros("started_at").alias("started_us"), micros("finished_at").alias("finished_us"),
                        "duration_seconds")
 
 

@@ -13,8 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STORED = -1
-
 
 @dataclass(frozen=True)
 class Rules:
@@ -67,13 +65,16 @@ CI_JOBS = Rules(
 
 
 def upsert(stored: DataFrame | None, batch: DataFrame, rules: Rules, arrival: str) -> DataFrame:
-    """Merge ``batch`` into ``stored``; ``arrival`` is a long that orders the batch.
+    """Merge ``batch`` into ``stored``; ``arrival`` is any orderable column that orders the batch.
 
-    Arrival numbers must be at least 0 and differ among the rows of a key.
+    Arrivals must differ among the rows of a key and not be null. Stored rows come before all of them.
     """
-    arriving = batch.select(*rules.columns, F.col(arrival).cast("long").alias("__seq"))
+    order = F.struct(F.lit(1).alias("batch"), F.col(arrival).alias("arrival")).alias("__seq")
+    arriving = batch.select(*rules.columns, order)
     if stored is not None:
-        arriving = stored.select(*rules.columns, F.lit(STORED).cast("long").alias("__seq")).unionByName(arriving)
+        kind = arriving.schema["__seq"].dataType["arrival"].dataType
+        before = F.struct(F.lit(0).alias("batch"), F.lit(None).cast(kind).alias("arrival")).alias("__seq")
+        arriving = stored.select(*rules.columns, before).unionByName(arriving)
     merged: list[Column] = []
     if rules.first:
         merged.append(F.min_by(F.struct(*rules.first), "__seq").alias("__first"))
@@ -110,11 +111,12 @@ def upsert_jobs(stored: DataFrame | None, batch: DataFrame, arrival: str) -> Dat
 
 
 def jobs_of_batch(jobs: DataFrame, pipelines: DataFrame) -> DataFrame:
-    """Jobs that belong to a pipeline of the batch; others are not ingested."""
+    """Jobs that belong to a pipeline of the batch, of the same repository; others are not ingested."""
     from .joins import semi_by
 
-    ids = pipelines.select(F.col("pipeline_id").cast("string").alias("pipeline_id"))
-    return semi_by(jobs.withColumn("pipeline_id", F.col("pipeline_id").cast("string")), ids, ["pipeline_id"], ["job_id"])
+    origin = ["provider", "repo", "pipeline_id"]
+    ids = pipelines.select("provider", "repo", F.col("pipeline_id").cast("string").alias("pipeline_id"))
+    return semi_by(jobs.withColumn("pipeline_id", F.col("pipeline_id").cast("string")), ids, origin, ["job_id"])
 
 
 def ingest_ci(

@@ -3,7 +3,11 @@
 Each reader takes a table with one JSON document per row, the body of one
 response page, and keeps the columns named in ``carry`` (provider, repository and
 the like). With ``page_no``, a column that numbers the pages as they arrived, the
-rows get an ``arrival`` number for the merges.
+rows get an ``arrival`` for the merges: the page number and the place in the page.
+
+Reading is strict. A page that is no JSON or has not the expected form (cut off, an
+error message), and a page with an item without its number or id, or with a number
+beyond its column, stop the run with an error that names the page. Only a null page has no rows.
 """
 
 from __future__ import annotations
@@ -19,12 +23,12 @@ from ..functions.timing import utc_timestamp
 _USER = "user:struct<login:string>"
 # a pull request is told from an issue by the presence of its link object
 ISSUE_ITEM = (
-    f"struct<number:int,title:string,body:string,{_USER},state:string,state_reason:string,"
+    f"struct<number:bigint,title:string,body:string,{_USER},state:string,state_reason:string,"
     "comments:int,labels:array<struct<name:string>>,created_at:string,closed_at:string,"
     "pull_request:struct<url:string>>"
 )
 PULL_ITEM = (
-    f"struct<number:int,title:string,{_USER},state:string,created_at:string,merged_at:string,"
+    f"struct<number:bigint,title:string,{_USER},state:string,created_at:string,merged_at:string,"
     "closed_at:string>"
 )
 RUN_ITEM = (
@@ -40,21 +44,36 @@ def _filled(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
-# more than any page holds
-_PAGE_ITEMS = 1_000_000
+INT_MAX = 2**31 - 1
 
 
 def _items(
     pages: DataFrame, json: str, shape: str, field: str | None, carry: Sequence[str], page_no: str | None
 ) -> DataFrame:
-    """One row per item of every page, the carried columns and the arrival number in front."""
-    schema = f"array<{shape}>" if field is None else f"struct<{field}:array<{shape}>>"
-    parsed = F.from_json(json, schema)
+    """One row per item of every page, the carried columns and the arrival in front."""
+    text = F.col(json)
+    parsed = F.from_json(json, f"array<{shape}>" if field is None else f"struct<{field}:array<{shape}>>")
     items = parsed if field is None else parsed[field]
+    whole = F.try_parse_json(text).isNotNull() & F.startswith(F.ltrim(text), F.lit("[" if field is None else "{"))
+    name = "number" if "number:" in shape else "id"
+    beyond = F.lit(False) if name == "id" else F.exists(items, lambda i: F.abs(i[name]) > INT_MAX)
+    known = [page_no] if page_no is not None else []
+    page = F.concat_ws(" ", *(F.col(c).cast("string") for c in [*carry, *known]), F.substring(text, 1, 80))
+
+    def error(what: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{what} in page: "), page)).cast(f"array<{shape}>")
+
+    checked = (
+        F.when(text.isNull(), F.lit(None))
+        .when(~F.coalesce(whole, F.lit(False)) | items.isNull(), error(f"no list of {field or 'items'}"))
+        .when(F.exists(items, lambda i: i[name].isNull()), error(f"an item without {name}"))
+        .when(F.coalesce(beyond, F.lit(False)), error(f"a {name} out of range"))
+        .otherwise(items)
+    )
     if page_no is None:
-        return pages.select(*carry, F.inline(items))
-    placed = pages.select(*carry, F.col(page_no).cast("long").alias("__page"), F.posexplode(items).alias("__pos", "__item"))
-    arrival = (F.col("__page") * _PAGE_ITEMS + F.col("__pos")).alias("arrival")
+        return pages.select(*carry, F.inline(checked))
+    placed = pages.select(*carry, F.col(page_no).cast("long").alias("__page"), F.posexplode(checked).alias("__pos", "__item"))
+    arrival = F.struct(F.col("__page").alias("page"), F.col("__pos").alias("place")).alias("arrival")
     return placed.select(*carry, arrival, "__item.*")
 
 
@@ -70,7 +89,7 @@ def issue_rows(
     names = F.transform("labels", lambda label: F.coalesce(label["name"], F.lit("")))
     return items.select(
         *_kept(carry, page_no),
-        F.col("number").alias("issue_number"),
+        F.col("number").cast("int").alias("issue_number"),
         remove_nul(F.col("title")).alias("title"),
         remove_nul(F.col("body")).alias("body"),
         F.col("user.login").alias("author"),
@@ -91,7 +110,7 @@ def pull_rows(
     state = F.when(_filled("merged_at").isNotNull(), "merged").otherwise(F.coalesce("state", F.lit("open")))
     return items.select(
         *_kept(carry, page_no),
-        F.col("number").alias("pr_number"),
+        F.col("number").cast("int").alias("pr_number"),
         F.coalesce("title", F.lit("")).alias("title"),
         F.col("user.login").alias("author"),
         state.alias("state"),

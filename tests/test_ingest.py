@@ -243,3 +243,55 @@ def test_tables_and_sinks(spark, tmp_path):
     wrong = spark.createDataFrame([("x",)], "issue_number string")
     tables.write_csv(wrong, folder + "/wrong")
     assert tables.read_sample(spark, folder + "/wrong") is None
+
+
+BAD_PAGES = [
+    ('[{"number": 1, "title": "cut o', "no list of items"),
+    ('{"message": "rate limit"}', "no list of items"),
+    ("", "no list of items"),
+    ('[{"title": "nameless"}]', "an item without number"),
+    ('[{"number": "x"}]', "an item without number"),
+    ('[{"number": 1}, {"number": 9999999999}]', "a number out of range"),
+]
+
+
+@pytest.mark.parametrize(("text", "problem"), BAD_PAGES)
+@pytest.mark.parametrize("reader", [payloads.issue_rows, payloads.pull_rows])
+def test_bad_list_pages_stop_the_run(spark, reader, text, problem):
+    pages = spark.createDataFrame([("north/star", 7, text)], "repo string, page_no long, json string")
+    with pytest.raises(PySparkException, match=f"{problem} in page: north/star 7"):
+        reader(pages, carry=["repo"], page_no="page_no").collect()
+
+
+@pytest.mark.parametrize("text", ['{"workflow_runs": [{"id": 1}', '{"message": "no"}', '{"workflow_runs": [{"status": "x"}]}', "[]"])
+def test_bad_run_pages_stop_the_run(spark, text):
+    with pytest.raises(PySparkException, match="in page: "):
+        payloads.run_rows(spark.createDataFrame([(text,)], "json string")).collect()
+
+
+def test_pages_without_items(spark):
+    pages = spark.createDataFrame([("[]",), (" [ ]",), (None,)], "json string")
+    assert payloads.issue_rows(pages).count() == 0
+    assert payloads.run_rows(spark.createDataFrame([('{"workflow_runs": []}',)], "json string")).count() == 0
+
+
+def test_arrivals_order_by_page_then_place(spark):
+    """A place beyond any page size stays before the next page."""
+    late = [{"number": 1, "title": f"t{i}", "state": "open", "created_at": "2024-01-01T00:00:00Z"} for i in range(3)]
+    pages = spark.createDataFrame([("p", "r", 2, json.dumps(late[2:])), ("p", "r", 1, json.dumps(late[:2]))],
+                                  "provider string, repo string, page_no long, json string")
+    rows = payloads.issue_rows(pages, carry=["provider", "repo"], page_no="page_no")
+    assert [tuple(r[0]) for r in rows.select("arrival").orderBy("arrival").collect()] == [(1, 0), (1, 1), (2, 0)]
+    moved = rows.withColumn("arrival", F.struct(F.col("arrival.page"), (F.col("arrival.place") + 5_000_000).alias("place")))
+    moved = moved.withColumn("arrival", F.when(F.col("title") == "t2", F.struct(F.lit(2).cast("long").alias("page"), F.lit(0).alias("place"))).otherwise(F.col("arrival")))
+    table = ops.upsert_issues(None, moved, "arrival")
+    assert table.first()["title"] == "t2"
+    again = ops.upsert_issues(table, moved.where("title = 't0'"), "arrival")
+    assert again.first()["title"] == "t0" and again.count() == 1
+
+
+def test_jobs_follow_runs_of_their_own_repository(spark):
+    runs = spark.createDataFrame([("h", "a", "1"), ("g", "c", "2")], "provider string, repo string, pipeline_id string")
+    jobs = spark.createDataFrame([("h", "a", 1, "j1"), ("g", "b", 1, "j2"), ("g", "a", 1, "j3"), ("g", "c", 2, "j4"), ("h", "a", 2, "j5")],
+                                 "provider string, repo string, pipeline_id long, job_id string")
+    assert sorted(r["job_id"] for r in ops.jobs_of_batch(jobs, runs).collect()) == ["j1", "j4"]
