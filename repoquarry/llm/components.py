@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
+ROWS = 200_000  # a task takes at least so many narrow rows
+
 
 def _hang(edges: DataFrame, smaller: bool) -> DataFrame:
     """(u, v) pairs with every v hung on the smallest node next to u, or on u."""
@@ -26,21 +28,27 @@ def _hang(edges: DataFrame, smaller: bool) -> DataFrame:
     return both.filter("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
+def compact(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed and read with a partition for every ``ROWS`` rows at most."""
+    df = materialize(df)
+    return df.coalesce(df.count() // ROWS + 1)
+
+
 def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): every linked node and the smallest node of its component. Links are longs."""
 
     def state(edges: DataFrame) -> tuple:
-        row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return tuple(row)
+        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    edges = materialize(edges)
+    edges = materialize(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
     before = state(edges)
     while before[0]:
-        edges = materialize(_hang(_hang(edges, False), True).filter("u <> v").distinct())
+        parts = before[0] // ROWS + 1
+        edges = edges.coalesce(parts)
+        edges = materialize(_hang(_hang(edges, False), True).filter("u <> v").distinct().coalesce(parts))
         now = state(edges)
         if now == before:
             break
         before = now
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    return materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots))

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .components import connected
+from .components import compact, connected
 from .words import mix, roll, slices, split_words, word_hashes
 
 _U = np.uint64
@@ -50,7 +50,7 @@ FILTER_BITS = 26
 SPARE = 0.25  # further blocks, so that the emptiest need not be entered
 BAND_RATIO = 1.5
 ROUNDS = 3  # of comparing with one member of a block, before all remaining pairs
-PAIRS_A_MEMBER = 20  # fewer remaining pairs than this for each member are compared at once
+PAIRS_A_MEMBER = 200  # fewer remaining pairs than this for each member are compared at once
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
@@ -221,7 +221,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
                 yield pa.RecordBatch.from_arrays([_long(key), _long(set_ids(sets)[doc])], names=["key", "sid"])
 
     sets = materialize(rows.mapInArrow(measured, "id long, n long, sid long"))
-    nodes = sets.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("rep"))
+    nodes = materialize(sets.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("rep")))
     keys = rows.select("text").mapInArrow(entered, "key long, sid long").groupBy("key").agg(F.min("sid").alias("leader"), F.max("sid").alias("last"))
     shared = materialize(keys.filter("leader < last").select("key", "leader"))
     with_partner = _bitmap(shared, "key")
@@ -253,20 +253,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     Of rows that share an id and the text one stays. Rows with a null id stay, as no class can be named by them.
     """
-    placed = materialize(classes(docs, id_col, text_col, shingle, percent).select(F.col(id_col).alias("_id"), "component_id").filter("_id IS NOT NULL"))
-    drop = placed.filter("_id <> component_id").select("_id").distinct()
-    kept = docs.join(drop, F.col(f"`{id_col}`") == F.col("_id"), "left_anti")
-    twice = materialize(placed.groupBy("_id").count().filter("count > 1").select("_id"))
+    placed = classes(docs, id_col, text_col, shingle, percent).select(F.col(id_col).alias("__id"), "component_id")
+    placed = materialize(placed.filter("__id IS NOT NULL"))
+    same = F.col(f"`{id_col}`") == F.col("__id")
+    kept = docs.join(placed.filter("__id <> component_id").select("__id").distinct(), same, "left_anti")
+    twice = materialize(placed.groupBy("__id").count().filter("count > 1").select("__id"))
     if not twice.count():
         return kept
-    same = F.col(f"`{id_col}`") == F.col("_id")
     return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([id_col, text_col]))
 
 
 def _texts(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """(sid, text) of the sets in ``pairs``, from one row each."""
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    reps = materialize(nodes.join(wanted, "sid").select("sid", F.coalesce("rep", F.lit(0)).alias("rep")))
+    reps = compact(nodes.join(wanted, "sid").select("sid", F.coalesce("rep", F.lit(0)).alias("rep")))
     marks = _bitmap(reps.mapInArrow(_marks, "mark long"), "mark")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,24 +297,23 @@ def _candidates(some: DataFrame, others: DataFrame, percent: int, condition: Col
 def _links(members: DataFrame, rows: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Components (node, root) of all links."""
     pairs = _candidates(members.filter("sid = leader"), members, percent, F.lit(True))
-    links, n_members, whole = None, members.count(), False
+    found, n_members, whole = None, members.count(), False
     for step in range(1, ROUNDS + 2):
-        pairs = materialize(pairs)
+        pairs = compact(pairs)
         new = _verified(pairs, _texts(rows, nodes, pairs, shingle), shingle, percent)
-        links = materialize(new if links is None else links.unionByName(new))
-        found = connected(links)
+        # Components so far stand for the links that made them.
+        found = connected(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if whole:
             break
         placed = members.join(found, members.sid == found.node, "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
-        spread = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-        unsettled = materialize(placed.join(spread, "key", "left_semi"))
-        sizes = unsettled.groupBy("key", "root").agg(F.count("*").alias("held"), F.max_by("sid", F.xxhash64("sid", F.lit(step))).alias("one"))
+        placed = materialize(placed)
+        sizes = placed.groupBy("key", "root").agg(F.count("*").alias("held"), F.max_by("sid", F.xxhash64("sid", F.lit(step))).alias("one"))
         largest = sizes.groupBy("key").agg(F.max_by(F.struct("root", "one"), F.struct("held", "root")).alias("top"), F.sum("held").alias("all"), F.max("held").alias("most"))
-        largest = materialize(largest.select("key", F.col("top.root").alias("top"), F.col("top.one").alias("one"), "all", "most"))
+        largest = compact(largest.filter("all > most").select("key", F.col("top.root").alias("top"), F.col("top.one").alias("one"), "all", "most"))
         work = largest.agg(F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()[0]
         if not work:
             break
-        unsettled = unsettled.join(largest.select("key", "top", "one"), "key")
+        unsettled = placed.join(largest.select("key", "top", "one"), "key")
         outside = unsettled.filter("root <> top")
         whole = work <= PAIRS_A_MEMBER * n_members or step == ROUNDS
         if whole:  # every pair of a block in different components, once
