@@ -132,20 +132,20 @@ def tokens_sql(name: str, rows: str, key: str, text: str) -> str:
 def token_label(tokens: DataFrame, spark: SparkSession, folder: str, salt: str = "") -> DataFrame:
     """Add the label of the embedding that a token's hash points at.
 
-    Embedding ids are a range from 0, so a fixed modulus maps tokens to them; the
-    planner sees the size of the embeddings file and picks the join by it.
+    Embedding ids are a range from 0, so the number of embeddings as modulus maps
+    tokens to all of them; the planner sees the size of the embeddings file and
+    picks the join by it.
     """
     labels = read_table(spark, folder, "embeddings", ["vec_id", "label"])
-    return tokens.withColumn("vec_id", token_vec_id(F.col("token"), salt)).join(labels, "vec_id").drop("vec_id")
+    return with_vec_id(tokens, spark, folder, salt).join(labels, "vec_id").drop("vec_id")
 
 
-VECTORS = 500
-
-
-def token_vec_id(token: Column, salt: str = "") -> Column:
-    digits = F.substring(F.md5(F.concat(token, F.lit(salt))), 1, 6)
-    return F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(VECTORS))
+def with_vec_id(tokens: DataFrame, spark: SparkSession, folder: str, salt: str = "") -> DataFrame:
+    """Add ``vec_id``, the embedding that a token's hash points at."""
+    n_vectors = read_table(spark, folder, "embeddings", ["vec_id"]).select(F.count("*")).scalar()
+    digits = F.substring(F.md5(F.concat("token", F.lit(salt))), 1, 6)
+    return tokens.withColumn("vec_id", F.pmod(F.conv(digits, 16, 10).cast("long"), n_vectors))
 
 
 def vec_id_sql(token: str, salt: str = "") -> str:
-    return f"CAST('0x' || substr(md5({token} || '{salt}'), 1, 6) AS BIGINT) % {VECTORS}"
+    return f"CAST('0x' || substr(md5({token} || '{salt}'), 1, 6) AS BIGINT) % (SELECT count(*) FROM embeddings)"

@@ -10,7 +10,7 @@ from ..operators.vocabulary import token_rows, vocabulary_table
 from ..session import materialize
 from ..sources.tables import read_table, read_texts
 from . import query
-from .adaptors import ISSUES_SQL, commits, events, issues, token_label, token_vec_id, tokens_sql, vec_id_sql
+from .adaptors import ISSUES_SQL, commits, events, issues, token_label, tokens_sql, vec_id_sql, with_vec_id
 from .text import BIN_SQL, COMMITS_SQL, label_sql
 from .vocabularies import PAGED, SPEECH, TOKENS, document_tokens, page_tokens, speech_tokens
 
@@ -82,11 +82,11 @@ c AS (SELECT DISTINCT label AS class FROM guessed),
 s AS (SELECT class, (SELECT count(*) FROM guessed WHERE label = class) AS support,
       (SELECT count(*) FROM guessed WHERE label = class AND prediction = class) AS hits,
       (SELECT count(*) FROM guessed WHERE prediction = class) AS made FROM c),
-m AS (SELECT class, support, hits, coalesce(hits / nullif(made, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r FROM s),
+m AS (SELECT class, support, hits, made, coalesce(hits / nullif(made, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r FROM s),
 f AS (SELECT *, coalesce(2 * p * r / nullif(p + r, 0), 0) AS f1 FROM m)
 SELECT class, round(p, 9) AS precision, round(r, 9) AS recall, round(f1, 9) AS f1, CAST(support AS BIGINT) AS support FROM f
-UNION ALL SELECT 'accuracy', round(sum(hits) / sum(support), 9), round(sum(hits) / sum(support), 9),
-    round(sum(hits) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT CASE WHEN sum(made) = sum(support) THEN 'accuracy' ELSE 'micro avg' END, round(sum(hits) / sum(made), 9),
+    round(sum(hits) / sum(support), 9), round(2 * sum(hits) / (sum(made) + sum(support)), 9), CAST(sum(support) AS BIGINT) FROM f
 UNION ALL SELECT 'macro avg', round(avg(p), 9), round(avg(r), 9), round(avg(f1), 9), CAST(sum(support) AS BIGINT) FROM f
 UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 9), round(sum(r * support) / sum(support), 9),
     round(sum(f1 * support) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM f""")
@@ -114,5 +114,5 @@ def representatives(spark, folder):
     points = read_table(spark, folder, "embeddings").select(
         "vec_id", F.col("label").alias("cluster"), F.col("embedding")[0].cast("double").alias("c1"),
         F.col("embedding")[1].cast("double").alias("c2"))
-    placed = table.withColumn("vec_id", token_vec_id(F.col("token"))).join(points, "vec_id")
+    placed = with_vec_id(table, spark, folder).join(points, "vec_id")
     return representative_tokens(placed)

@@ -11,7 +11,7 @@ from ..plans.research import predict_resolution_times
 from ..session import materialize
 from ..sources.tables import read_table, read_texts
 from . import query
-from .adaptors import COMMITS_SQL, commits, events, issues, token_vec_id, tokens_sql
+from .adaptors import COMMITS_SQL, commits, events, issues, tokens_sql, with_vec_id
 from .markup import documents as markup_documents
 from .vocabularies import TOKENS, document_tokens
 
@@ -88,8 +88,7 @@ def stemmed_tokens(spark, folder):
 def token_vectors(spark, folder, tokens):
     """Embeddings as vectors of the tokens whose hash points at them."""
     vectors = read_table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    return tokens.select("token").distinct().withColumn("vec_id", token_vec_id(F.col("token"))).join(
-        vectors, "vec_id").select("token", "vector")
+    return with_vec_id(tokens.select("token").distinct(), spark, folder).join(vectors, "vec_id").select("token", "vector")
 
 
 def document_vocabulary(spark, folder):
@@ -121,7 +120,7 @@ def study_tables(spark, folder):
     spoken = read_texts(spark, folder, "conversations", ["role", "text"])
     comments = spoken.select(F.col("role").alias("file_path"), F.col("text").alias("comment_text"))
     vectors = read_table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    words = document_vocabulary(spark, folder).select("token").withColumn("vec_id", token_vec_id(F.col("token")))
+    words = with_vec_id(document_vocabulary(spark, folder).select("token"), spark, folder)
     return cleaned, identifiers, comments, words.join(vectors, "vec_id").select("token", "vector")
 
 

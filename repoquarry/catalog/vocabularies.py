@@ -109,7 +109,8 @@ def labelled_vocabularies(spark, folder):
 def labelled_sql():
     sides = {"commit": "tok", "identifier": "said", "comment": "noted"}
     parts = [
-        f"SELECT DISTINCT '{source}' AS source, token, label FROM {rows} JOIN embeddings ON vec_id = {vec_id_sql('token', source[:3])}"
+        f"""SELECT '{source}' AS source, token, label FROM (SELECT token, {vec_id_sql('token', source[:3])} AS v FROM (SELECT DISTINCT token FROM {rows}))
+            JOIN embeddings ON vec_id = v"""
         for source, rows in sides.items()
     ]
     return f"{TOKENS}, {SPEECH}, {PAGED}, labelled AS ({' UNION ALL '.join(parts)})"
@@ -148,9 +149,11 @@ def alignment(spark, folder):
     return _rounded(ops.measure_alignment(*sides))
 
 
-@query("shared_vocabulary", f"""WITH {labelled_sql()}
-SELECT x.token, x.label AS label_a, y.label AS label_b FROM labelled x JOIN labelled y USING (token)
-WHERE x.source = 'commit' AND y.source = 'identifier'""")
+@query("shared_vocabulary", f"""WITH {TOKENS}, {SPEECH},
+both_sides AS MATERIALIZED (SELECT DISTINCT token FROM tok INTERSECT SELECT DISTINCT token FROM said),
+placed AS MATERIALIZED (SELECT token, {vec_id_sql('token', 'com')} AS va, {vec_id_sql('token', 'ide')} AS vb FROM both_sides)
+SELECT token, x.label AS label_a, y.label AS label_b FROM placed
+JOIN embeddings x ON x.vec_id = va JOIN embeddings y ON y.vec_id = vb""")
 def shared(spark, folder):
     table = labelled_vocabularies(spark, folder)
     return ops.shared_vocabulary(*[table.where(F.col("source") == name) for name in ("commit", "identifier")])

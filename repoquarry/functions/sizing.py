@@ -16,12 +16,12 @@ def _check(margin: float, *, share: float | None = None) -> None:
 
 
 def _corrected(base: Column, population: Column) -> Column:
-    finite = base / (F.lit(1.0) + (base - F.lit(1.0)) / population)
-    return F.when(population.isNull(), F.ceil(base)).otherwise(F.least(F.ceil(finite), population.cast("long")))
+    finite = base / (F.lit(1.0) + (base - F.lit(1.0)) / F.nullif(population, F.lit(0)))
+    return F.when(population.isNull(), F.ceil(base)).when(population == 0, F.lit(0)).otherwise(F.least(F.ceil(finite), population.cast("long")))
 
 
 def proportion_size(population: Column, p: float = 0.5, margin: float = 0.05, z: float = 1.96) -> Column:
-    """Rows needed to estimate a proportion; a null population is unlimited."""
+    """Rows needed to estimate a proportion; a null population is unlimited, an empty one needs none."""
     _check(margin, share=p)
     return _corrected(F.lit(z * z * p * (1 - p) / (margin * margin)), population)
 
@@ -39,4 +39,6 @@ def proportion_size_of(population: int | None, p: float = 0.5, margin: float = 0
     base = z * z * p * (1 - p) / (margin * margin)
     if population is None:
         return math.ceil(base)
+    if population == 0:
+        return 0
     return min(math.ceil(base / (1 + (base - 1) / population)), population)

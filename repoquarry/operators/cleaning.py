@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_user, commit_parts, plain_text
+from .leading import first_rows
 
 
 def _first(df: DataFrame, key: Sequence[str], limit: int | None) -> DataFrame:
-    return df if limit is None else df.orderBy(*key).limit(limit)
+    return df if limit is None else first_rows(df, key, limit)
 
 
 def clean_titles(df: DataFrame, key: Sequence[str], limit: int | None = None, strict_bots: bool = False) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,18 +50,29 @@ def cluster_vocabulary(
 
 
 def reduce_dimensions(points: DataFrame, n_components: int = 2, method: str = "pca") -> DataFrame:
-    """Principal-component coordinates ``c1, c2, ..`` of the centred vectors."""
+    """Principal-component coordinates ``c1, c2, ..`` of the centred vectors.
+
+    A column ``n`` weights them, so the axes are those of the table of all occurrences.
+    Vectors with fewer entries than components have zeros in the rest.
+    """
     if method != "pca":
         raise ValueError(f"unknown method {method!r}; only 'pca' is available")
     names = [f"c{i + 1}" for i in range(n_components)]
     if points.isEmpty():
         return points.select("*", *[F.lit(0.0).alias(name) for name in names])
-    vectored = points.withColumn("__point", array_to_vector(F.col("vector").cast("array<double>")))
-    scaler = StandardScaler(withMean=True, withStd=False, inputCol="__point", outputCol="__centred").fit(vectored)
-    centred = scaler.transform(vectored)
-    projected = PCA(k=n_components, inputCol="__centred", outputCol="__axes").fit(centred).transform(centred)
-    axes = projected.withColumn("__axes", vector_to_array("__axes"))
-    return axes.select(*points.columns, *[F.col("__axes")[i].alias(name) for i, name in enumerate(names)])
+    weight = F.col("n").cast("double") if "n" in points.columns else F.lit(1.0)
+    vectored = points.withColumn("__vector", F.col("vector").cast("array<double>")).withColumn("__weight", weight)
+    mean = vectored.select(Summarizer.mean(array_to_vector("__vector"), F.col("__weight")).alias("m")).first()["m"].toArray().tolist()
+    centred = vectored.withColumn("__vector", F.zip_with("__vector", F.array(*map(F.lit, mean)), lambda x, m: x - m))
+    # Vectors times the root of their weight, with their mirror images, have mean 0 and the weighted covariance.
+    root = F.sqrt("__weight")
+    mirrored = centred.select(F.explode(F.array(F.transform("__vector", lambda x: x * root), F.transform("__vector", lambda x: -x * root))).alias("v"))
+    k = min(n_components, len(mean))
+    axes = PCA(k=k, inputCol="__point", outputCol="__axes").fit(mirrored.select(array_to_vector("v").alias("__point")))
+    projected = axes.transform(centred.withColumn("__point", array_to_vector("__vector")))
+    placed = projected.withColumn("__axes", vector_to_array("__axes"))
+    coordinates = [F.col("__axes")[i] if i < k else F.lit(0.0) for i in range(n_components)]
+    return placed.select(*points.columns, *[c.alias(name) for c, name in zip(coordinates, names)])
 
 
 def representative_tokens(coordinates: DataFrame, axes: tuple[str, ...] = ("c1", "c2")) -> DataFrame:

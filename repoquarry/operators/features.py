@@ -11,6 +11,7 @@ from ..functions.stemming import with_stems
 from ..functions.text import commit_label, is_feature_request, is_not_blank
 from ..functions.timing import life_span_seconds, resolution_bin
 from .joins import lookup_join
+from .leading import first_rows
 from .range_count import count_in_windows
 from .vocabulary import token_rows
 
@@ -114,13 +115,13 @@ def commit_features(
 def commit_texts(commits: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """Commits with a message that is not blank; ``limit`` keeps the first keys."""
     kept = commits.where(is_not_blank(F.col("message"))).select(key, "message")
-    return kept if limit is None else kept.orderBy(key).limit(limit)
+    return kept if limit is None else first_rows(kept, [key], limit)
 
 
 def closed_issues(issues: DataFrame, key: Sequence[str], limit: int | None = None) -> DataFrame:
     """Issues with both timestamps; ``limit`` keeps the first keys."""
     kept = issues.where(F.col("closed_at").isNotNull() & F.col("created_at").isNotNull())
-    return kept if limit is None else kept.orderBy(*key).limit(limit)
+    return kept if limit is None else first_rows(kept, key, limit)
 
 
 def with_life_span(issues: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.naming import name_parts, naming_convention
 from ..functions.text import comment_body
 from .joins import key_weights, lookup_join
+from .leading import first_rows
 
 # Elements that name an identifier and source files that have markup.
 KINDS = {"function": "function", "class": "class", "decl": "variable"}
@@ -152,4 +153,4 @@ def function_names(identifiers: DataFrame) -> DataFrame:
 def source_files(files: DataFrame, path: str = "file_path", first: int | None = None) -> DataFrame:
     """Files with markup support, by extension; ``first`` keeps the leading paths."""
     kept = files.where(F.regexp_extract(path, r"\.([^./]+)$", 1).isin(*SOURCE_EXTENSIONS))
-    return kept if first is None else kept.orderBy(path).limit(first)
+    return kept if first is None else first_rows(kept, [path], first)

@@ -17,6 +17,9 @@ from .sampling import hash_ordered, hash_cuts, hash_edges
 TREES = 100
 SEED = 42
 MAX_DEPTH = 30
+MAX_BINS = 32  # candidate splits of a feature: the library compares quantiles, not every value
+FIT_ROWS = 1_000_000  # labelled rows a model is fitted to at most: those of lowest hash
+MAX_CLASSES = 1_000  # values of a label column; quotas of all of them come to the driver
 
 
 def label_distribution(rows: DataFrame, label: str = "label") -> DataFrame:
@@ -50,10 +53,12 @@ def split_dataset(
 ) -> DataFrame:
     """Add ``is_test``: stratified by label, plain when some class has one row only.
 
-    The classes are counted once; their number is bounded by the label set, so
-    the quotas come to the driver. Rows are compared with one cut per class.
+    The classes are counted once and their quotas come to the driver, so more than
+    ``MAX_CLASSES`` of them are an error. Rows are compared with one cut per class.
     """
-    quotas = split_quotas(rows, label, test_size).collect()
+    quotas = split_quotas(rows, label, test_size).limit(MAX_CLASSES + 1).collect()
+    if len(quotas) > MAX_CLASSES:
+        raise ValueError(f"{label!r} has more than {MAX_CLASSES} values and is no class column")
     columns = rows.columns
     ordered = hash_ordered(rows, ids, seed)
     if all(row["size"] >= 2 for row in quotas):
@@ -73,6 +78,14 @@ def split_dataset(
     return marked.select(*columns, is_test.alias("is_test"))
 
 
+def bounded_rows(rows: DataFrame, most: int) -> DataFrame:
+    """All rows if they are ``most`` at most, else a share of about that size by hash."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(1_000_000)) < int(1_000_000 * most / n))
+
+
 def train_classifier(
     rows: DataFrame,
     features: Sequence[str],
@@ -80,14 +93,19 @@ def train_classifier(
     label: str = "label",
     model_type: str = "decision_tree",
     max_depth: int | None = None,
+    max_bins: int = MAX_BINS,
+    fit_rows: int = FIT_ROWS,
 ) -> PipelineModel:
     """Fit a tree or a forest; ``prediction`` of the fitted model is a class name.
 
-    Without ``max_depth`` trees grow as deep as the library allows.
+    Without ``max_depth`` trees grow as deep as the library allows. A fitted tree lives
+    on the driver and grows with its rows, so at most ``fit_rows`` of them are used, those of
+    lowest hash; all rows may be predicted and evaluated.
     """
+    rows = bounded_rows(rows, fit_rows)
     depth = MAX_DEPTH if max_depth is None else max_depth
     shared = {"featuresCol": "__features", "labelCol": "__label", "predictionCol": "__class", "maxDepth": depth,
-              "seed": SEED}
+              "maxBins": max_bins, "seed": SEED}
     if model_type == "decision_tree":
         learner = DecisionTreeClassifier(**shared)
     elif model_type == "random_forest":
@@ -134,8 +152,9 @@ def _ratio(part: Column, whole: Column) -> Column:
 def class_metrics(predicted: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Precision, recall, F1 and support per class of the test set, averages, accuracy.
 
-    A prediction outside the classes of the test set only lowers recall. A ratio
-    without rows is 0.
+    Where predictions leave the classes of the test set, precision and recall over
+    these classes differ, and the row ``micro avg`` stands in place of ``accuracy``. A
+    ratio without rows is 0.
     """
     pairs = outcome_counts(predicted, label, prediction)
     hit = F.col("label") == F.col("prediction")
@@ -159,10 +178,11 @@ def class_metrics(predicted: DataFrame, label: str = "label", prediction: str =
     )
     scores = ("precision", "recall", "f1")
     support = F.sum("support")
-    accuracy = F.sum("hits") / support
+    recall, precision = F.sum("hits") / support, _ratio(F.sum("hits"), F.sum("guessed"))
+    micro = {"precision": precision, "recall": recall, "f1": _ratio(2 * precision * recall, precision + recall)}
+    name = F.when(F.sum("guessed") == support, "accuracy").otherwise("micro avg")
     summary = sums.agg(
-        F.struct(F.lit("accuracy").alias("class"), *[accuracy.alias(s) for s in scores],
-                 support.alias("support")).alias("a"),
+        F.struct(name.alias("class"), *[micro[s].alias(s) for s in scores], support.alias("support")).alias("a"),
         F.struct(F.lit("macro avg").alias("class"), *[F.avg(s).alias(s) for s in scores],
                  support.alias("support")).alias("m"),
         F.struct(F.lit("weighted avg").alias("class"), *[(F.sum(F.col(s) * F.col("support")) / support).alias(s)

@@ -159,14 +159,26 @@ def numbered(rows: DataFrame, order: Sequence[Column], out: str = "__index") ->
 
 
 def sample_systematic(
-    population: DataFrame, step: int, order: Sequence[Column], seed: int | None = None, start: int | None = None
+    population: DataFrame,
+    step: int,
+    order: Sequence[Column],
+    seed: int | None = None,
+    start: int | None = None,
+    ids: Sequence[str] = (),
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Every ``step``-th row along ``order`` from a start drawn in [0, step - 1]."""
+    """Every ``step``-th row along ``order`` from a start drawn in [0, step - 1].
+
+    With ``by``, the columns that ``order`` uses, and ``ids``, which identify a row, only
+    these are sorted and numbered, and the population is filtered by the chosen ids.
+    """
     if step <= 0:
         raise ValueError("step must be at least 1")
     first = random.Random(seed).randrange(step) if start is None else start
-    rows = numbered(population, order)
-    return rows.where(F.pmod(F.col("__index") - F.lit(first), F.lit(step)) == 0).drop("__index")
+    narrow = population.select(*dict.fromkeys([*ids, *by])) if ids and by else population
+    rows = numbered(narrow, order)
+    chosen = rows.where(F.pmod(F.col("__index") - F.lit(first), F.lit(step)) == 0).drop("__index")
+    return population.join(chosen.select(*ids), list(ids), "left_semi") if ids and by else chosen
 
 
 def draw_sample(
@@ -179,8 +191,9 @@ def draw_sample(
     step: int | None = None,
     seed: int = 0,
     key: str | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Pick the sampling method from the arguments given.
+    """Pick the sampling method from the arguments given; ``by`` names the columns that ``order`` uses.
 
     Nothing given: the size that estimates a proportion within 5 % at 95 %
     confidence. A key wins over a step, a step over n, n over frac. A key that is
@@ -206,7 +219,7 @@ def draw_sample(
     if key is not None:
         return sample_stratified(population, key, ids, n=n, frac=frac, seed=seed)
     if step is not None:
-        return sample_systematic(population, step, order, seed)
+        return sample_systematic(population, step, order, seed, ids=ids, by=by)
     return sample_uniform(population, n if n is not None else math.ceil(size * frac), ids, seed)
 
 
@@ -246,4 +259,4 @@ def sample_entity(table: DataFrame, entity: str, **options) -> DataFrame:
     shown = [name for name in columns if name in table.columns]
     by = F.col(sorted_by).desc_nulls_first() if direction == "desc" else F.col(sorted_by).asc()
     population = table.select(*dict.fromkeys([*shown, *ids]))
-    return draw_sample(population, ids, [by, *map(F.col, ids)], **options).select(*shown)
+    return draw_sample(population, ids, [by, *map(F.col, ids)], by=[sorted_by], **options).select(*shown)

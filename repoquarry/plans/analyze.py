@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_filled, joined_text
 from ..operators.clustering import cluster_vocabulary, reduce_dimensions, representative_tokens
+from ..operators.leading import first_rows
 from ..operators.vocabulary import pairwise_alignment, token_rows, top_token_lists, top_tokens, vocabulary_table
 from .reports import SOURCE_TITLES, alignment_report
 
@@ -36,7 +37,7 @@ def source_texts(
 ) -> dict[str, DataFrame]:
     """(key, text) of each source; ``commit_limit`` keeps the first commit hashes."""
     if commit_limit is not None:
-        commits = commits.orderBy("commit_hash").limit(commit_limit)
+        commits = first_rows(commits, ["commit_hash"], commit_limit)
     named = identifiers.where(is_filled(F.col("name")))
     noted = comments.where(is_filled(F.col("comment_text")))
     return {

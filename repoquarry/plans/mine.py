@@ -14,11 +14,16 @@ from ..sources.tables import write_csv, write_table
 
 
 def mine_history(
-    log: DataFrame, stored: dict[str, DataFrame] | None = None, max_commits: int | None = None, depth: int | None = None
+    log: DataFrame,
+    stored: dict[str, DataFrame] | None = None,
+    max_commits: int | None = None,
+    depth: int | None = None,
+    repo_path: str | None = None,
 ) -> dict[str, DataFrame]:
     """Merge a commit log into the four commit tables; what is stored stays as it is.
 
-    Commits arrive oldest first.
+    Commits arrive oldest first. With ``repo_path`` the run is added to the table
+    ``run_log``: its newest commit and how many commits were traversed, stored before or not.
     """
     stored = stored or {}
     history = gitlog.oldest_commits(log, max_commits, depth)
@@ -29,10 +34,22 @@ def mine_history(
         "commit_files": (gitlog.file_rows(history), upsert.COMMIT_FILES),
     }
     arrival = F.lit(0)  # one row per key and log: the hash decides the content
-    return {
+    merged = {
         name: upsert.upsert(stored.get(name), rows.withColumn("arrival", arrival), rules, "arrival")
         for name, (rows, rules) in parts.items()
     }
+    if repo_path is not None:
+        run = run_row(history, repo_path)
+        merged["run_log"] = stored["run_log"].unionByName(run) if "run_log" in stored else run
+    return merged
+
+
+def run_row(history: DataFrame, repo_path: str) -> DataFrame:
+    """Provenance of a run: start time, repository, newest commit, commits traversed. No row for an empty history."""
+    counted = history.agg(F.count("*").alias("commit_count"), F.max_by("hash", F.struct("epoch", "hash")).alias("head_hash"))
+    return counted.where("commit_count > 0").select(
+        F.current_timestamp().alias("started_at"), F.lit(repo_path).alias("repo_path"), "head_hash", "commit_count"
+    )
 
 
 def append_newest(log: DataFrame, commits: DataFrame) -> DataFrame:

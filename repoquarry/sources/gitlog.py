@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..operators.leading import first_rows
 
 LOG_SCHEMA = (
     "hash string, author string, message string, epoch long, parents array<string>, "
@@ -86,7 +87,7 @@ def oldest_commits(log: DataFrame, max_commits: int | None, depth: int | None =
     """The first commits of the history; a shallow history of ``depth`` gives one less."""
     if depth is not None:
         max_commits = depth - 1 if max_commits is None else min(max_commits, depth - 1)
-    return log if max_commits is None else log.orderBy("epoch", "hash").limit(max_commits)
+    return log if max_commits is None else first_rows(log, ["epoch", "hash"], max_commits)
 
 
 def newest_commit(log: DataFrame) -> DataFrame:
