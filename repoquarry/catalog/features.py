@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from ..functions.text import FEATURE_LABELS
 from ..operators import modeling
 from ..operators.clustering import representative_tokens
-from ..operators.features import commit_features, issue_features
-from ..operators.vocabulary import token_rows, vocabulary_table
+from ..operators.features import commit_features, commit_tokens, issue_features
+from ..operators.vocabulary import vocabulary_table
 from ..session import materialize
 from ..sources.tables import read_table, read_texts
 from . import query
@@ -44,16 +44,17 @@ def commit_feature_rows(spark, folder):
     ids = materialize(speech_tokens(spark, folder).select("token").distinct())
     notes = materialize(page_tokens(spark, folder).select("token").distinct())
     messages = commits(spark, folder)
-    terms = token_rows(messages, ["doc_id"], "message").select("token").distinct()
+    tokens = materialize(commit_tokens(messages, "doc_id", "message"))
+    terms = tokens.where("token IS NOT NULL").select("token").distinct()
     clusters = token_label(terms, spark, folder).where(F.col("label") < 5).withColumnRenamed("label", "cluster")
-    table = commit_features(messages, "doc_id", "message", clusters, 5, ids, notes, stem=False)
+    table = commit_features(messages, "doc_id", "message", clusters, 5, ids, notes, stem=False, tokens=tokens)
     return table.withColumns({name: F.round(name, 6) for name in table.columns if name not in ("doc_id", "label")})
 
 
 @query("issue_features", f"""WITH {ISSUES_SQL},
 living AS (SELECT *, (epoch_us(closed_at) - epoch_us(created_at)) / 1e6 AS seconds FROM issues),
 counted AS (SELECT issue_number, count(c.ts) AS n FROM living i
-    LEFT JOIN (SELECT ts FROM events WHERE event_type = 'view') c ON c.ts >= i.created_at AND c.ts <= i.closed_at
+    LEFT JOIN events c ON c.ts >= i.created_at AND c.ts <= i.closed_at
     WHERE seconds >= 0 GROUP BY issue_number)
 SELECT issue_number, CAST(coalesce(length(body), 0) AS DOUBLE) AS description_length, CAST(comments_count AS DOUBLE) AS comment_count,
     CAST(n AS DOUBLE) AS concurrent_commits, CAST(n AS DOUBLE) AS commits_in_lifespan,
@@ -61,8 +62,8 @@ SELECT issue_number, CAST(coalesce(length(body), 0) AS DOUBLE) AS description_le
         AS is_feature_request, {BIN_SQL.format('seconds')} AS label
 FROM living JOIN counted USING (issue_number)""")
 def issue_feature_rows(spark, folder):
-    views = events(spark, folder).where("event_type = 'view'").select(F.col("at").alias("commit_ts"))
-    return issue_features(issues(spark, folder), views, ["issue_number"])
+    commits_made = events(spark, folder).select(F.col("at").alias("commit_ts"))
+    return issue_features(issues(spark, folder), commits_made, ["issue_number"])
 
 
 GUESSED_SQL = """guessed AS (SELECT l_returnflag AS label, CASE WHEN l_linestatus = 'O' THEN 'N' WHEN l_quantity > 40 THEN 'X'

@@ -140,8 +140,8 @@ def commit_forest(spark, folder):
 
 
 def resolution(spark, folder, **options):
-    views = events(spark, folder).where("event_type = 'view'").select(F.col("at").alias("commit_ts"))
-    return predict_resolution_times(issues(spark, folder), views, **options)
+    made = events(spark, folder).select(F.col("at").alias("commit_ts"))
+    return predict_resolution_times(issues(spark, folder), made, **options)
 
 
 @query("resolution_classifier")

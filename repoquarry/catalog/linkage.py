@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import joins
-from ..operators.range_count import count_in_windows, prefix_counts
+from ..operators.range_count import count_in_windows
 from ..operators.sampling import sample_uniform
 from ..sources import gitlog
 from ..sources.tables import read_table
@@ -36,12 +36,12 @@ def sampled(spark, folder):
 
 @query("commits_in_window", f"""WITH {ISSUES_SQL}
 SELECT issue_number, count(c.ts) AS n_commits FROM issues i
-LEFT JOIN (SELECT ts FROM events WHERE event_type = 'click') c ON c.ts >= i.created_at AND c.ts <= i.closed_at
+LEFT JOIN events c ON c.ts >= i.created_at AND c.ts <= i.closed_at
 WHERE i.closed_at >= i.created_at GROUP BY issue_number""")
 def commits_in_window(spark, folder):
-    clicks = events(spark, folder).where("event_type = 'click'").select("at")
+    commits = events(spark, folder).select("at")
     open_issues = issues(spark, folder).where(F.col("closed_at") >= F.col("created_at"))
-    counted = count_in_windows(open_issues, clicks, "created_at", "closed_at", "at", ["issue_number"], "n_commits")
+    counted = count_in_windows(open_issues, commits, "created_at", "closed_at", "at", ["issue_number"], "n_commits")
     return counted.select("issue_number", "n_commits")
 
 
@@ -50,13 +50,8 @@ s AS (SELECT t, CAST(sum(n) OVER (ORDER BY t) AS BIGINT) AS upto FROM d)
 SELECT l_shipdate_s, coalesce(upto, 0) AS n_until FROM (SELECT DISTINCT CAST(epoch(l_shipdate) AS BIGINT) AS l_shipdate_s FROM lineitem)
 ASOF LEFT JOIN s ON t <= l_shipdate_s""")
 def orders_before_shipping(spark, folder):
-    """Prefix counts by themselves: orders up to each distinct shipping time."""
-
-    def moments(table, column):
-        return read_table(spark, folder, table, [column]).select(
-            F.unix_micros(F.col(column).cast("timestamp")).alias("t"))
-
-    shipped = moments("lineitem", "l_shipdate")
-    counts = prefix_counts(moments("orders", "o_orderdate"), shipped)
-    seconds = (F.col("t") / 1_000_000).cast("long").alias("l_shipdate_s")
-    return counts.join(shipped.distinct(), "t", "left_semi").select(seconds, F.col("n_until"))
+    """Orders up to each distinct shipping time: windows open to the left."""
+    shipped = read_table(spark, folder, "lineitem", ["l_shipdate"]).distinct().withColumn("first", F.lit("0001-01-01").cast("timestamp"))
+    orders = read_table(spark, folder, "orders", ["o_orderdate"])
+    counts = count_in_windows(shipped, orders, "first", "l_shipdate", "o_orderdate", ["l_shipdate"], "n_until")
+    return counts.select((F.unix_micros(F.col("l_shipdate").cast("timestamp")) / 1_000_000).cast("long").alias("l_shipdate_s"), "n_until")

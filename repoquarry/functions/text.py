@@ -110,6 +110,7 @@ def plain_text(markdown: Column) -> Column:
     character of its line. A one-line fence leaves an empty code tag.
     """
     text = F.coalesce(markdown, F.lit(""))
+    # The patterns below and their order.
     text = F.regexp_replace(text, r"(?s)```[^\n]*(\n.*?)```|```[^\n]*```", "<CODE>$1</CODE>")
     text = F.regexp_replace(text, "`([^`]*)`", "<CODE>$1</CODE>")
     text = F.translate(text, "#", "")
@@ -120,6 +121,7 @@ def plain_text(markdown: Column) -> Column:
     return F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
 
 
+# Fixed value: the form of a conventional commit header.
 HEADER = rf"^({WORD}+)(?:\(([^)]+)\))?(!)?:{SPACE}+([^\n]*)\z"
 
 
@@ -148,15 +150,32 @@ def commit_label(message: Column) -> Column:
     The message is cut into words once; a text search per type would read it up to
     five times.
     """
+    return bound(words(message), label_of_words)
 
-    def first_hit(found: Column) -> Column:
-        label = None
-        for name, signals in COMMIT_TYPES.items():
-            hit = F.arrays_overlap(found, F.array(*map(F.lit, signals)))
-            label = F.when(hit, name) if label is None else label.when(hit, name)
-        return label.otherwise("other")
 
-    return bound(words(message), first_hit)
+def label_of_words(found: Column) -> Column:
+    """The commit type of an array of lower-cased words."""
+    label = None
+    for name, signals in COMMIT_TYPES.items():
+        hit = F.arrays_overlap(found, F.array(*map(F.lit, signals)))
+        label = F.when(hit, name) if label is None else label.when(hit, name)
+    return label.otherwise("other")
+
+
+def word_counts(found: Column, min_length: int = 3, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+    """Distinct vocabulary tokens of an array of words, as structs (token, n): the runs of the sorted array."""
+
+    def runs(ordered: Column) -> Column:
+        size = F.size(ordered)
+        ends = F.filter(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: (i <= size) & ((i == size) | (F.get(ordered, i - 1) != F.get(ordered, i))))
+
+        def counted(stops: Column) -> Column:
+            starts = F.concat(F.array(F.lit(0)), stops)
+            return F.transform(stops, lambda stop, i: F.struct(F.get(ordered, stop - 1).alias("token"), (stop - F.get(starts, i)).cast("long").alias("n")))
+
+        return bound(ends, counted)
+
+    return bound(F.array_sort(F.filter(found, lambda word: keeps_word(word, min_length, stop_words))), runs)
 
 
 def is_feature_request(labels: Column) -> Column:

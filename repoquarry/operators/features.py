@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import bound
 from ..functions.stemming import with_stems
-from ..functions.text import commit_label, is_feature_request, is_not_blank
+from ..functions.text import is_feature_request, is_not_blank, label_of_words, word_counts, words
 from ..functions.timing import life_span_seconds, resolution_bin
+from ..session import materialize
 from .joins import lookup_join
 from .leading import first_rows
 from .range_count import count_in_windows
-from .vocabulary import token_rows
 
 # Names of the resolution-time features.
 ISSUE_FEATURES = ("description_length", "comment_count", "concurrent_commits", "is_feature_request",
@@ -64,6 +65,19 @@ def token_profile(
     )
 
 
+def commit_tokens(commits: DataFrame, key: str, message: str) -> DataFrame:
+    """(key, label, token, n): every commit's label and distinct tokens, from one split of its message.
+
+    All tokens of a commit stand in one row, so nothing is shuffled to count them. A commit without
+    tokens has one row with a null token.
+    """
+    found = bound(words(F.col(message)), lambda w: F.struct(label_of_words(w).alias("label"), word_counts(w).alias("counts")))
+    split = commits.select(key, found.alias("__found"))
+    return split.select(key, F.col("__found.label").alias("label"), F.explode_outer("__found.counts").alias("__token")).select(
+        key, "label", "__token.token", "__token.n"
+    )
+
+
 def commit_features(
     commits: DataFrame,
     key: str,
@@ -73,29 +87,26 @@ def commit_features(
     identifier_vocabulary: DataFrame | None = None,
     comment_vocabulary: DataFrame | None = None,
     stem: bool = True,
+    tokens: DataFrame | None = None,
 ) -> DataFrame:
     """Per commit: cluster shares, log token count, type-token ratio, overlaps, label.
 
-    Tokens collapse to counts per (commit, token) before they meet the vocabulary.
-    A commit without tokens has zeros everywhere.
+    ``tokens`` is the stored result of ``commit_tokens``, where the caller has it: every use
+    then reads it instead of the messages. A commit without tokens has zeros everywhere.
     """
-    labelled = commits.select(key, F.col(message).alias("__text"), commit_label(F.col(message)).alias("label"))
-    # the final join would infer the key's null test for one use of the tokens only
-    tokens = token_rows(labelled.where(F.col(key).isNotNull()), [key], "__text")
-    pairs = tokens.groupBy(key, "token").agg(F.count("*").alias("n"))
-    # every use needs n, by the filter too, so that all of them read one shuffle of the pairs
-    weights = pairs.groupBy("token").agg(F.sum("n").alias("weight")).where(F.col("weight") > 0)
+    pairs = materialize(commit_tokens(commits, key, message)) if tokens is None else tokens
+    weights = pairs.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("weight"))
     profile = token_profile(weights.select("token"), clusters, identifier_vocabulary, comment_vocabulary, stem)
-    terms = (
-        lookup_join(pairs, profile, ["token"], [key], "inner", weights)
-        .groupBy(key, "term")
-        .agg(F.sum("n").alias("n"), F.max("cluster").alias("cluster"), F.max("in_ids").alias("in_ids"),
-             F.max("in_comments").alias("in_comments"))
-    )
+    terms = lookup_join(pairs, profile, ["token"], [key], "left", weights)
+    if stem:  # several tokens of a commit may be one term
+        terms = terms.groupBy(key, "label", "term").agg(
+            F.sum("n").alias("n"), F.max("cluster").alias("cluster"), F.max("in_ids").alias("in_ids"),
+            F.max("in_comments").alias("in_comments"))
     n_ids, n_comments = _distinct_count(identifier_vocabulary), _distinct_count(comment_vocabulary)
     counts = terms.groupBy(key).agg(
+        F.max("label").alias("label"),
         F.sum("n").alias("n"),
-        F.count("*").alias("d"),
+        F.count("term").alias("d"),
         F.sum(F.col("in_ids").cast("int")).alias("m_ids"),
         F.sum(F.col("in_comments").cast("int")).alias("m_comments"),
         *[F.sum(F.when(F.col("cluster") == i, F.col("n")).otherwise(0)).alias(f"c{i}") for i in range(k)],
@@ -103,13 +114,14 @@ def commit_features(
     n, d = F.col("n"), F.col("d")
     features = counts.select(
         key,
+        "label",
         *[(F.col(f"c{i}") / n).alias(f"cluster_{i}_frac") for i in range(k)],
         F.log1p(n.cast("double")).alias("log_token_count"),
         (d / n).alias("type_token_ratio"),
         (F.col("m_ids") / (d + n_ids - F.col("m_ids"))).alias("id_overlap"),
         (F.col("m_comments") / (d + n_comments - F.col("m_comments"))).alias("comment_overlap"),
     )
-    return labelled.select(key, "label").join(features, key, "left").fillna(0.0, subset=commit_feature_names(k))
+    return features.fillna(0.0, subset=commit_feature_names(k))
 
 
 def commit_texts(commits: DataFrame, key: str, limit: int | None = None) -> DataFrame:

@@ -2,54 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .joins import key_weights, lookup_join
+from ..session import materialize
 
-_DAY = 86_400_000_000
-_SECOND = 1_000_000
+# order of marks at one time: a start, then points, then an end
+_START, _POINT, _END = 0, 1, 2
 
 
-def _before(order: str, partition: Sequence[str]) -> Column:
-    """Running total of ``n`` over the rows before the current one."""
-    window = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("n").over(window), F.lit(0))
+def _running(marks: DataFrame) -> DataFrame:
+    """``marks`` with ``__seen``, the points up to each row inside its partition."""
+    schema = T.StructType([*marks.schema.fields, T.StructField("__seen", T.LongType())])
+    kind = marks.columns.index("__kind")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0
+        for batch in batches:
+            seen = before + np.cumsum(batch.column(kind).to_numpy() == _POINT)
+            before = int(seen[-1]) if len(seen) else before
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(seen.astype(np.int64))], names=schema.names)
 
-def prefix_counts(points: DataFrame, probes: DataFrame) -> DataFrame:
-    """For each distinct time ``t`` (microseconds): points before it and points up to it.
-
-    ``points`` and ``probes`` have one long column ``t``. Repeated times collapse
-    in a pre-aggregated count first. The running total then goes through three
-    calendar levels, and the calendar bounds every window: a second holds at most
-    a million distinct microseconds, a day 86,400 seconds, and the single window
-    over days has one row per calendar day.
-    """
-    marks = points.select("t", F.lit(1).cast("long").alias("n")).unionByName(
-        probes.select("t", F.lit(0).cast("long").alias("n"))
-    )
-    times = (
-        marks.where(F.col("t").isNotNull())
-        .groupBy("t")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("second", F.col("t") - F.pmod("t", F.lit(_SECOND)))
-        .withColumn("in_second", _before("t", ["second"]))
-    )
-    day = F.col("second") - F.pmod("second", F.lit(_DAY))
-    seconds = times.groupBy("second").agg(F.sum("n").alias("n")).withColumn("day", day)
-    seconds = seconds.withColumn("in_day", _before("second", ["day"]))
-    days = seconds.groupBy("day").agg(F.sum("n").alias("n"))
-    day_start = days.select("day", _before("day", [F.lit(0)]).alias("day_start"))
-    second_start = seconds.join(day_start, "day").select(
-        "second", (F.col("day_start") + F.col("in_day")).alias("second_start")
-    )
-    before = F.col("second_start") + F.col("in_second")
-    return times.join(second_start, "second").select(
-        "t", before.alias("n_before"), (before + F.col("n")).alias("n_until")
-    )
+    return marks.mapInArrow(run, schema)
 
 
 def count_in_windows(
@@ -63,20 +42,36 @@ def count_in_windows(
 ) -> DataFrame:
     """Add to each interval the number of points with ``start <= time <= end``.
 
-    ``row_key`` identifies an interval; it spreads the intervals that share an
-    end point with very many others.
+    ``row_key`` identifies an interval. Points and interval ends are dealt by range once, in the order
+    of (time, kind, row key), so equal times may be split over tasks. Each task counts on
+    through its range, and one number per range is added. Only the ends, with their row keys, are
+    shuffled again, to subtract the count at the start from that at the end.
     """
 
     def micros(name: str) -> Column:
         return F.unix_micros(F.col(name).cast("timestamp"))
 
-    framed = intervals.withColumn("__start", micros(start)).withColumn("__end", micros(end))
-    probes = framed.select(F.explode(F.array("__start", "__end")).alias("t"))
-    counts = prefix_counts(points.select(micros(time).alias("t")), probes)
-    opened = counts.select(F.col("t").alias("__start"), "n_before")
-    closed = counts.select(F.col("t").alias("__end"), "n_until")
-    # starts and ends are weighed together: a time that is hot on either side is in the list
-    weights = key_weights(probes, ["t"])
-    joined = lookup_join(framed, opened, ["__start"], row_key, weights=weights.withColumnRenamed("t", "__start"))
-    joined = lookup_join(joined, closed, ["__end"], row_key, weights=weights.withColumnRenamed("t", "__end"))
-    return joined.withColumn(out, F.col("n_until") - F.col("n_before")).drop("__start", "__end", "n_before", "n_until")
+    keys = [f"__key{i}" for i in range(len(row_key))]
+    named = [F.col(c).alias(k) for c, k in zip(row_key, keys)]
+    ends = F.array(*(F.struct(micros(c).alias("t"), F.lit(kind).alias("kind")) for c, kind in ((start, _START), (end, _END))))
+    probes = intervals.select(*named, F.explode(ends).alias("__end")).select(
+        F.col("__end.t").alias("__t"), F.col("__end.kind").alias("__kind"), *keys
+    )
+    nothing = [F.lit(None).cast(probes.schema[k].dataType).alias(k) for k in keys]
+    marks = points.select(micros(time).alias("__t"), F.lit(_POINT).alias("__kind"), *nothing).unionByName(probes)
+    ordered = marks.where(F.col("__t").isNotNull()).orderBy("__t", "__kind", *keys)
+    placed = materialize(_running(ordered)).withColumn("__part", F.spark_partition_id())
+    sizes = placed.groupBy("__part").agg(F.max("__seen").alias("__n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    total = F.col("__seen") + F.col("__offset")
+    counted = (
+        placed.where(F.col("__kind") != _POINT)
+        .join(F.broadcast(offsets), "__part")
+        .groupBy(*keys)
+        .agg(F.sum(F.when(F.col("__kind") == _END, total).otherwise(-total)).alias(out), F.count("*").alias("__ends"))
+    )
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(row_key, keys)]
+    n = F.when(F.col("__ends") == 2, F.col(out))  # an open interval has no count
+    columns = [c for c in intervals.columns if c != out]
+    return intervals.select(*columns).join(counted, same, "left").select(*columns, n.alias(out))

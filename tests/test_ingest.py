@@ -126,6 +126,11 @@ def test_commit_log(spark):
     assert duplicate_keys(stored["commits"], ["commit_hash"]).isEmpty()
     oldest = mine.mine_history(log, max_commits=3, depth=3)["commits"]
     assert {r.commit_hash for r in oldest.collect()} == {"c1", "c2"}
+    logged = mine.mine_history(log, repo_path="north/star")
+    assert tuple(logged["run_log"].first())[1:] == ("north/star", "c4", 4)
+    twice = mine.mine_history(log, logged, max_commits=2, repo_path="north/star")["run_log"]
+    assert sorted((r.head_hash, r.commit_count) for r in twice.collect()) == [("c2", 2), ("c4", 4)]  # stored commits count too
+    assert mine.mine_history(log.limit(0), repo_path="x")["run_log"].isEmpty()
 
 
 def test_strict_insert(spark):
