@@ -41,7 +41,7 @@ ROUNDS = 4
 LANES, WINDOW = 512, 16
 RATES = (0.02, 0.01, 0.006, 0.003)
 FREQUENT = 1 << 19
-SCORE_BYTES = 16 << 20
+SCORE_BYTES = 6 << 20
 PIECE = 4096  # numbers of a model that travel in one row
 SMOOTH = 0.1
 END = -16  # key of the end of a text; its group bits are 0
