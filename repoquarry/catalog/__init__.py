@@ -30,5 +30,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    for module in ("ingest", "merges", "text", "samples", "linkage", "vocabularies", "features", "markup", "learned"):
+    for module in ("ingest", "merges", "text", "samples", "linkage", "vocabularies", "features", "markup", "learned", "checks"):
         import_module(f"{__name__}.{module}")
