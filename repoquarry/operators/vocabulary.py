@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,13 +38,38 @@ def vocabulary_table(tokens: DataFrame, order: Sequence[str], stem: bool = True)
     """Distinct tokens with their frequency ``n`` and first place ``first`` (a struct of ``order``).
 
     Occurrences are counted before they are stemmed, so the shuffles carry
-    distinct tokens and nothing is joined back.
+    distinct tokens and nothing is joined back. Whole-number order columns are packed
+    into one decimal, which a hash aggregate can keep; a struct would have every
+    occurrence sorted.
     """
-    counted = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("first"))
-    if not stem:
-        return counted
-    stems = with_stems(counted).select(F.col("stem").alias("token"), "n", "first")
-    return stems.groupBy("token").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    packed, unpacked = _packed_place(tokens, order)
+    counted = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min(packed).alias("first"))
+    if stem:
+        stems = with_stems(counted).select(F.col("stem").alias("token"), "n", "first")
+        counted = stems.groupBy("token").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    return counted.select("token", "n", unpacked(F.col("first")).alias("first"))
+
+
+_NULL = -(2**63)  # a null number, which comes first
+
+
+def _packed_place(tokens: DataFrame, order: Sequence[str]) -> tuple[Column, Callable[[Column], Column]]:
+    """A place as one value in the order of ``order``, and the struct of its columns again."""
+    kinds = [tokens.schema[name].dataType.simpleString() for name in order]
+    if len(order) != 2 or kinds[0] not in ("tinyint", "smallint", "int", "bigint") or kinds[1] not in ("tinyint", "smallint", "int"):
+        return F.struct(*order), lambda place: place
+    unit = F.lit(2**32).cast("decimal(12,0)")
+    major = F.coalesce(F.col(order[0]).cast("bigint"), F.lit(_NULL)).cast("decimal(20,0)")
+    minor = (F.coalesce(F.col(order[1]).cast("bigint"), F.lit(-(2**31))) + F.lit(2**31)).cast("decimal(12,0)")
+
+    def unpacked(place: Column) -> Column:
+        rest = F.pmod(place, unit)
+        high = ((place - rest) / unit).cast("bigint")  # divides without a remainder
+        low = rest.cast("bigint") - F.lit(2**31)
+        return F.struct(F.nullif(high, F.lit(_NULL)).cast(kinds[0]).alias(order[0]),
+                        F.nullif(low, F.lit(-(2**31))).cast(kinds[1]).alias(order[1]))
+
+    return (major * unit + minor).cast("decimal(38,0)"), unpacked
 
 
 def vocabulary_totals(vocabulary: DataFrame, by: str) -> DataFrame:
