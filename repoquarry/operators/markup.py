@@ -70,6 +70,10 @@ def _comments(root: ET.Element) -> Iterator[str]:
     return ("".join(e.itertext()) for e in root.iter() if _local(e.tag) == "comment")
 
 
+_PIECE_ROWS = 10_000  # results that a task holds before it passes them on
+_PIECE_CHARS = 8 << 20
+
+
 def _walk(batches: Iterator[pd.DataFrame], find, columns: list[str]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
@@ -79,9 +83,18 @@ def _walk(batches: Iterator[pd.DataFrame], find, columns: list[str]) -> Iterator
                 continue
             for pos, item in enumerate(find(root)):
                 found.append((path, pos, *(item if isinstance(item, tuple) else (item,))))
+                if len(found) >= _PIECE_ROWS:
+                    yield pd.DataFrame(found, columns=columns)
+                    found = []
         yield pd.DataFrame(found, columns=columns)
 
 
+def _units_of(root: ET.Element) -> list[ET.Element]:
+    """Child units; a document that is one unit of a named file is its own unit."""
+    units = [child for child in root if _local(child.tag) == "unit"]
+    return units or ([root] if _local(root.tag) == "unit" and root.get("filename") else [])
+
+
 def extract_identifiers(documents: DataFrame) -> DataFrame:
     """Identifier rows of (file_path, xml): name, kind, convention, length, n_tokens, scope.
 
@@ -125,18 +138,24 @@ def page_comments(pages: DataFrame, key: str, html: str) -> DataFrame:
 def split_units(archives: DataFrame, first: int | None = None) -> DataFrame:
     """Child units of multi-unit documents (document, xml): unit_no, file_path, xml.
 
-    ``first`` keeps the leading units of each document.
+    ``first`` keeps the leading units of each document. An archive is parsed by one task, so a large
+    one should arrive as one row for each unit: a document of a single named unit passes as it is.
     """
+    columns = ["document", "unit_no", "file_path", "xml"]
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
+            found, held = [], 0
             for document, xml in zip(batch["document"], batch["xml"]):
                 root = _parse(xml)
-                units = [] if root is None else [child for child in root if _local(child.tag) == "unit"]
+                units = [] if root is None else _units_of(root)
                 for no, unit in enumerate(units[:first] if first else units):
                     found.append((document, no, unit.get("filename", ""), ET.tostring(unit, encoding="unicode")))
-            yield pd.DataFrame(found, columns=["document", "unit_no", "file_path", "xml"])
+                    held += len(found[-1][3])
+                    if held >= _PIECE_CHARS:
+                        yield pd.DataFrame(found, columns=columns)
+                        found, held = [], 0
+            yield pd.DataFrame(found, columns=columns)
 
     return archives.select("document", "xml").mapInPandas(split, _UNITS)
 
