@@ -60,7 +60,8 @@ def test_projection(spark):
     rows = [(f"t{i}", 1 + i % 3, i, i % 2, [x := rng.gauss(0, 5), x + rng.gauss(0, 1), rng.gauss(3, 0.1)]) for i in range(60)]
     points = spark.createDataFrame(rows, "token string, n int, first int, cluster int, vector array<double>")
     placed = clustering.reduce_dimensions(points)
-    found = placed.select("c1", "c2").toPandas()
+    found = placed.select("n", "c1", "c2").toPandas()
+    found = found.loc[found.index.repeat(found.n)]  # the axes are those of all occurrences
     assert abs(found.c1.mean()) < 1e-9 and abs(found.c2.mean()) < 1e-9
     assert found.c1.var() > found.c2.var() > 0 and abs(found.c1.corr(found.c2)) < 1e-6
     tokens = clustering.representative_tokens(placed).collect()
