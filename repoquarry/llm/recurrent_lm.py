@@ -44,6 +44,7 @@ FREQUENT = 1 << 19
 SCORE_BYTES = 6 << 20
 PIECE = 4096  # numbers of a model that travel in one row
 SMOOTH = 0.1
+LEAD_BITS = 20
 END = -16  # key of the end of a text; its group bits are 0
 
 
@@ -62,19 +63,26 @@ def keys_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Counts:
     """The most frequent words and sums over all."""
 
-    key: np.ndarray  # sorted
+    key: np.ndarray  # sorted as unsigned numbers
     count: np.ndarray
     rank: np.ndarray  # 0 for the most frequent
     tokens: int  # N
     types: int  # V
     group_mass: np.ndarray  # smoothed mass of the words outside the vocabulary, by group
+    first: np.ndarray  # place of the first key with given leading bits
 
     def find(self, key: np.ndarray) -> np.ndarray:
-        """Place of each key, or -1."""
-        if not len(self.key):
-            return np.full(len(key), -1)
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[at] == key, at, -1)
+        """Place of each key, or -1: the few frequent keys with the same leading bits are tried in turn."""
+        lead = (key.view(_U) >> _U(64 - LEAD_BITS)).astype(np.int64)
+        at, end, out = self.first[lead], self.first[lead + 1], np.full(len(key), -1)
+        live = np.flatnonzero(at < end)
+        while len(live):
+            hit = self.key[at[live]] == key[live]
+            out[live[hit]] = at[live[hit]]
+            live = live[~hit]
+            at[live] += 1
+            live = live[at[live] < end[live]]
+        return out
 
     def outputs(self, key: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Output of the network for each word: its group, or ``GROUPS`` + rank."""
@@ -160,54 +168,80 @@ def _softmax_log(z: np.ndarray, place: np.ndarray, d: bool) -> np.ndarray:
 
 
 def output_log(w: dict, h: np.ndarray, y: np.ndarray, grad: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log-probability of each output and, with ``grad``, the gradient of the mean negative one by h."""
-    c, dh, back = class_of(y), None, grad is not None
+    """Natural log-probability of each output and, with ``grad``, the gradient of the mean negative one by h.
+
+    Rows are sorted by class once, so that every class is one stretch of them.
+    """
+    c, back = class_of(y), grad is not None
+    order = np.argsort(c.astype(np.uint8), kind="stable")
+    h, c, y = h.take(order, axis=0), c[order], y[order]
     z = h @ w["class_w"]
     z += w["class_b"]
-    out = _softmax_log(z, c, back).astype(np.float64)
+    logs = _softmax_log(z, c, back).astype(np.float64)
+    dh = None
     if back:
         dh = z @ w["class_w"].T
         grad["class_w"] += h.T @ z / len(y)
         grad["class_b"] += z.sum(axis=0) / len(y)
-    order = np.argsort(c.astype(np.uint8), kind="stable")
-    edges = np.searchsorted(c[order], np.arange(N_CLASSES + 1))
+    edges = np.searchsorted(c, np.arange(N_CLASSES + 1))
     for k in np.flatnonzero(np.diff(edges)):
-        at, of = order[edges[k] : edges[k + 1]], members(k)
-        own = h[at]
-        z = own @ w["word_w"][of].T
+        at, of = slice(edges[k], edges[k + 1]), members(k)
+        z = h[at] @ w["word_w"][of].T
         z += w["word_b"][of]
-        out[at] += _softmax_log(z, y[at] - of.start, back)
+        logs[at] += _softmax_log(z, y[at] - of.start, back)
         if back:
             dh[at] += z @ w["word_w"][of]
-            grad["word_w"][of] += z.T @ own / len(y)
+            grad["word_w"][of] += z.T @ h[at] / len(y)
             grad["word_b"][of] += z.sum(axis=0) / len(y)
-    return out, None if dh is None else dh / len(y)
+    out = np.empty(len(y))
+    out[order] = logs
+    if not back:
+        return out, None
+    dh /= len(y)
+    by_row = np.empty_like(dh)
+    by_row[order] = dh
+    return out, by_row
 
 
 def gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
     """(mean loss, gradients, last state) of one window; x, y and begins are (time, lane)."""
     grad = {k: np.zeros(shape, np.float32) for k, shape in SHAPES.items()}
-    kept = []
+    kept, firsts_of = [], [np.flatnonzero(row) for row in begins]
+    states = np.empty((x.size, HIDDEN), w["state"].dtype)
     for t in range(len(x)):
-        h = np.where(begins[t][:, None], np.float32(0), h)
+        if len(firsts_of[t]):
+            h = h.copy()
+            h[firsts_of[t]] = 0
         new, *parts = step(w, x[t], h)
         kept.append((h, *parts))
-        h = new
-        kept[-1] += (new,)
-    states = np.concatenate([k[-1] for k in kept])
+        states[t * x.shape[1] : (t + 1) * x.shape[1]] = h = new
     logs, dh_out = output_log(w, states, y.ravel(), grad)
     lanes = x.shape[1]
-    carry, d_inputs = np.zeros_like(h), np.empty((len(x) * lanes, 3 * HIDDEN), np.float32)
+    carry, d_inputs = np.zeros_like(h), np.empty((len(x) * lanes, 3 * HIDDEN), states.dtype)
+    back, dg = np.ascontiguousarray(w["state"].T), np.empty((lanes, 3 * HIDDEN), states.dtype)
     for t in reversed(range(len(x))):
-        hp, z, r, n, gn, _ = kept[t]
-        dh = carry + dh_out[t * lanes : (t + 1) * lanes]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (hp - n) * z * (1 - z)
-        dr = dn * gn * r * (1 - r)
-        dg = np.concatenate([dz, dr, dn * r], axis=1)
-        d_inputs[t * lanes : (t + 1) * lanes] = np.concatenate([dz, dr, dn], axis=1)
+        hp, z, r, n, gn = kept[t]
+        dh = dh_out[t * lanes : (t + 1) * lanes]
+        dh += carry
+        carry = dh * z
+        dh -= carry  # dh * (1 - z)
+        dn = dh * n
+        dn *= n
+        np.subtract(dh, dn, out=dn)
+        dz = hp - n
+        dz *= carry
+        dz -= dz * z
+        dr = dn * r
+        dg[:, 2 * HIDDEN :] = dr
+        dr *= gn
+        dr -= dr * r
+        dg[:, :HIDDEN], dg[:, HIDDEN : 2 * HIDDEN] = dz, dr
+        da = d_inputs[t * lanes : (t + 1) * lanes]
+        da[:, : 2 * HIDDEN], da[:, 2 * HIDDEN :] = dg[:, : 2 * HIDDEN], dn
         grad["state"] += hp.T @ dg
-        carry = np.where(begins[t][:, None], np.float32(0), dh * z + dg @ w["state"].T)
+        carry += dg @ back
+        if len(firsts_of[t]):
+            carry[firsts_of[t]] = 0
     order = np.argsort(x.ravel(), kind="stable")
     ids = x.ravel()[order]
     firsts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
@@ -323,14 +357,15 @@ def frequent_words(counts: DataFrame) -> Counts:
     order = np.lexsort((key, -count))
     ranks = np.empty(len(key), np.int64)
     ranks[order] = np.arange(len(key))
-    by_key = np.argsort(key)
+    by_key = np.argsort(key.view(_U))
+    first = np.searchsorted(key.view(_U)[by_key] >> _U(64 - LEAD_BITS), np.arange((1 << LEAD_BITS) + 1, dtype=_U)).astype(np.int32)
     groups = counts.groupBy(F.col("key").bitwiseAND(GROUPS - 1).alias("g")).agg(F.sum("c").alias("c"), F.count("*").alias("types")).collect()  # at most GROUPS rows
     tokens, types = np.zeros(GROUPS), np.zeros(GROUPS)
     for row in groups:
         tokens[row["g"]], types[row["g"]] = row["c"], row["types"]
     known = order[:VOCAB]
     mass = tokens - np.bincount(key[known] & (GROUPS - 1), weights=count[known], minlength=GROUPS) + SMOOTH * (types - np.bincount(key[known] & (GROUPS - 1), minlength=GROUPS) + 1)
-    return Counts(key[by_key], count[by_key], ranks[by_key], int(tokens.sum()), int(types.sum()), mass)
+    return Counts(key[by_key], count[by_key], ranks[by_key], int(tokens.sum()), int(types.sum()), mass, first)
 
 
 def average(parts: DataFrame) -> tuple[np.ndarray, int, float] | None:
