@@ -3,7 +3,9 @@
 Words get 64-bit hashes and windows of several lengths rolling hashes, in numpy over
 whole Arrow batches. A window is a duplicate if the same text holds it twice or more;
 its characters, the first copy's included, count once for each length. Lines are
-compared whole. Rows are judged where they lie: no shuffle, one pass, and memory
+compared whole. Windows nest (words in a repeated window of 10 lie in repeated ones of 8, 5 and
+3), so limits fall with the length and lie well under the base rule; otherwise the longer
+windows would decide nothing. Rows are judged where they lie: no shuffle, one pass, and memory
 follows the slice (and a longer text alone), not the table.
 
 Defined cases: null, empty and white-space texts have no words and are rejected by
@@ -33,8 +35,8 @@ class Rules:
     min_words: int = 50
     repeat_words_pct: int = 50  # words in repeated windows of ``base_window`` words
     base_window: int = 3
-    windows: tuple[tuple[int, float], ...] = ((5, 0.50), (8, 0.50), (10, 0.50))
-    line_chars: float = 0.50  # word characters in lines equal to an earlier one
+    windows: tuple[tuple[int, float], ...] = ((5, 0.15), (8, 0.13), (10, 0.10))
+    line_chars: float = 0.10  # word characters in lines equal to an earlier one
     symbols: float = 0.10  # symbols for each word
 
 

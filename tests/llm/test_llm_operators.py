@@ -102,6 +102,24 @@ def test_rules_on_edges(edges, empty):
     assert repetition_rules.measure_repetition(empty).count() == 0 == repetition_rules.keep_unrepetitive(empty).count()
 
 
+def test_each_length_and_lines_reject_by_themselves(spark):
+    new = (f"w{i}" for i in range(10_000))
+    some = lambda n: [next(new) for _ in range(n)]
+
+    def text(n, phrase, copies):  # ``copies`` of a phrase between new words, ``n`` words in all
+        parts = [phrase + some((n - copies * len(phrase)) // copies) for _ in range(copies)]
+        return " ".join(" ".join(p) for p in parts)
+
+    short = "\n".join(f"{' '.join(some(8))}\n{'menu' * 4}" for _ in range(20))
+    texts = [text(200, some(5), 7), text(200, some(8), 3), text(200, some(8), 4), text(200, some(10), 2), text(200, some(12), 2), short, text(200, some(5), 4), " ".join(some(200))]
+    rows = repetition_rules.measure_repetition(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id").collect()
+    rules = repetition_rules.Rules()
+    limits = {**{f"dup_{k}gram_chars": share for k, share in rules.windows}, "dup_line_chars": rules.line_chars}
+    over = [{c for c, share in limits.items() if r[c] > share * r["word_chars"]} for r in rows]
+    assert over == [{"dup_5gram_chars"}, set(), {"dup_5gram_chars", "dup_8gram_chars"}, set(), {"dup_10gram_chars"}, {"dup_line_chars"}, set(), set()]
+    assert not any(r["base_failed"] for r in rows) and [r["kept"] for r in rows] == [not x for x in over]
+
+
 # --- 3 ---
 
 
