@@ -70,6 +70,24 @@ def test_slots_have_to_agree(spark):
     assert covered[1] == 22 and covered.get(2, 0) < covered[1]
 
 
+def test_templates_catch_names_that_begin_sentences_and_arithmetic(spark):
+    apples = "Anna has 12 apples. Bob has 5 apples. Carl has 7 apples. How many in all?"
+    items = [apples, "Compute 12 + 7 * 3 - 4 / 2", "Add 3 kg 5 kg 9 kg 4 kg 8 kg and round up", "12 + 7 * 3 - 4 / 2 = ?"]
+    mia = apples.translate(str.maketrans("1257", "3486"))
+    for a, b in (("Anna", "Mia"), ("Bob", "Tom"), ("Carl", "Leo")):
+        mia = mia.replace(a, b)
+    docs = [
+        f"Here it is. {mia} Done.", "so compute 25 + 9 * 6 - 8 / 3 now", "compute 25 - 9 + 6 * 8 / 3 now", "compute 25, 9, 6, 8, 3 now", "Add 2 kg 6 kg 7 kg 1 kg 5 kg and round up!",
+        "Add 2 kg 6 kg 7 kg 1 kg 5 kg and cook", "Mia has 3 apples. Tom has 4 pears. Leo sold 6 apples. Who has more in all?", "Add 2 kg 6 kg 7 kg 1 km", " 5 + 6 * 7 - 8 / 9 ",
+    ]
+    found = templates.contaminated(
+        spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string"), spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    )
+    got = {(r["id"], r["item_id"]): r for r in found.collect()}
+    assert {(0, 0), (1, 1), (4, 2), (8, 3)} <= set(got) and {d for d, _ in got} <= {0, 1, 4, 8}
+    assert got[0, 0]["covered_words"] == got[0, 0]["item_words"] == 16 and got[1, 1]["covered_words"] == 6 and got[4, 2]["covered_words"] == 14
+
+
 def test_literal_windows_against_brute_force(spark):
     draw = random.Random(3)
     words = [f"w{i}" for i in range(12)]
