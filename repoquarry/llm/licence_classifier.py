@@ -1,24 +1,29 @@
-"""Licence statements found by a trained paragraph classifier.
+"""Licence statements found by a trained classifier of lines and of windows inside lines.
 
-A paragraph is a line. Its words, without case and outer punctuation, give hashed n-grams of one to
-three words; a softmax regression over them tells licence families from each other, from
+Units are lines of at most ``LONG`` words and, in any line with more words, overlapping windows of 12 and of
+``LONG`` words that cover it whole. The words of a unit, without case and outer punctuation, give n-grams of one to
+three words, of which those in training statements have weights; a softmax regression over them tells licence families from each other, from
 statements of no known family, and from other text. It is trained on variants of the templates below
-(words dropped and replaced, holders and years put in), on statements of made-up licences for the
-unknown class, and on lines of the corpus for the rest: at most ``FIT_LINES``, from ``FIT_DOCS``
+(words dropped and replaced, holders and years put in), alone and amid other text, on statements of made-up licences for the
+unknown class, and for the rest on units of the corpus: at most ``FIT_LINES`` lines and as many windows, from ``FIT_DOCS``
 documents of lowest hash. A third of all examples is held back: on them the softmax is given a
 temperature, and the least probability at which a family is named, so that it is right in ``PRECISION`` of
 the cases; a statement below it is ``unknown``.
 
-A family is ``confirmed`` if the paragraph also resembles one of its templates: most word pairs of the
-template occur in it, or most of its word pairs occur in the template. A paragraph that resembles no
-template at all is not reported as unknown.
+A unit is found if it is so by its n-grams and also by its different n-grams, so that one repeated word is no statement.
+Units found in a line are taken by falling probability, named families first; those of the same family that
+overlap are one statement, and what else overlaps it is no finding of its own.
 
-Only ids, training lines and the weights are gathered, all of bounded size; texts are scanned whole in
-one pass without a shuffle.
+A family is ``confirmed`` if the statement also resembles one of its templates: most word pairs of the
+template occur in it, or most of its word pairs occur in the template. What resembles no template is
+reported as unknown and not confirmed.
 
-Defined cases: null, empty and wordless texts have no paragraph; equal texts give equal findings;
+Only ids, training units and the weights are gathered, all of bounded size; texts are scanned whole in
+one pass without a shuffle. Sums are of integers, so equal units have equal probabilities wherever they stand.
+
+Defined cases: null, empty and wordless texts have no unit; equal texts give equal findings;
 equal lines of a text are findings of their own; an empty table gives an empty table (the templates
-alone train the model); other columns are ignored; a very long line is one paragraph.
+alone train the model); other columns are ignored; a very long line is scored by its windows.
 """
 
 from __future__ import annotations
@@ -32,19 +37,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .repetition_rules import line_spans
 from .words import roll, slices, span_hashes, split_words
 
 _U = np.uint64
 FIT_DOCS = 2_000
 FIT_LINES = 3_000
-LINE_CHARS = 300  # longer lines are not used to fit
+LONG = 48  # words; longer lines are scored by windows only
+WINDOWS = ((12, 6), (LONG, 24))  # words of a window, and from one to the next
 VARIANTS = 60
-BITS = 15
 STEPS, RATE, RIDGE = 120, 0.5, 1e-5
 PRECISION = 0.99
 ALIKE = 0.6
-UNLIKE = 0.3  # a statement less like all templates is not one
+POINT = 20  # bits behind the point of the weights that are summed
 SLICE_BYTES = 1 << 20
 
 # Common wording of public licences and notices.
@@ -136,25 +142,59 @@ _SOLID = np.zeros(256, bool)
 _SOLID[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def features(column: pa.Array) -> tuple:
-    """(lines as text, start, end and their bounds; line, place and value of every feature)."""
+def features(column: pa.Array) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """(number of lines; line, hash and value of every feature)."""
     words = split_words(column)
-    start, end, doc = line_spans(words.data, words.bounds)
+    start, _, _ = line_spans(words.data, words.bounds)
     solid = np.flatnonzero(_SOLID[words.data])
     first, last = np.searchsorted(solid, words.start), np.searchsorted(solid, words.end)
     full = last > first
     a, b = solid[first[full]], solid[last[full] - 1] + 1
     line = np.searchsorted(start, a, side="right") - 1
     keys = span_hashes(words.data, a, b, lower=True)
-    lines, places = [], []
+    lines, found = [], []
     for _, at, hashes in roll(keys, line, (1, 2, 3)):
         lines.append(line[at])
-        places.append((hashes >> _U(64 - BITS)).astype(np.int64))
-    line, place = np.concatenate(lines), np.concatenate(places)
+        found.append(hashes)
+    line, found = np.concatenate(lines), np.concatenate(found)
     order = np.argsort(line, kind="stable")
-    line, place = line[order], place[order]
+    line, found = line[order], found[order]
     value = 1 / np.sqrt(np.bincount(line, minlength=len(start)))[line] if len(line) else np.zeros(0)
-    return words, start, end, doc, line, place, value
+    return len(start), line, found, value
+
+
+def places(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes in the sorted ``known``; its length for others."""
+    place = np.searchsorted(known, hashes)
+    return np.where(known[np.minimum(place, len(known) - 1)] == hashes, place, len(known))
+
+
+def units(column: pa.Array) -> tuple:
+    """(words, start, end and text of the lines; line, first word and number of words of every unit; start and end and hash of words)."""
+    words = split_words(column)
+    start, end, doc = line_spans(words.data, words.bounds)
+    solid = np.flatnonzero(_SOLID[words.data])
+    first, last = np.searchsorted(solid, words.start), np.searchsorted(solid, words.end)
+    full = last > first
+    keys = span_hashes(words.data, solid[first[full]], solid[last[full] - 1] + 1, lower=True)
+    a, b = words.start[full], words.end[full]
+    count = np.bincount(np.searchsorted(start, a, side="right") - 1, minlength=len(start))
+    begin = np.cumsum(count) - count
+    whole = np.flatnonzero((count > 0) & (count <= LONG))
+    lines, firsts, sizes = [whole], [begin[whole]], [count[whole]]
+    for size, step in WINDOWS:
+        cut = np.flatnonzero(count > size)
+        n = -(-(count[cut] - size) // step) + 1
+        line = np.repeat(cut, n)
+        place = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
+        lines.append(line)
+        firsts.append(begin[line] + np.minimum(place * step, count[line] - size))  # the last one ends with the line
+        sizes.append(np.full(len(line), size))
+    line, first, size = np.concatenate(lines), np.concatenate(firsts), np.concatenate(sizes)
+    # Whole lines span all their bytes, windows those of their words.
+    alone = np.arange(len(line)) < len(whole)
+    spans = (np.where(alone, start[line], a[first]), np.where(alone, end[line], b[first + size - 1])) if len(line) else (line, line)
+    return words, start, end, doc, line, first, size, *spans, keys
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -164,6 +204,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
+    known: np.ndarray  # sorted hashes of the features with weights
     weights: np.ndarray  # place x class, float32; the last row is the constant
     temperature: float
     least: float  # probability from which a family is named
@@ -175,6 +216,30 @@ class Model:
             z[line[starts]] += np.add.reduceat(self.weights[place] * value[:, None].astype(np.float32), starts, axis=0)
         return softmax(z / self.temperature)
 
+    def of_units(self, keys: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Probabilities of units of ``size`` words from ``first``, by running sums over all words."""
+        table = np.rint(self.weights * float(1 << POINT)).astype(np.int64)
+        constant, table[-1] = table[-1].copy(), 0  # other features count for the length only
+        total, n_features = np.zeros((len(first), len(CLASSES)), np.int64), np.zeros(len(first), np.int64)
+        for n, at, hashes in roll(keys, np.zeros(len(keys), np.int64), (1, 2, 3)):
+            sums = np.zeros((len(at) + 1, len(CLASSES)), np.int64)
+            np.cumsum(table[places(self.known, hashes)], axis=0, out=sums[1:])
+            held = size >= n
+            total[held] += sums[first[held] + size[held] - n + 1] - sums[first[held]]
+            n_features += np.maximum(size - n + 1, 0)
+        z = total / np.sqrt(np.maximum(n_features, 1))[:, None] + constant
+        return softmax(z / (1 << POINT) / self.temperature)
+
+    def of_different(self, keys: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Probabilities of units by their different n-grams."""
+        table = np.rint(self.weights * float(1 << POINT)).astype(np.int64)
+        z = np.repeat(table[-1:].astype(np.float64), len(first), axis=0)
+        for i, (a, n) in enumerate(zip(first, size)):
+            hashes = [h for _, _, h in roll(keys[a : a + n], np.zeros(n, np.int64), (1, 2, 3))]
+            place = places(self.known, np.unique(np.concatenate(hashes)))
+            z[i] += table[place[place < len(self.known)]].sum(axis=0) / np.sqrt(sum(map(len, hashes)))
+        return softmax(z / (1 << POINT) / self.temperature)
+
 
 def variants(seed: int = 7) -> list[tuple[str, int]]:
     """Training statements: (text, class), the same in every run."""
@@ -209,17 +274,35 @@ def likeness(text: str, family: str) -> float:
     return max((len(own & t) / min(len(own), len(t)) for t in _TEMPLATE_PAIRS.get(family, ()) if own), default=0.0)
 
 
+def amid(statements: list[tuple[str, int]], others: list[str], seed: int = 11) -> list[tuple[str, int]]:
+    """The statements in windows whose other words are from other text."""
+    draw, out = np.random.default_rng(seed), []
+    around = " ".join(others).split()
+    for text, c in statements if around else []:
+        words = text.split()
+        size = next((n for n, _ in WINDOWS if n >= len(words)), len(words))
+        at, lead = int(draw.integers(0, len(around))), int(draw.integers(0, size - len(words) + 1))
+        more = [around[(at + i) % len(around)] for i in range(size - len(words))]
+        out.append((" ".join(more[:lead] + words + more[lead:]), c))
+    return out
+
+
 def fit_model(others: list[str]) -> Model:
-    """Softmax regression on the variants and on lines of other text, with temperature and threshold."""
+    """Softmax regression on the variants, alone and amid other text, and on units of other text, with temperature and threshold."""
     others = [t for t in others if all(likeness(t, f) < 0.5 for f in FAMILIES)]
-    examples = variants() + [(t, NONE) for t in others]
+    said = variants()
+    _, _, known, _ = features(pa.array([t for t, _ in said]))
+    known = np.unique(known)
+    examples = said + [(t, NONE) for t in others] + amid(said, others)
     label = np.array([c for _, c in examples])
-    _, start, _, _, line, place, value = features(pa.array([re.sub(r"\s+", " ", t) or "-" for t, _ in examples]))
+    _, line, hashes, value = features(pa.array([re.sub(r"\s+", " ", t) or "-" for t, _ in examples]))
+    place = places(known, hashes)
+    line, place, value = (x[place < len(known)] for x in (line, place, value))
     held = np.arange(len(label)) % 3 == 2
-    n, w, seen = len(label), np.zeros(((1 << BITS) + 1, len(CLASSES))), np.full(((1 << BITS) + 1, len(CLASSES)), 1e-8)
+    n, w, seen = len(label), np.zeros((len(known) + 1, len(CLASSES))), np.full((len(known) + 1, len(CLASSES)), 1e-8)
     target = np.eye(len(CLASSES))[label]
     weight = np.where(held, 0.0, 1 / np.bincount(label, minlength=len(CLASSES))[label])
-    weight *= np.where(label == NONE, 10.0, 1.0)  # most lines are none
+    weight *= np.where(label == NONE, 10.0, 1.0)  # most units are none
     weight /= weight.sum()
     used, back = np.unique(place, return_inverse=True)
     starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
@@ -236,14 +319,14 @@ def fit_model(others: list[str]) -> Model:
         seen[-1] += all_of**2
         w[-1] -= RATE * all_of / np.sqrt(seen[-1])
     w = w.astype(np.float32)
-    best = min(np.geomspace(0.1, 5, 40), key=lambda t: _loss(Model(w, float(t), 0.0), n, line, place, value, label, held))
-    p = Model(w, float(best), 0.0).probabilities(n, line, place, value)[held][:, : UNKNOWN]
+    best = min(np.geomspace(0.1, 5, 40), key=lambda t: _loss(Model(known, w, float(t), 0.0), n, line, place, value, label, held))
+    p = Model(known, w, float(best), 0.0).probabilities(n, line, place, value)[held][:, : UNKNOWN]
     named, right = p.max(axis=1), p.argmax(axis=1) == label[held]
     order = np.argsort(-named)
     share = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero(share >= PRECISION)
     least = float(np.clip(named[order][good[-1]], 0.5, 0.95)) if len(good) else 0.95
-    return Model(w, float(best), least)
+    return Model(known, w, float(best), least)
 
 
 def _loss(model: Model, n: int, line: np.ndarray, place: np.ndarray, value: np.ndarray, label: np.ndarray, held: np.ndarray) -> float:
@@ -254,10 +337,37 @@ def _loss(model: Model, n: int, line: np.ndarray, place: np.ndarray, value: np.n
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model whose other text comes from ``docs``."""
     chosen = docs.select(F.col(f"`{id_col}`").alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(FIT_DOCS)
-    lines = docs.select(F.col(f"`{id_col}`").alias("_id"), F.explode(F.split(f"`{text_col}`", "\n")).alias("line")).join(F.broadcast(chosen), "_id", "left_semi")
-    lines = lines.select("line").filter((F.length("line") <= LINE_CHARS) & (F.length(F.trim("line")) > 0)).distinct()
-    found = lines.orderBy(F.xxhash64("line"), "line").limit(FIT_LINES).toArrow().column("line").to_pylist()
-    return fit_model(found)
+    texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(chosen), "_id", "left_semi").select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, n in slices(batch.column(0), SLICE_BYTES):
+                words, start, end, _, line, _, _, low, high, _ = units(batch.column(0).slice(first, n))
+                cut = (low != start[line]) | (high != end[line])
+                found = [words.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(low, high)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(cut)], names=["unit", "cut"])
+
+    found = materialize(texts.mapInArrow(run, "unit string, cut boolean").distinct())
+    out = []
+    for cut in (False, True):
+        out += found.filter(F.col("cut") == cut).orderBy(F.xxhash64("unit"), "unit").limit(FIT_LINES).toArrow().column("unit").to_pylist()
+    return fit_model(out)
+
+
+def merged(low: np.ndarray, high: np.ndarray, named: np.ndarray, best: np.ndarray, sure: np.ndarray) -> list[tuple[int, int, int, list[int]]]:
+    """(best unit, start, end, units) of the statements among the units found in one line."""
+    out, left = [], sorted(range(len(low)), key=lambda i: (not named[i], -sure[i], low[i], high[i]))
+    while left:
+        top = left[0]
+        a, b, own = low[top], high[top], [top]
+        same = [i for i in left[1:] if named[i] == named[top] and (not named[top] or best[i] == best[top])]
+        while near := [i for i in same if low[i] < b and a < high[i]]:
+            a, b, own = min(a, *(low[i] for i in near)), max(b, *(high[i] for i in near)), own + near
+            same = [i for i in same if i not in set(near)]
+        out.append((top, int(a), int(b), own))
+        taken = set(own)
+        left = [i for i in left if i not in taken and not (low[i] < b and a < high[i])]
+    return sorted(out, key=lambda x: x[1])
 
 
 def statements(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,25 +380,30 @@ def statements(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         m = shared.value
         for batch in batches:
             for first, n in slices(batch.column(1), SLICE_BYTES):
-                words, start, end, doc, line, place, value = features(batch.column(1).slice(first, n))
-                p = m.probabilities(len(start), line, place, value)
-                with_words = np.zeros(len(start), bool)
-                with_words[line] = True
-                hit = np.flatnonzero((p[:, NONE] < 0.5) & with_words)
+                words, start, end, doc, line, begin, size, low, high, keys = units(batch.column(1).slice(first, n))
+                p = m.of_units(keys, begin, size)
+                hit = np.flatnonzero(p[:, NONE] < 0.5)
+                p[hit] = m.of_different(keys, begin[hit], size[hit])
+                hit = hit[p[hit, NONE] < 0.5]
                 if not len(hit):
                     continue
+                hit = hit[np.argsort(line[hit], kind="stable")]
                 best = p[hit, :UNKNOWN].argmax(axis=1)
-                sure = p[hit, best]
-                family = [FAMILIES[b] if s >= m.least else "unknown" for b, s in zip(best, sure)]
-                texts = [words.data[start[i] : end[i]].tobytes().decode("utf-8", "replace") for i in hit]
-                alike = np.array([likeness(t, f) for t, f in zip(texts, family)])
-                like_any = np.array([f != "unknown" or a >= UNLIKE for f, a in zip(family, alike)])
-                hit, sure, alike, family = hit[like_any], sure[like_any], alike[like_any], [f for f, k in zip(family, like_any) if k]
-                probability = np.where([f == "unknown" for f in family], 1 - p[hit, NONE], sure)
-                of_doc = hit - np.searchsorted(doc, doc[hit])
-                base = words.bounds[doc[hit]]
+                named = p[hit, best] >= m.least
+                sure = np.where(named, p[hit, best], 1 - p[hit, NONE])
+                text = lambda a, b: words.data[a:b].tobytes().decode("utf-8", "replace")
+                rows = []
+                for part in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(line[hit])) + 1):
+                    of = hit[part]
+                    for top, a, b, own in merged(low[of], high[of], named[part], best[part], sure[part]):
+                        family = FAMILIES[best[part[top]]] if named[part[top]] else "unknown"
+                        spans = {(a, b), *((int(low[of[i]]), int(high[of[i]])) for i in own)}
+                        rows.append((int(line[of[0]]), a, b, family, float(sure[part[top]]), max(likeness(text(*x), family) for x in spans)))
+                at, a, b, family, probability, alike = map(list, zip(*rows))
+                at, alike = np.array(at), np.array(alike)
+                base = words.bounds[doc[at]]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n).take(pa.array(doc[hit])), pa.array(of_doc), pa.array(start[hit] - base), pa.array(end[hit] - base),
+                    [batch.column(0).slice(first, n).take(pa.array(doc[at])), pa.array(at - np.searchsorted(doc, doc[at])), pa.array(np.array(a) - base), pa.array(np.array(b) - base),
                      pa.array(family, pa.string()), pa.array(probability, pa.float64()), pa.array(alike, pa.float64()), pa.array(alike >= ALIKE)],
                     names=names)
 

@@ -342,6 +342,25 @@ def test_licences(spark, edges, empty):
     assert licence_classifier.fit(empty).least >= 0.5
 
 
+def test_licences_inside_long_lines_and_of_unfamiliar_wording(spark):
+    draw = random.Random(12)
+    lines = [" ".join(draw.choices("river stone window garden paper music light winter corner bridge".split(), k=draw.choice([6, 12, 60]))) + "." for _ in range(400)]
+    words = lambda n: " ".join(draw.choices(lines, k=n // 10))
+    said = {300: ("Licensed under the Apache License, Version 2.0.", "Apache"), 301: ("Released under the MIT License.", "MIT"), 302: ("All rights reserved.", "Proprietary"),
+            303: ("Licensed under the GNU Lesser General Public License, version 2.1.", "LGPL")}
+    rows = [(i, "\n".join(draw.choices(lines, k=5))) for i in range(200)] + [(i, f"{words(1500)} {text} {words(1500)}") for i, (text, _) in said.items()]
+    odd = "This material is distributed to all; may you use and redistribute it under Hovel."
+    rows += [(400, words(3000)), (401, odd)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = licence_classifier.fit(docs.filter("doc_id < 400"))
+    found = licence_classifier.statements(docs, model).join(docs, "doc_id").collect()
+    assert sorted((r["doc_id"], r["family"]) for r in found) == sorted([*((i, family) for i, (_, family) in said.items()), (401, "unknown")])
+    for r in found:
+        span = r["text"].encode()[r["start"] : r["end"]].decode()
+        assert said.get(r["doc_id"], (odd,))[0] in span and len(span.split()) <= 96 and (r["doc_id"] == 401 or r["confirmed"])
+    assert next(r for r in found if r["doc_id"] == 401)["confirmed"] is False
+
+
 # --- 7 ---
 
 
