@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from repoquarry.llm import best_fit_packing, parity_join, repetition_rules, template_decontamination, toxic_segments
 from repoquarry.llm.queries import in_fold, tokenizer_path
+from repoquarry.session import shared_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +49,12 @@ ORACLE_SQL = None  # the toxicity scores are learned
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """The last stage over what the others wrote, each to a folder of its own under ``spark.checkpoint.dir``."""
+    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            schema, path = docs.schema, f"{folder}/{k}-{name}"
+            docs.write.parquet(path)
+            docs = spark.read.schema(schema).parquet(path)
     return docs
