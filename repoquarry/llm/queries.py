@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, licence_classifier, ordinal_quality, parity_join, recurrent_lm, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
+from . import best_fit_packing, hard_negatives, licence_classifier, ordinal_quality, parity_join, recurrent_lm, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -202,3 +202,25 @@ def op10_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     model = toxic_segments.fit(docs, _table(spark, folder, "labels"), ~in_fold("doc_id", 5))
     scored = toxic_segments.score_documents(docs, model, with_segments=False)
     return scored.select("doc_id", in_fold("doc_id", 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+# --- 13: hard negatives -------------------------------------------------------------------------
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, folder, "embeddings").withColumn("label", changed), F.col("id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+    WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS alike, list_inner_product(a.v, r.v)::BIGINT AS score
+      FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id),
+    positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE alike
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+    SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INT AS rank,
+      other AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10"""
