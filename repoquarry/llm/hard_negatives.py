@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 ROWS, ANCHORS = 8192, 1024  # of a block, on average
+TASKS = 50_000  # at most; then one takes several pairs of blocks, one after the other
 STEP = 1 << 20  # scores that are held at once
 _LEAST = np.iinfo(np.int64).min
 
@@ -90,23 +91,31 @@ def _codes(one: pa.Table, two: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return labels[: len(one)], labels[len(one) :]
 
 
-def _spread(df: DataFrame, sizes: DataFrame, on: list[str], own: str, copies: str, key: Column) -> DataFrame:
-    """``df`` with a part of its own by a hash of ``key``, and a copy for every part of the other side."""
-    dealt = df.join(sizes, on).withColumn("__own", F.pmod(F.xxhash64(F.lit(11), key), F.col(own)))
-    return dealt.withColumn("__other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1))).drop("rows", "anchors")
-
-
-def _meet(rows: DataFrame, anchors: DataFrame, by: Column, parts: int, found, schema: str, extra: list[str]) -> DataFrame:
-    """Every anchor with every row of the same ``by``, block by block, through ``found(anchors, rows)``."""
-    rows, anchors = (t.withColumn("__by", by) for t in (rows, anchors))
-    counted = rows.groupBy("__by").agg(F.count("*").alias("r")).join(anchors.groupBy("__by").agg(F.count("*").alias("a")), "__by")
-    sizes = materialize(counted.select("__by", F.ceil(F.col("r") / ROWS).alias("rows"), F.ceil(F.col("a") / ANCHORS).alias("anchors")))
-    pairs = sizes.agg(F.sum(F.col("rows") * F.col("anchors"))).first()[0] or 1
-    tasks = min(max(pairs, 1), 100_000)
-    right = _spread(rows, sizes, ["__by"], "rows", "anchors", F.col("id")).select("__by", F.col("__own").alias("i"), F.col("__other").alias("j"), "id", "label", "vector")
-    left = _spread(anchors, sizes, ["__by"], "anchors", "rows", F.col("id")).select("__by", F.col("__other").alias("i"), F.col("__own").alias("j"), "id", "label", "vector", "uid", *extra)
-    key = ["__by", "i", "j"]
-    left, right = (t.repartition(max(tasks, parts), *key).groupBy(*key) for t in (left, right))
+def _meet(rows: DataFrame, anchors: DataFrame, by: Column | None, found, schema: str, extra: list[str]) -> DataFrame:
+    """Every anchor with every row, or with every row of the same ``by``, block by block, through ``found(key, anchors, rows)``."""
+    blocks = F.ceil(F.col("r") / ROWS).alias("of_rows"), F.ceil(F.col("a") / ANCHORS).alias("of_anchors")
+    if by is None:
+        sizes = rows.sparkSession.createDataFrame([(rows.count(), anchors.count())], "r long, a long").select(*blocks)
+        of_rows, of_anchors = sizes.first()
+        rows, anchors = (t.select("*", F.lit(0).alias("by"), F.lit(of_rows).alias("of_rows"), F.lit(of_anchors).alias("of_anchors")) for t in (rows, anchors))
+    else:
+        rows, anchors = (t.withColumn("by", by) for t in (rows, anchors))
+        counted = rows.groupBy("by").agg(F.count("*").alias("r")).join(anchors.groupBy("by").agg(F.count("*").alias("a")), "by")
+        sizes = materialize(counted.select("by", *blocks))
+        rows, anchors = (t.join(sizes, "by") for t in (rows, anchors))
+    pairs = sizes.agg(F.sum(F.col("of_rows") * F.col("of_anchors"))).first()[0] or 1
+
+    def own(parts: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(11), F.col("id")), F.col(parts))
+
+    def every(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+
+    key, data = ["by", "i", "j"], ["id", "label", "vector"]
+    right = rows.filter("of_anchors > 0").select("by", *data, own("of_rows").alias("i"), every("of_anchors").alias("j"))
+    left = anchors.filter("of_rows > 0").select("by", *data, "uid", *extra, every("of_rows").alias("i"), own("of_anchors").alias("j"))
+    tasks = max(min(pairs, TASKS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    left, right = (t.repartition(tasks, *key).groupBy(*key) for t in (left, right))
     return left.cogroup(right).applyInArrow(found, schema)
 
 
@@ -143,8 +152,7 @@ def mine(
         picked = left.take(pa.array(at))
         return pa.Table.from_arrays([*picked.columns, pa.array(other), pa.array(score)], names=names)
 
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    alike = _meet(rows, anchors, F.pmod(F.xxhash64("label"), F.lit(buckets)), parts, best_alike, "id long, uid long, other long, score long", [])
+    alike = _meet(rows, anchors, F.pmod(F.xxhash64("label"), F.lit(buckets)), best_alike, "id long, uid long, other long, score long", [])
     place = F.expr("row_number() OVER (PARTITION BY id, uid ORDER BY score DESC, other)")
     first = alike.withColumn("place", place).filter(F.col("place") <= positives)
     # Windows in whole numbers: low * p <= 100 * n <= high * p.
@@ -176,7 +184,7 @@ def mine(
         return pa.Table.from_arrays([*picked.columns, pa.array(slot), pa.array(other), pa.array(score)], names=names)
 
     asking = anchors.join(wanted.select("id", "uid", "limits", "least"), ["id", "uid"])
-    found = _meet(rows, asking, F.lit(0), parts, heads, "id long, uid long, slot long, other long, score long", ["limits", "least"])
+    found = _meet(rows, asking, None, heads, "id long, uid long, slot long, other long, score long", ["limits", "least"])
     place = F.expr("row_number() OVER (PARTITION BY id, uid, slot ORDER BY score DESC, other)")
     tops = found.withColumn("place", place).filter(F.col("place") <= negatives)
     # At most (positives x negatives) rows an anchor, merged from the highest slot down.
