@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, hard_negatives, licence_classifier, ordinal_quality, parity_join, recurrent_lm, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
+from . import best_fit_packing, hard_negatives, language_id, licence_classifier, ordinal_quality, parity_join, recurrent_lm, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -20,9 +20,9 @@ def _query(function):
     return function
 
 
-def in_fold(column: str, folds: int) -> Column:
-    """Whether crc32 of the id as text is divisible by ``folds``; a null id counts as an empty text."""
-    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds == 0
+def in_fold(column: str, folds: int, rest: int = 0) -> Column:
+    """Whether crc32 of the id as text leaves ``rest`` when divided by ``folds``; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds == rest
 
 
 # --- 1: benchmark decontamination ---------------------------------------------------------------
@@ -204,6 +204,17 @@ def op10_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", in_fold("doc_id", 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+# --- 12: language identification ----------------------------------------------------------------
+
+
+@_query
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = language_id.fit(docs, ~in_fold("doc_id", 4, 2))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 # --- 13: hard negatives -------------------------------------------------------------------------
 
 
