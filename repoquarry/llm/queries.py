@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, hard_negatives, language_id, licence_classifier, ordinal_quality, parity_join, recurrent_lm, repetition_rules, template_decontamination, toxic_segments, url_rules, warc_index
+from . import best_fit_packing, hard_negatives, language_id, licence_classifier, ordinal_quality, parity_join, recurrent_lm, repetition_rules, template_decontamination, token_alignment, toxic_segments, url_rules, warc_index
 
 QUERIES = {}
 ORACLES = {}
@@ -89,6 +89,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @_query
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
@@ -204,6 +210,14 @@ def op10_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", in_fold("doc_id", 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+# --- 11: cross-tokenizer alignment --------------------------------------------------------------
+
+
+@_query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.alignment_counts(_table(spark, folder, "documents"), tokenizer_path(), piece_path())
+
+
 # --- 12: language identification ----------------------------------------------------------------
 
 
