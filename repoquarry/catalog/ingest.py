@@ -38,8 +38,9 @@ def issues_from_json(spark, folder):
         F.when(F.col("k") % 2 == 0, "closed").alias("state"),
         F.when(F.col("k") % 4 == 0, "done").alias("state_reason"),
         F.col("k").alias("comments"),
-        F.array(F.struct(F.col("event_type").alias("name")),
-                F.struct(F.concat(F.lit("k"), "k").alias("name"))).alias("labels"),
+        # a label that is a text stands before one that is an object
+        F.array(F.col("event_type").cast("variant"), F.to_variant_object(F.struct(F.col("event_type").alias("name"))),
+                F.to_variant_object(F.struct(F.concat(F.lit("k"), "k").alias("name")))).alias("labels"),
         iso(F.col("at")).alias("created_at"),
         F.when(F.col("k") % 2 == 0, iso(F.col("at"))).alias("closed_at"),
         F.when(F.col("event_type") == "view", F.struct(F.lit("link").alias("url"))).alias("pull_request"),

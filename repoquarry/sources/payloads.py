@@ -5,9 +5,12 @@ response page, and keeps the columns named in ``carry`` (provider, repository an
 the like). With ``page_no``, a column that numbers the pages as they arrived, the
 rows get an ``arrival`` for the merges: the page number and the place in the page.
 
-Reading is strict. A page that is no JSON or has not the expected form (cut off, an
-error message), and a page with an item without its number or id, or with a number
-beyond its column, stop the run with an error that names the page. Only a null page has no rows.
+A page is parsed once, into a variant, and fields are taken from the variants of its items.
+Reading is strict: nothing that is there is lost. A page that is no JSON or has not the expected form (cut off, an
+error message), an item without its number or id, and a field that is there but cannot be had as its column
+(another type, a number beyond it or with a fraction) stop the run with an error that names field and page. Null and absent fields
+are null. Labels that are no objects have no name and are passed over. Only a null page, an empty list, and an object
+without its list whose ``total_count`` is 0 have no rows.
 """
 
 from __future__ import annotations
@@ -20,61 +23,87 @@ from pyspark.sql import functions as F
 from ..functions.text import remove_nul
 from ..functions.timing import utc_timestamp
 
-_USER = "user:struct<login:string>"
-# a pull request is told from an issue by the presence of its link object
-ISSUE_ITEM = (
-    f"struct<number:bigint,title:string,body:string,{_USER},state:string,state_reason:string,"
-    "comments:int,labels:array<struct<name:string>>,created_at:string,closed_at:string,"
-    "pull_request:struct<url:string>>"
-)
-PULL_ITEM = (
-    f"struct<number:bigint,title:string,{_USER},state:string,created_at:string,merged_at:string,"
-    "closed_at:string>"
-)
-RUN_ITEM = (
-    "struct<id:bigint,conclusion:string,status:string,created_at:string,updated_at:string,head_sha:string>"
-)
-JOB_ITEM = (
-    "struct<id:bigint,name:string,conclusion:string,status:string,started_at:string,completed_at:string,"
-    "duration_ms:bigint>"
-)
+# Fields of an item and what they hold: a column type, the login of an object, or the names of a list of objects.
+ISSUE_ITEM = {
+    "number": "int", "title": "string", "body": "string", "user": "login", "state": "string", "state_reason": "string", "comments": "int",
+    "labels": "names", "created_at": "string", "closed_at": "string",
+}
+PULL_ITEM = {
+    "number": "int", "title": "string", "user": "login", "state": "string", "created_at": "string", "merged_at": "string", "closed_at": "string",
+}
+RUN_ITEM = {
+    "id": "bigint", "conclusion": "string", "status": "string", "created_at": "string", "updated_at": "string", "head_sha": "string",
+}
+JOB_ITEM = {
+    "id": "bigint", "name": "string", "conclusion": "string", "status": "string", "started_at": "string", "completed_at": "string", "duration_ms": "bigint",
+}
+
+INT_MAX = 2**31 - 1
+_OBJECT, _LIST = "map<string,variant>", "array<variant>"
 
 
 def _filled(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
-INT_MAX = 2**31 - 1
+def _present(item: Column, path: str) -> Column:
+    found = F.variant_get(item, path, "variant")
+    return found.isNotNull() & ~F.is_variant_null(found)
+
+
+def _text(item: Column, path: str) -> tuple[Column, Column]:
+    """A text, and whether something else is there."""
+    value = F.try_variant_get(item, path, "string")  # of lists and objects their JSON
+    nested = F.try_variant_get(item, path, _OBJECT).isNotNull() | F.try_variant_get(item, path, _LIST).isNotNull()
+    return value, F.coalesce(F.substring(value, 1, 1).isin("{", "[") & nested, F.lit(False)) | value.isNull() & _present(item, path)
+
+
+def _field(item: Column, name: str, kind: str) -> tuple[Column, Column]:
+    """The value of a field, and what is wrong with it (null: nothing)."""
+    path, other = f"$.{name}", F.lit(f"{name} of another type")
+    if kind == "login":
+        value, wrong = _text(item, f"{path}.login")
+        return value, F.when(wrong | value.isNull() & _present(item, path) & F.try_variant_get(item, path, _OBJECT).isNull(), other)
+    if kind == "names":
+        listed = F.try_variant_get(item, path, _LIST)
+        objects = F.filter(listed, lambda x: F.try_variant_get(x, "$", _OBJECT).isNotNull())
+        names = F.transform(objects, lambda x: F.coalesce(F.try_variant_get(x, "$.name", "string"), F.lit("")))
+        return names, F.when(listed.isNull() & _present(item, path), other)
+    if kind == "string":
+        value, wrong = _text(item, path)
+        return value, F.when(wrong, other)
+    value = F.try_variant_get(item, path, "bigint")
+    problem = F.when(value.isNull() & _present(item, path), other).when(F.try_variant_get(item, path, "double") != value.cast("double"), other)
+    if kind == "int":
+        problem = problem.when(F.abs(value) > INT_MAX, F.lit(f"a {name} out of range"))
+    return value, problem
 
 
 def _items(
-    pages: DataFrame, json: str, shape: str, field: str | None, carry: Sequence[str], page_no: str | None
+    pages: DataFrame, json: str, fields: dict[str, str], listed: str | None, carry: Sequence[str], page_no: str | None, but: str | None = None
 ) -> DataFrame:
-    """One row per item of every page, the carried columns and the arrival in front."""
-    text = F.col(json)
-    parsed = F.from_json(json, f"array<{shape}>" if field is None else f"struct<{field}:array<{shape}>>")
-    items = parsed if field is None else parsed[field]
-    whole = F.try_parse_json(text).isNotNull() & F.startswith(F.ltrim(text), F.lit("[" if field is None else "{"))
-    name = "number" if "number:" in shape else "id"
-    beyond = F.lit(False) if name == "id" else F.exists(items, lambda i: F.abs(i[name]) > INT_MAX)
+    """One row per item of every page, the carried columns and the arrival in front; items with a field ``but`` are left out."""
+    text, key = F.col(json), next(iter(fields))
     known = [page_no] if page_no is not None else []
-    page = F.concat_ws(" ", *(F.col(c).cast("string") for c in [*carry, *known]), F.substring(text, 1, 80))
-
-    def error(what: str) -> Column:
-        return F.raise_error(F.concat(F.lit(f"{what} in page: "), page)).cast(f"array<{shape}>")
-
-    checked = (
-        F.when(text.isNull(), F.lit(None))
-        .when(~F.coalesce(whole, F.lit(False)) | items.isNull(), error(f"no list of {field or 'items'}"))
-        .when(F.exists(items, lambda i: i[name].isNull()), error(f"an item without {name}"))
-        .when(F.coalesce(beyond, F.lit(False)), error(f"a {name} out of range"))
-        .otherwise(items)
-    )
-    if page_no is None:
-        return pages.select(*carry, F.inline(checked))
-    placed = pages.select(*carry, F.col(page_no).cast("long").alias("__page"), F.posexplode(checked).alias("__pos", "__item"))
-    arrival = F.struct(F.col("__page").alias("page"), F.col("__pos").alias("place")).alias("arrival")
-    return placed.select(*carry, arrival, "__item.*")
+    where = F.concat_ws(" ", *(F.col(c).cast("string") for c in [*carry, *known]), F.substring(text, 1, 80))
+    page = F.try_parse_json(text)
+    items = F.try_variant_get(page, "$" if listed is None else f"$.{listed}", _LIST)
+    nothing = F.lit(False) if listed is None else F.coalesce(F.try_variant_get(page, "$.total_count", "bigint") == 0, F.lit(False))
+    error = F.raise_error(F.concat(F.lit(f"no list of {listed or 'items'} in page: "), where)).cast(_LIST)
+    checked = F.when(text.isNull() | items.isNotNull(), items).when(nothing & ~_present(page, f"$.{listed}"), items).otherwise(error)
+    number = F.lit(None).cast("long") if page_no is None else F.col(page_no).cast("long")
+    placed = pages.select(*carry, number.alias("__page"), where.alias("__where"), F.posexplode(checked).alias("__pos", "__item"))
+    item = F.col("__item")
+    if but is not None:
+        placed = placed.where(F.variant_get(item, f"$.{but}", "variant").isNull())
+    values, problems = zip(*(_field(item, name, kind) for name, kind in fields.items()))
+    missing = F.when(values[0].isNull(), F.lit(f"an item without {key}"))
+    problem = F.coalesce(missing, *problems)
+    stop = F.raise_error(F.concat(problem, F.lit(" in page: "), F.col("__where")))
+    whole = F.struct(*(v.alias(name) for name, v in zip(fields, values)))
+    rows = placed.withColumn("__item", F.when(problem.isNull(), whole).otherwise(stop))
+    arrival = [] if page_no is None else [F.struct(F.col("__page").alias("page"), F.col("__pos").alias("place")).alias("arrival")]
+    return rows.select(*carry, *arrival, "__item.*")
 
 
 def _kept(carry: Sequence[str], page_no: str | None) -> list[str]:
@@ -85,18 +114,17 @@ def issue_rows(
     pages: DataFrame, json: str = "json", carry: Sequence[str] = (), page_no: str | None = None
 ) -> DataFrame:
     """Issues of list pages; items that are pull requests are dropped."""
-    items = _items(pages, json, ISSUE_ITEM, None, carry, page_no).where(F.col("pull_request").isNull())
-    names = F.transform("labels", lambda label: F.coalesce(label["name"], F.lit("")))
+    items = _items(pages, json, ISSUE_ITEM, None, carry, page_no, but="pull_request")
     return items.select(
         *_kept(carry, page_no),
         F.col("number").cast("int").alias("issue_number"),
         remove_nul(F.col("title")).alias("title"),
         remove_nul(F.col("body")).alias("body"),
-        F.col("user.login").alias("author"),
+        F.col("user").alias("author"),
         F.coalesce("state", F.lit("open")).alias("state"),
         "state_reason",
-        F.coalesce("comments", F.lit(0)).alias("comments_count"),
-        F.coalesce(F.array_join(names, ","), F.lit("")).alias("labels"),
+        F.coalesce("comments", F.lit(0)).cast("int").alias("comments_count"),
+        F.coalesce(F.array_join("labels", ","), F.lit("")).alias("labels"),
         utc_timestamp(F.col("created_at")).alias("created_at"),
         utc_timestamp(F.col("closed_at")).alias("closed_at"),
     )
@@ -112,7 +140,7 @@ def pull_rows(
         *_kept(carry, page_no),
         F.col("number").cast("int").alias("pr_number"),
         F.coalesce("title", F.lit("")).alias("title"),
-        F.col("user.login").alias("author"),
+        F.col("user").alias("author"),
         state.alias("state"),
         utc_timestamp(F.col("created_at")).alias("created_at"),
         utc_timestamp(_filled("merged_at")).alias("merged_at"),

@@ -257,9 +257,43 @@ BAD_PAGES = [
     ('[{"title": "nameless"}]', "an item without number"),
     ('[{"number": "x"}]', "an item without number"),
     ('[{"number": 1}, {"number": 9999999999}]', "a number out of range"),
+    ('[{"number": 1}, "text"]', "an item without number"),
+    ('[{"number": 1.5}]', "number of another type"),
+    ('[{"number": 1, "user": "bob"}]', "user of another type"),
+    ('[{"number": 1, "user": {"login": ["x"]}}]', "user of another type"),
+    ('[{"number": 1, "title": {"en": "x"}}]', "title of another type"),
+    ('[{"number": 1, "created_at": ["2024"]}]', "created_at of another type"),
 ]
 
 
+BAD_ISSUES = [
+    ('[{"number": 1, "comments": 3000000000}]', "a comments out of range"),
+    ('[{"number": 1, "comments": "many"}]', "comments of another type"),
+    ('[{"number": 1, "labels": "bug"}]', "labels of another type"),
+    ('[{"number": 1, "labels": {"name": "bug"}}]', "labels of another type"),
+]
+
+
+@pytest.mark.parametrize(("text", "problem"), BAD_ISSUES)
+def test_bad_issue_fields_stop_the_run(spark, text, problem):
+    with pytest.raises(PySparkException, match=f"{problem} in page: "):
+        payloads.issue_rows(spark.createDataFrame([(text,)], "json string")).collect()
+
+
+def test_no_field_of_an_item_is_lost(spark):
+    """Labels that are strings are passed over, not the list; numbers as text and texts that look like JSON are taken."""
+    items = [
+        {"number": 1, "title": "[draft] {x}", "labels": ["bug", {"name": "x"}, {"name": None}, {"color": "red"}, 5, {"name": "y"}], "user": {"id": 3}, "comments": "12"},
+        {"number": "2", "title": 7, "labels": None, "user": {"login": "z"}, "comments": None, "state": None},
+        {"number": 3, "pull_request": None, "title": "a pull request all the same"},
+    ]
+    rows = payloads.issue_rows(spark.createDataFrame([(json.dumps(items),)], "json string")).orderBy("issue_number").collect()
+    assert [(r.issue_number, r.title, r.labels, r.author, r.comments_count, r.state) for r in rows] == [
+        (1, "[draft] {x}", "x,,,y", None, 12, "open"), (2, "7", "", "z", 0, "open")]
+    runs = '{"workflow_runs": [{"id": 12345678901234, "status": 5, "extra": [1]}]}'
+    assert payloads.run_rows(spark.createDataFrame([(runs,)], "json string")).first()["status"] == "5"
+
+
 @pytest.mark.parametrize(("text", "problem"), BAD_PAGES)
 @pytest.mark.parametrize("reader", [payloads.issue_rows, payloads.pull_rows])
 def test_bad_list_pages_stop_the_run(spark, reader, text, problem):
@@ -277,7 +311,10 @@ def test_bad_run_pages_stop_the_run(spark, text):
 def test_pages_without_items(spark):
     pages = spark.createDataFrame([("[]",), (" [ ]",), (None,)], "json string")
     assert payloads.issue_rows(pages).count() == 0
-    assert payloads.run_rows(spark.createDataFrame([('{"workflow_runs": []}',)], "json string")).count() == 0
+    empty = [('{"workflow_runs": []}',), ('{"total_count": 0}',), (None,)]
+    assert payloads.run_rows(spark.createDataFrame(empty, "json string")).count() == 0
+    with pytest.raises(PySparkException, match="no list of workflow_runs in page: "):
+        payloads.run_rows(spark.createDataFrame([('{"total_count": 3}',)], "json string")).collect()
 
 
 def test_arrivals_order_by_page_then_place(spark):
