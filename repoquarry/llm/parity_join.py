@@ -13,12 +13,15 @@ Blocks that different sets share give candidates. They are not paired with each
 
 1. every member of a shared block is compared with the block's first member only;
 2. links found so far make components; a block whose members are all in one is done;
-3. in the others, members outside the block's largest component are compared with all
-   members of other components.
+3. in the others, members of other components than the largest are compared with one member of that;
+4. when a round has not halved the pairs that are left, or these are no more than the entries of
+   blocks, members outside a block's largest component are compared with all members of other components.
 
-Before a comparison, sizes and a 256-bit parity sketch (whose Hamming distance never exceeds the
+Near copies that lie just under the limit share many blocks. An entry therefore carries the ``BEFORE``
+shared blocks before it, in an order that is the same for all sets, and in step 4 a pair is passed over
+where both sides have one of these in common: the first block they share forms it. Before a comparison, sizes and a 256-bit parity sketch (whose Hamming distance never exceeds the
 number of differing shingles) rule pairs out; what remains is compared exactly on the
-whole texts. Step 3 makes the result whole: no pair that shares a block is left out
+whole texts. Step 4 makes the result whole: no pair that shares a block is left out
 unless both sides are already in one component.
 
 Equal sets are one node throughout. The keys of shared blocks pass through the driver
@@ -33,6 +36,7 @@ table; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -43,14 +47,13 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import compact, connected
-from .words import mix, roll, slices, split_words, word_hashes
+from .words import mix, released, roll, slices, split_words, word_hashes
 
 _U = np.uint64
 FILTER_BITS = 26
 SPARE = 0.25  # further blocks, so that the emptiest need not be entered
 BAND_RATIO = 1.5
-ROUNDS = 3  # of comparing with one member of a block, before all remaining pairs
-PAIRS_A_MEMBER = 200  # fewer remaining pairs than this for each member are compared at once
+BEFORE = 8  # shared blocks before a block that its entry carries
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
@@ -141,7 +144,7 @@ def entries(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
         value = mix(value + mix((band[of].astype(_U) << _U(32)) + number + _U(0x9E3779B9)))
         order = np.lexsort((value, -held, of))  # fullest first; the order depends on a block's content alone
         rank = np.arange(total) - base[of]
-        entered = order[rank < enter[of]]
+        entered = np.sort(order[rank < enter[of]])  # by set and block number
         out_doc.append(live[of[entered]])
         out_key.append(value[entered])
     if not out_doc:
@@ -149,6 +152,16 @@ def entries(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out_doc), np.concatenate(out_key)
 
 
+def blocks_before(doc: np.ndarray, key: np.ndarray) -> pa.ListArray:
+    """For each entered block of a set the ``BEFORE`` keys before it; sets enter bands and blocks in the same order."""
+    at = np.arange(len(doc))
+    first = np.maximum.accumulate(np.where(np.append(True, doc[1:] != doc[:-1])[: len(doc)], at, 0))
+    n = np.minimum(at - first, BEFORE)
+    edges = np.concatenate([[0], np.cumsum(n)])
+    which = np.repeat(at - n, n) + np.arange(edges[-1]) - np.repeat(edges[:-1], n)
+    return pa.ListArray.from_arrays(edges.astype(np.int32), _long(key[which]))
+
+
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -187,6 +200,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     right = texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
     wide = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(2)):
@@ -206,6 +220,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     """Per row of ``docs``: id, ``n_shingles`` and ``component_id`` (the smallest id reachable by links). Ids are longs."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
+    @released
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(1)):
@@ -213,6 +228,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
                 sid = pa.array(set_ids(sets).view(np.int64), mask=sets.size == 0)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(sets.size.astype(np.int64)), sid], names=["id", "n", "sid"])
 
+    @released
     def entered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(0)):
@@ -226,6 +242,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     shared = materialize(keys.filter("leader < last").select("key", "leader"))
     with_partner = _bitmap(shared, "key")
 
+    @released
     def with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(0)):
@@ -235,9 +252,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
                 doc, key = doc[found], key[found]
                 sketch = sketches(sets)[doc]
                 arrays = [_long(key), _long(set_ids(sets)[doc]), pa.array(sets.size[doc].astype(np.int64)), *(_long(np.ascontiguousarray(sketch[:, i])) for i in range(4))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["key", "sid", "n", *SKETCH])
+                yield pa.RecordBatch.from_arrays([*arrays, blocks_before(doc, key)], names=["key", "sid", "n", *SKETCH, "before"])
 
-    fields = ", ".join(f"{c} long" for c in ("key", "sid", "n", *SKETCH))
+    fields = ", ".join(f"{c} long" for c in ("key", "sid", "n", *SKETCH)) + ", before array<long>"
     members = rows.select("text").mapInArrow(with_sketch, fields).distinct()
     members = materialize(members.join(shared, "key"))
     found = _links(members, rows, nodes, shingle, percent)
@@ -269,6 +286,7 @@ def _texts(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) ->
     reps = compact(nodes.join(wanted, "sid").select("sid", F.coalesce("rep", F.lit(0)).alias("rep")))
     marks = _bitmap(reps.mapInArrow(_marks, "mark long"), "mark")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(1)):
@@ -290,34 +308,35 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _candidates(some: DataFrame, others: DataFrame, percent: int, condition: Column) -> DataFrame:
     """Distinct pairs (a < b) of a shared block that ``condition`` asks for and that can reach the similarity."""
-    joined = some.alias("x").join(others.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") != F.col("y.sid")) & condition & _can_link("x", "y", percent))
+    joined = some.alias("x").join(others.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") != F.col("y.sid")) & _can_link("x", "y", percent) & condition)
     return joined.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
 
 
 def _links(members: DataFrame, rows: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Components (node, root) of all links."""
     pairs = _candidates(members.filter("sid = leader"), members, percent, F.lit(True))
-    found, n_members, whole = None, members.count(), False
-    for step in range(1, ROUNDS + 2):
+    found, n_members, before, whole = None, members.count(), None, False
+    for step in itertools.count(1):
         pairs = compact(pairs)
         new = _verified(pairs, _texts(rows, nodes, pairs, shingle), shingle, percent)
         # Components so far stand for the links that made them.
         found = connected(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if whole:
-            break
-        placed = members.join(found, members.sid == found.node, "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
-        placed = materialize(placed)
+            return found
+        placed = materialize(members.join(found, members.sid == found.node, "left").withColumn("root", F.coalesce("root", "sid")).drop("node"))
         sizes = placed.groupBy("key", "root").agg(F.count("*").alias("held"), F.max_by("sid", F.xxhash64("sid", F.lit(step))).alias("one"))
         largest = sizes.groupBy("key").agg(F.max_by(F.struct("root", "one"), F.struct("held", "root")).alias("top"), F.sum("held").alias("all"), F.max("held").alias("most"))
         largest = compact(largest.filter("all > most").select("key", F.col("top.root").alias("top"), F.col("top.one").alias("one"), "all", "most"))
         work = largest.agg(F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()[0]
         if not work:
-            break
+            return found
         unsettled = placed.join(largest.select("key", "top", "one"), "key")
         outside = unsettled.filter("root <> top")
-        whole = work <= PAIRS_A_MEMBER * n_members or step == ROUNDS
-        if whole:  # every pair of a block in different components, once
-            pairs = _candidates(outside, unsettled, percent, F.expr("x.root <> y.root AND (y.root = y.top OR x.sid < y.sid)"))
+        # All pairs of a block in different components, once no more than the members are left or a round has not settled half of them.
+        whole = work <= n_members or before is not None and 2 * work > before
+        if whole:
+            # The first block that two sets share forms their pair, so it need not be formed again in the blocks after that.
+            pairs = _candidates(outside, unsettled, percent, F.expr("x.root <> y.root AND (y.root = y.top OR x.sid < y.sid)") & ~F.arrays_overlap("x.before", "y.before"))
         else:
             pairs = _candidates(unsettled.filter("sid = one"), outside, percent, F.lit(True))
-    return found
+        before = work

@@ -9,7 +9,9 @@ about 2^-64 a pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -54,6 +56,27 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int
         yield first, len(sizes) - first
 
 
+def _release() -> None:
+    """Give memory that is free back to the machine, as a worker process lives on for other tasks and stages."""
+    _TABLES.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def released(run: Callable) -> Callable:
+    """A function of batches that keeps no memory after its last batch."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _release()
+
+    return whole
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and their bounds; a null text is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

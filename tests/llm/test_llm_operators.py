@@ -136,6 +136,9 @@ def test_each_length_and_lines_reject_by_themselves(spark):
     over = [{c for c, share in limits.items() if r[c] > share * r["word_chars"]} for r in rows]
     assert over == [{"dup_5gram_chars"}, set(), {"dup_5gram_chars", "dup_8gram_chars"}, set(), {"dup_10gram_chars"}, {"dup_line_chars"}, set(), set()]
     assert not any(r["base_failed"] for r in rows) and [r["kept"] for r in rows] == [not x for x in over]
+    symbols = spark.createDataFrame([(1, " ".join(f"word{i}%" for i in range(60)))], "doc_id int, text string")
+    (row,) = repetition_rules.measure_repetition(symbols).collect()  # symbols are no repetition, but the pipeline rejects them
+    assert row["kept"] and row["many_symbols"] and repetition_rules.keep_unrepetitive(symbols).count() == 0
 
 
 # --- 3 ---
@@ -147,8 +150,8 @@ def test_packing_round_trip(spark, edges, empty):
     tokenizer = Tokenizer.from_file(tokenizer_path())
     tokenizer.encode_special_tokens = True
     docs = edges.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    packed = packing.pack_documents(docs, tokenizer_path(), size=256).cache()
-    whole = packing.sequences(packed, packing.token_pieces(docs, tokenizer_path(), size=256))
+    packed = packing.pack_documents(docs, tokenizer_path(), size=256, with_ids=True).cache()
+    whole = packing.sequences(packed)
     sequences = {r["sequence_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in whole.collect()}
     texts, pieces, used = {r["doc_id"]: r["text"] for r in docs.collect()}, {}, {}
     for r in packed.collect():
@@ -165,6 +168,9 @@ def test_packing_round_trip(spark, edges, empty):
         parts.sort()
         assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:])) and sum(n for _, n in parts) <= 256
     assert packing.pack_documents(empty, tokenizer_path()).count() == 0
+    plain = packing.pack_documents(docs, tokenizer_path(), size=256)
+    assert sorted(plain.columns) == sorted(set(packed.columns) - {"ids"})
+    assert collect(plain.select("doc_id", "piece", "start", "length", "ids_crc32")) == collect(packed.select("doc_id", "piece", "start", "length", "ids_crc32"))
 
 
 def test_text_parts_have_the_ids_of_the_text():
@@ -202,6 +208,8 @@ def test_packing_is_dense(spark):
     packed = packing.pack_pieces(spark.createDataFrame(rows, "doc_id long, piece long, length long").repartition(20))
     n = packed.select("sequence_id").distinct().count()
     assert n <= 1.01 * sum(r[2] for r in rows) / 2048 + 1
+    used = packed.groupBy("sequence_id").agg(F.sum("length").alias("used"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert all(r["used"] == r["end"] <= 2048 for r in used) and packed.count() == len(rows)
 
 
 # --- 4 ---
@@ -279,13 +287,47 @@ def test_classes_against_all_pairs(spark, k, percent):
     assert collect(parity_join.classes(docs, shingle=k, percent=percent)) == brute_classes(rows, k, percent)
 
 
-def test_chains_and_rounds(spark, monkeypatch):
-    monkeypatch.setattr(parity_join, "PAIRS_A_MEMBER", 0)  # all rounds with one member a block first
+def test_chains_and_rounds(spark):
     base = [f"b{i}" for i in range(120)]
     rows = [(i, " ".join(base[: 60 + 2 * (i % 30)])) for i in range(60)]  # each like its neighbours only
     assert collect(parity_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=90)) == brute_classes(rows, 3, 90)
 
 
+def test_a_family_just_under_the_limit(spark):
+    """Near copies that are hardly ever linked but share blocks: pairs are formed about once, not once a block."""
+    draw = random.Random(9)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+    for i in range(150):
+        text = list(base)
+        for at in draw.sample(range(400), draw.choice([5, 6, 7, 8])):
+            text[at] = f"n{i}_{at}"
+        rows.append((i, " ".join(text)))
+    formed = []
+    whole = parity_join.compact
+
+    def counted(df):
+        out = whole(df)
+        if out.columns == ["a", "b"]:
+            formed.append((out.count(), out.distinct().count()))
+        return out
+
+    parity_join.compact = counted
+    try:
+        found = collect(parity_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=90))
+    finally:
+        parity_join.compact = whole
+    assert found == brute_classes(rows, 3, 90) and len({c for _, _, c in found}) > 1
+    assert all(n == m for n, m in formed) and sum(n for n, _ in formed) < 150 * 149
+
+
+def test_blocks_before_an_entry():
+    lists = parity_join.blocks_before(np.array([0, 0, 0, 1, 1]), np.array([5, 6, 7, 8, 9], np.uint64)).to_pylist()
+    assert lists == [[], [5], [5, 6], [], [8]]
+    long = parity_join.blocks_before(np.zeros(20, np.int64), np.arange(20, dtype=np.uint64)).to_pylist()
+    assert long[19] == list(range(19 - parity_join.BEFORE, 19)) and parity_join.blocks_before(np.zeros(0, np.int64), np.zeros(0, np.uint64)).to_pylist() == []
+
+
 def test_classes_on_edges(edges, empty):
     rows = [(r[0], r[1]) for r in EDGES]
     assert collect(parity_join.classes(edges)) == brute_classes(rows, 5, 80)
@@ -470,6 +512,7 @@ def test_warc_round_trip(spark):
     got = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"], None if r["payload"] is None else bytes(r["payload"])) for r in found]
     assert sorted(got, key=repr) == sorted(expected, key=repr)
     some = warc_index.read_records(index.filter("page_id IN (7, 1)"), folder).collect()
+    assert warc_index.read_records(index, folder).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism  # the index alone is a few kB
     assert sorted(r["page_id"] for r in some) == [1, 7]
     nothing = warc_index.new_folder(spark)
     assert warc_index.read_records(warc_index.write_archives(pages.limit(0), nothing), nothing).count() == 0
