@@ -40,6 +40,7 @@ JOB_ITEM = {
 
 INT_MAX = 2**31 - 1
 _OBJECT, _LIST = "map<string,variant>", "array<variant>"
+_SHAPES = {"string": "string", "int": "decimal(24,4)", "bigint": "decimal(24,4)", "login": "struct<login:string>", "names": _LIST}
 
 
 def _filled(name: str) -> Column:
@@ -58,25 +59,38 @@ def _text(item: Column, path: str) -> tuple[Column, Column]:
     return value, F.coalesce(F.substring(value, 1, 1).isin("{", "[") & nested, F.lit(False)) | value.isNull() & _present(item, path)
 
 
-def _field(item: Column, name: str, kind: str) -> tuple[Column, Column]:
-    """The value of a field, and what is wrong with it (null: nothing)."""
+def _problem(item: Column, name: str, kind: str) -> Column:
+    """What is wrong with a field; null if it can be had, or is absent or null."""
     path, other = f"$.{name}", F.lit(f"{name} of another type")
     if kind == "login":
-        value, wrong = _text(item, f"{path}.login")
-        return value, F.when(wrong | value.isNull() & _present(item, path) & F.try_variant_get(item, path, _OBJECT).isNull(), other)
+        login, wrong = _text(item, f"{path}.login")
+        return F.when(wrong | login.isNull() & _present(item, path) & F.try_variant_get(item, path, _OBJECT).isNull(), other)
     if kind == "names":
-        listed = F.try_variant_get(item, path, _LIST)
-        objects = F.filter(listed, lambda x: F.try_variant_get(x, "$", _OBJECT).isNotNull())
-        names = F.transform(objects, lambda x: F.coalesce(F.try_variant_get(x, "$.name", "string"), F.lit("")))
-        return names, F.when(listed.isNull() & _present(item, path), other)
+        return F.when(_present(item, path) & F.try_variant_get(item, path, _LIST).isNull(), other)
     if kind == "string":
-        value, wrong = _text(item, path)
-        return value, F.when(wrong, other)
-    value = F.try_variant_get(item, path, "bigint")
-    problem = F.when(value.isNull() & _present(item, path), other).when(F.try_variant_get(item, path, "double") != value.cast("double"), other)
-    if kind == "int":
-        problem = problem.when(F.abs(value) > INT_MAX, F.lit(f"a {name} out of range"))
-    return value, problem
+        return F.when(_text(item, path)[1], other)
+    value = F.try_variant_get(item, path, _SHAPES[kind])
+    problem = F.when(_present(item, path) & value.isNull() | (value != F.floor(value)), other)
+    return problem.when(F.abs(value) > INT_MAX, F.lit(f"a {name} out of range")) if kind == "int" else problem
+
+
+def _value(item: Column, name: str, kind: str) -> Column:
+    found = item[name]
+    if kind == "names":
+        objects = F.filter(found, lambda x: F.try_variant_get(x, "$", _OBJECT).isNotNull())
+        return F.transform(objects, lambda x: F.coalesce(F.try_variant_get(x, "$.name", "string"), F.lit("")))
+    return found["login"] if kind == "login" else found.cast("long") if kind in ("int", "bigint") else found
+
+
+def _clean(item: Column, cast: Column, name: str, kind: str) -> Column:
+    """Whether a field needs no closer look: it is absent or null, or was cast and is no list or object."""
+    found, fine = cast[name], F.lit(True)
+    if kind in ("string", "login"):  # the text of a list or an object is its JSON
+        found = found["login"] if kind == "login" else found
+        fine = ~F.substring(found, 1, 1).isin("{", "[")
+    elif kind != "names":
+        fine = (found == F.floor(found)) & ((F.abs(found) <= INT_MAX) if kind == "int" else F.lit(True))
+    return F.when(found.isNull(), ~_present(item, f"$.{name}")).otherwise(fine)
 
 
 def _items(
@@ -96,12 +110,22 @@ def _items(
     item = F.col("__item")
     if but is not None:
         placed = placed.where(F.variant_get(item, f"$.{but}", "variant").isNull())
-    values, problems = zip(*(_field(item, name, kind) for name, kind in fields.items()))
-    missing = F.when(values[0].isNull(), F.lit(f"an item without {key}"))
-    problem = F.coalesce(missing, *problems)
-    stop = F.raise_error(F.concat(problem, F.lit(" in page: "), F.col("__where")))
-    whole = F.struct(*(v.alias(name) for name, v in zip(fields, values)))
-    rows = placed.withColumn("__item", F.when(problem.isNull(), whole).otherwise(stop))
+    shape = ",".join(f"{name}:{_SHAPES[kind]}" for name, kind in fields.items())
+    placed = placed.withColumn("__cast", F.try_variant_get(item, "$", f"struct<{shape}>"))
+    cast = F.col("__cast")
+    clean = cast[key].isNotNull()
+    for name, kind in fields.items():
+        clean = clean & _clean(item, cast, name, kind)
+
+    def problem(i: Column) -> Column:
+        missing = F.when(F.try_variant_get(i, f"$.{key}", _SHAPES[fields[key]]).isNull(), F.lit(f"an item without {key}"))
+        return F.coalesce(missing, *(_problem(i, name, kind) for name, kind in fields.items()))
+
+    # In a lambda, as it is looked at for odd items only and would else swell the code for all.
+    found = F.when(~clean, F.coalesce(F.transform(F.array(item), problem)[0], F.when(cast.isNull(), F.lit("an item of another form"))))
+    stop = F.raise_error(F.concat(found, F.lit(" in page: "), F.col("__where")))
+    whole = F.struct(*(_value(cast, name, kind).alias(name) for name, kind in fields.items()))
+    rows = placed.withColumn("__item", F.when(found.isNull(), whole).otherwise(stop))
     arrival = [] if page_no is None else [F.struct(F.col("__page").alias("page"), F.col("__pos").alias("place")).alias("arrival")]
     return rows.select(*carry, *arrival, "__item.*")
 
