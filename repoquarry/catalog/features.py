@@ -8,6 +8,7 @@ from ..operators.clustering import representative_tokens
 from ..operators.features import commit_features, commit_tokens, issue_features
 from ..operators.vocabulary import vocabulary_table
 from ..session import materialize
+from ..plans.reports import model_report
 from ..sources.tables import read_table, read_texts
 from . import query
 from .adaptors import ISSUES_SQL, commits, events, issues, token_label, tokens_sql, vec_id_sql, with_vec_id
@@ -96,6 +97,51 @@ def metrics(spark, folder):
     return table.withColumns({name: F.round(name, 9) for name in ("precision", "recall", "f1")})
 
 
+def _report_sql(source: str, classes: str) -> str:
+    """Lines of a model report whose metrics and importances come from counts of ``source`` (label, prediction)."""
+    return f"""SELECT row_number() OVER (ORDER BY section, place) AS line_no, line FROM (
+    SELECT 0 AS section, unnest(range(1, 8)) AS place, unnest(['REPORT', '{"=" * 40}', '', 'Model type:  rule', 'Features:    2', 'Train size:  7', 'Test size:   9']) AS line
+    UNION ALL SELECT 1, 1, printf('Accuracy:    %.1f%%', 100.0 * count(*) FILTER (WHERE label = prediction) / count(*)) FROM {source}
+    UNION ALL SELECT 2, unnest(range(1, 6)), unnest(['', 'Classification report (test set):', '{"-" * 36}', '              precision    recall  f1-score   support', ''])
+    UNION ALL SELECT 3, list_position(['A', 'N', 'R', 'accuracy', 'micro avg', 'macro avg', 'weighted avg'], class),
+        CASE WHEN class = 'accuracy' THEN printf('%12s  %9s %9s %9.2f %9d', class, '', '', f1, support)
+        ELSE printf('%12s  %9.2f %9.2f %9.2f %9d', class, precision, recall, f1, support) END FROM ({classes})
+    UNION ALL SELECT 4, unnest(range(1, 4)), unnest(['', 'Feature importances (descending):', '{"-" * 36}'])
+    UNION ALL SELECT 5, row_number() OVER (ORDER BY n DESC, label), printf('  %-25s %.4f', label, n / 1e6) FROM (SELECT label, count(*) AS n FROM {source} GROUP BY label))"""
+
+
+def _report(rows):
+    importances = rows.groupBy(F.col("label").alias("feature")).agg((F.count("*") / 1e6).alias("importance"))
+    return model_report("REPORT", "rule", 2, 7, 9, modeling.class_metrics(rows), importances, ["A", "N", "R"])
+
+
+METRICS_SQL = """c AS (SELECT DISTINCT label AS class FROM rows),
+s AS (SELECT class, (SELECT count(*) FROM rows WHERE label = class) AS support,
+      (SELECT count(*) FROM rows WHERE label = class AND prediction = class) AS hits,
+      (SELECT count(*) FROM rows WHERE prediction = class) AS made FROM c),
+m AS (SELECT class, support, hits, made, coalesce(hits / nullif(made, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r FROM s),
+f AS (SELECT *, coalesce(2 * p * r / nullif(p + r, 0), 0) AS f1 FROM m),
+metrics AS (SELECT class, p AS precision, r AS recall, f1, CAST(support AS BIGINT) AS support FROM f
+UNION ALL SELECT CASE WHEN sum(made) = sum(support) THEN 'accuracy' ELSE 'micro avg' END, sum(hits) / sum(made),
+    sum(hits) / sum(support), 2 * sum(hits) / (sum(made) + sum(support)), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f1), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support), sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM f)"""
+
+
+@query("model_report_strangers", f"WITH {GUESSED_SQL}, rows AS (SELECT * FROM guessed), {METRICS_SQL} {_report_sql('rows', 'SELECT * FROM metrics')}")
+def report_with_strangers(spark, folder):
+    """The report where some predictions are no class of the test set."""
+    return _report(guesses(spark, folder))
+
+
+@query("model_report_lines", f"""WITH {GUESSED_SQL}, rows AS (SELECT label, CASE WHEN prediction = 'X' THEN 'R' ELSE prediction END AS prediction FROM guessed),
+{METRICS_SQL} {_report_sql('rows', 'SELECT * FROM metrics')}""")
+def report_lines(spark, folder):
+    """The report where all predictions are classes of the test set."""
+    rows = guesses(spark, folder)
+    return _report(rows.withColumn("prediction", F.when(F.col("prediction") == "X", "R").otherwise(F.col("prediction"))))
+
+
 @query("confusion_matrix", f"""WITH {GUESSED_SQL}
 SELECT label, {', '.join(f"count(*) FILTER (WHERE prediction = '{c}') AS {c}" for c in 'ANR')} FROM guessed GROUP BY label""")
 def confusion(spark, folder):

@@ -92,10 +92,10 @@ def commit_parts(spark, folder):
     return commits(spark, folder).select("doc_id", F.inline(F.array(text.commit_parts(F.col("message")))))
 
 
-@query("clean_commits", f"WITH {PARTS_SQL} SELECT commit_hash, cc_type, cc_scope, cc_breaking, subject FROM parts")
+@query("clean_commits", f"WITH {PARTS_SQL} SELECT commit_hash, cc_type, cc_scope, cc_breaking, subject, body FROM parts")
 def cleaned_commits(spark, folder):
     cleaned = clean_commits(commits(spark, folder))
-    return cleaned.select("commit_hash", "cc_type", "cc_scope", "cc_breaking", "subject")
+    return cleaned.select("commit_hash", "cc_type", "cc_scope", "cc_breaking", "subject", "body")
 
 
 @query("clean_issues", f"""WITH {ISSUES_SQL}

@@ -173,31 +173,42 @@ PARTS = r"""list_transform(list_filter(regexp_split_to_array(regexp_replace(name
     lambda x: x <> ''), lambda x: lower(x))"""
 
 
-@query("identifier_features", f"""WITH {IDENTIFIERS_SQL},
-spelled AS (SELECT file_path, name, length(name) AS chars, {PARTS} AS parts,
+def identifier_features_sql(names: str) -> str:
+    """Metrics of the (file_path, name) rows of the table ``names``, as the CTE ``measured``."""
+    return f"""spelled AS (SELECT file_path, name, length(name) AS chars, {PARTS} AS parts,
     CASE WHEN upper(name) = name AND lower(name) <> name AND (contains(name, '_') OR length(name) > 1) THEN 'SCREAMING_SNAKE'
     WHEN lower(name) = name AND upper(name) <> name THEN 'snake_case'
     WHEN NOT contains(name, '_') AND lower(name[1]) = name[1] AND upper(name[1]) <> name[1] AND lower(name) <> name THEN 'camelCase'
     WHEN NOT contains(name, '_') AND upper(name[1]) = name[1] AND lower(name[1]) <> name[1] THEN 'PascalCase'
-    ELSE 'other' END AS convention FROM identifiers),
-vocab AS (SELECT file_path, count(DISTINCT part) AS vocab_size FROM (SELECT file_path, unnest(parts) AS part FROM spelled) GROUP BY 1)
-SELECT file_path, count(*) AS n_identifiers, round(avg(chars), 6) AS avg_identifier_length,
+    ELSE 'other' END AS convention FROM {names}),
+vocab AS (SELECT file_path, count(DISTINCT part) AS vocab_size FROM (SELECT file_path, unnest(parts) AS part FROM spelled) GROUP BY 1),
+measured AS (SELECT file_path, count(*) AS n_identifiers, round(avg(chars), 6) AS avg_identifier_length,
        round(avg(len(parts)), 6) AS avg_tokens_per_identifier, any_value(vocab_size) AS vocab_size,
        round(any_value(vocab_size) / sum(len(parts)), 6) AS vocab_diversity,
        round(avg(CAST(convention = 'snake_case' AS INTEGER)), 6) AS pct_snake_case,
        round(avg(CAST(convention = 'camelCase' AS INTEGER)), 6) AS pct_camel_case,
        round(avg(CAST(convention = 'PascalCase' AS INTEGER)), 6) AS pct_pascal_case
-FROM spelled JOIN vocab USING (file_path) GROUP BY file_path""")
-def features(spark, folder):
-    table = identifier_features(identifier_rows(spark, folder))
+FROM spelled JOIN vocab USING (file_path) GROUP BY file_path)"""
+
+
+def _rounded(table):
     ratios = [name for name in table.columns if name.startswith(("avg", "pct")) or name == "vocab_diversity"]
     return table.withColumns({name: F.round(name, 6) for name in ratios})
 
 
-@query("identifier_features_all_files", """SELECT file_path, coalesce(n, 0) AS n_identifiers FROM (SELECT DISTINCT p_type AS file_path FROM part)
-LEFT JOIN (SELECT p_type AS file_path, count(*) AS n FROM part WHERE p_size > 25 GROUP BY 1) USING (file_path)""")
+@query("identifier_features", f"WITH {IDENTIFIERS_SQL}, {identifier_features_sql('identifiers')} SELECT * FROM measured")
+def features(spark, folder):
+    return _rounded(identifier_features(identifier_rows(spark, folder)))
+
+
+METRICS = ("n_identifiers", "avg_identifier_length", "avg_tokens_per_identifier", "vocab_size", "vocab_diversity", "pct_snake_case", "pct_camel_case", "pct_pascal_case")
+
+
+@query("identifier_features_all_files", f"""WITH larger AS (SELECT p_type AS file_path, p_name AS name FROM part WHERE p_size > 25),
+{identifier_features_sql('larger')}
+SELECT file_path, {', '.join(f'coalesce({c}, 0) AS {c}' for c in METRICS)} FROM (SELECT DISTINCT p_type AS file_path FROM part) LEFT JOIN measured USING (file_path)""")
 def features_all_files(spark, folder):
     parts = read_table(spark, folder, "part", ["p_name", "p_type", "p_size"])
     rows = parts.where("p_size > 25").select(F.col("p_type").alias("file_path"), F.col("p_name").alias("name"))
     files = parts.select(F.col("p_type").alias("file_path"))
-    return identifier_features(rows, files).select("file_path", "n_identifiers")
+    return _rounded(identifier_features(rows, files))

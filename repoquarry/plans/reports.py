@@ -78,10 +78,13 @@ def model_report(
     importances: DataFrame,
     classes: Sequence[str],
 ) -> DataFrame:
-    """Sizes, the classification table and the ranked importances."""
+    """Sizes, the classification table and the ranked importances.
+
+    The share of hits stands in the heading in either form of the table, with ``accuracy`` or with ``micro avg``.
+    """
     spark = metrics.sparkSession
-    accuracy = metrics.where(F.col("class") == "accuracy")
-    order = [*classes, "accuracy", "macro avg", "weighted avg"]
+    hits = metrics.where(F.col("class").isin("accuracy", "micro avg"))  # one of the two; the recall over all classes
+    order = [*classes, "accuracy", "micro avg", "macro avg", "weighted avg"]
     place = F.array_position(F.array(*map(F.lit, order)), F.col("class"))
     blank_before = F.col("class") == "accuracy"
     row = F.when(
@@ -91,8 +94,8 @@ def model_report(
         [
             fixed_lines(spark, 0, [title, "=" * 40, "", f"Model type:  {model_type}", f"Features:    {n_features}",
                                    f"Train size:  {train_size}", f"Test size:   {test_size}"]),
-            table_lines(accuracy, 1, [F.lit(0)],
-                        F.format_string("Accuracy:    %.1f%%", F.col("f1") * 100)),
+            table_lines(hits, 1, [F.lit(0)],
+                        F.format_string("Accuracy:    %.1f%%", F.col("recall") * 100)),
             fixed_lines(spark, 2, ["", "Classification report (test set):", "-" * 36,
                                    "              precision    recall  f1-score   support", ""]),
             table_lines(metrics, 3, [place], row),
