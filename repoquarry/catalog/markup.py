@@ -1,9 +1,12 @@
 """Program markup derived from the parts table, read back into identifiers and comments."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import markup
 from ..operators.identifiers import file_identifier_dataset
+from ..session import shared_folder
 from ..sources.tables import read_texts
 from . import query
 
@@ -92,6 +95,36 @@ def archive_identifiers(spark, folder):
     return found.groupBy("kind").agg(F.count("*").alias("n"))
 
 
+def archive_files(spark, folder):
+    """The folder of four archive files, whose units are in order of their part; where a unit is cut off the next one follows at once."""
+    parts = facts(spark, folder)
+    units_of = parts.select((F.col("p_partkey") % 4).alias("archive"), F.col("p_partkey").alias("place"),
+                            unit(F.when(F.col("broken"), "</unit").otherwise("</unit>")).alias("value"))
+    edges = spark.range(4).select(F.col("id").alias("archive"), F.explode(F.array(
+        F.struct(F.lit(-1).cast("long").alias("place"), F.lit('<unit xmlns="urn:markup" xmlns:cpp="urn:cpp" revision="1">').alias("value")),
+        F.struct(F.lit(1 << 60).alias("place"), F.lit("<unit><function><name>extra</name></function></unit></unit>").alias("value")))).alias("e"))
+    lines = units_of.unionByName(edges.select("archive", "e.place", "e.value"))
+    path = f"{shared_folder(spark)}/archives-{uuid.uuid4()}"
+    lines.repartition(4, "archive").sortWithinPartitions("archive", "place").select("archive", "value").write.partitionBy("archive").text(path)
+    return path
+
+
+@query("archive_file_units", f"""WITH {FACTS_SQL}
+SELECT CAST(p_partkey % 4 AS INTEGER) AS archive, CAST(row_number() OVER (PARTITION BY p_partkey % 4 ORDER BY p_partkey) - 1 AS INTEGER) AS unit_no, file_path FROM facts WHERE NOT broken
+UNION ALL SELECT CAST(p_partkey % 4 AS INTEGER), CAST(count(*) AS INTEGER), '' FROM facts WHERE NOT broken GROUP BY 1""")
+def file_units(spark, folder):
+    read = markup.read_units(spark, archive_files(spark, folder))
+    return read.select(F.regexp_extract("document", "archive=([0-9]+)", 1).cast("int").alias("archive"), "unit_no", "file_path")
+
+
+@query("archive_file_identifiers", f"""WITH {IDENTIFIERS_SQL}
+SELECT file_path, pos, name, kind, scope FROM found UNION ALL
+SELECT '', 0, 'extra', 'function', 'global' FROM (SELECT DISTINCT p_partkey % 4 FROM facts)""")
+def file_identifiers(spark, folder):
+    read = markup.read_units(spark, archive_files(spark, folder))
+    return markup.extract_identifiers(read).select("file_path", "pos", "name", "kind", "scope")
+
+
 @query("function_names", f"""WITH {FACTS_SQL} SELECT file_path, 2 AS pos, func AS name, CAST(1 AS BIGINT) AS n_functions FROM facts WHERE NOT broken""")
 def functions(spark, folder):
     return markup.function_names(markup.extract_identifiers(documents(spark, folder)))

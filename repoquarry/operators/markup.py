@@ -7,11 +7,14 @@ are native columns.
 
 from __future__ import annotations
 
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from xml.parsers import expat
+from xml.sax.saxutils import unescape
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.naming import name_parts, naming_convention
@@ -138,8 +141,8 @@ def page_comments(pages: DataFrame, key: str, html: str) -> DataFrame:
 def split_units(archives: DataFrame, first: int | None = None) -> DataFrame:
     """Child units of multi-unit documents (document, xml): unit_no, file_path, xml.
 
-    ``first`` keeps the leading units of each document. An archive is parsed by one task, so a large
-    one should arrive as one row for each unit: a document of a single named unit passes as it is.
+    ``first`` keeps the leading units of each document. An archive is parsed by one task; ``read_units`` reads
+    archives that are files, of any size, by ranges of bytes.
     """
     columns = ["document", "unit_no", "file_path", "xml"]
 
@@ -160,6 +163,80 @@ def split_units(archives: DataFrame, first: int | None = None) -> DataFrame:
     return archives.select("document", "xml").mapInPandas(split, _UNITS)
 
 
+_UNIT_START = re.compile(r"(?=<unit[\s/>])")
+_OPENING = re.compile(r"<unit((?:\s+[\w:.-]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))*)\s*(/?)>")
+_FILENAME = re.compile(r"\sfilename\s*=\s*(?:\"([^\"]*)\"|'([^']*)')")
+_PREFIX = re.compile(r"[<\s/]([A-Za-z_][\w.-]*):[A-Za-z_]")
+_CLOSING = "</unit>"
+
+
+def _well_formed(xml: str) -> bool:
+    try:
+        expat.ParserCreate().Parse(xml, True)
+    except expat.ExpatError:
+        return False
+    return True
+
+
+def _units_in(record: str, first: bool) -> Iterator[tuple[str, str]]:
+    """(file_path, xml) of the whole units in what stands before a closing tag; ``first`` at the beginning of a file."""
+    pieces = [piece for piece in _UNIT_START.split(record) if piece.startswith("<unit")]
+    for i, piece in enumerate(pieces):
+        opening = _OPENING.match(piece)
+        if opening is None:
+            continue
+        alone, last = opening[2] == "/", i == len(pieces) - 1
+        if not (alone or last):
+            continue  # the root's opening tag, or a unit that was cut off
+        xml = opening[0] if alone else piece + _CLOSING
+        name = _FILENAME.search(opening[1])
+        if first and i == 0 and name is None:
+            continue  # a document without units
+        # Namespaces may be declared at the root, which another task reads; only local names matter here.
+        strange = sorted({q for q in _PREFIX.findall(xml) if f"xmlns:{q}" not in xml} - {"xml", "xmlns"})
+        if strange:
+            xml = f"<unit {' '.join(f'xmlns:{q}={chr(34)}urn:{q}{chr(34)}' for q in strange)}>{xml}{_CLOSING}"
+        if _well_formed(xml):
+            yield unescape((name[1] or name[2] or "") if name else "", {"&quot;": '"', "&apos;": "'"}), xml
+
+
+def read_units(spark: SparkSession, path: str, first: int | None = None) -> DataFrame:
+    """Units of archive files of any size: document, unit_no, file_path, xml, as ``split_units`` gives them.
+
+    Files are read in byte ranges as records that end with a closing unit tag, so one archive is many tasks and
+    no task holds more than a unit. A unit that is cut off or does not parse is left out alone, as is the text around units.
+    ``document`` is the path of the file; a unit gets its number from the units before it in its range and a count of those in
+    earlier ranges. Archives must be neither compressed (such files cannot be split) nor hold a closing unit tag inside a comment or a CDATA section.
+    """
+    records = spark.read.option("lineSep", _CLOSING).text(path)
+    placed = records.select(F.col("_metadata.file_path").alias("document"), F.col("_metadata.file_block_start").alias("block"), "value")
+    columns = ["document", "block", "place", "file_path", "xml"]
+
+    def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, place = None, 0
+        for batch in batches:
+            found, held = [], 0
+            for document, block, record in zip(batch["document"], batch["block"], batch["value"]):
+                beginning = (document, block) != at
+                if beginning:
+                    at, place = (document, block), 0
+                for file_path, xml in _units_in(record, beginning and block == 0):
+                    found.append((document, block, place, file_path, xml))
+                    place, held = place + 1, held + len(xml)
+                    if held >= _PIECE_CHARS:
+                        yield pd.DataFrame(found, columns=columns)
+                        found, held = [], 0
+            yield pd.DataFrame(found, columns=columns)
+
+    found = placed.mapInPandas(units, "document string, block long, place int, file_path string, xml string")
+    sizes = found.groupBy("document", "block").agg(F.count("*").alias("held"))  # a row for each range
+    before = Window.partitionBy("document").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("document", "block", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("before"))
+    numbered = found.join(offsets, ["document", "block"]).withColumn("unit_no", (F.col("before") + F.col("place")).cast("int"))
+    units_read = numbered.select("document", "unit_no", "file_path", "xml")
+    return units_read if first is None else units_read.where(F.col("unit_no") < first)
+
+
 def function_names(identifiers: DataFrame) -> DataFrame:
     """Functions of each file: how many, and their names one row each in order."""
     functions = identifiers.where(F.col("kind") == "function")
