@@ -1,11 +1,15 @@
 """Keyed merges: events before the middle of the month are stored, later ones arrive."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import upsert as ops
 from ..operators.upsert import Rules, upsert
 from ..plans.mine import append_newest
+from ..session import shared_folder
 from ..sources import gitlog
+from ..sources.keyed import KeyedTable
 from . import query
 from .adaptors import EVENTS_SQL, events, micros
 from .ingest import COMMIT_SQL, log
@@ -43,7 +47,7 @@ def key_set(spark, folder):
     return upsert(None, rows, ops.COMMIT_PARENTS, "l_partkey")
 
 
-@query("upsert_issues", f"""WITH {SEQ_SQL}
+ISSUE_MERGE_SQL = f"""WITH {SEQ_SQL}
 SELECT event_type AS provider, 'r' || (user_id % 10) AS repo, user_id AS issue_number,
        arg_max_null(props, s) AS title, arg_max_null(CASE WHEN value >= 8 THEN props ELSE '' END, s) AS body,
        arg_max_null(CASE WHEN value >= 5 THEN 'u' || k END, s) AS author,
@@ -52,9 +56,30 @@ SELECT event_type AS provider, 'r' || (user_id % 10) AS repo, user_id AS issue_n
        arg_max_null(k, s) AS comments_count, arg_max_null(event_type || k, s) AS labels,
        epoch_us(min(ts)) AS created_us,
        epoch_us(arg_max(ts, s) FILTER (WHERE k % 3 = 0)) AS closed_us
-FROM seq GROUP BY event_type, user_id""")
+FROM seq GROUP BY event_type, user_id"""
+
+
+@query("upsert_issues", ISSUE_MERGE_SQL)
 def issues(spark, folder):
-    rows = events(spark, folder).select(
+    return _in_micros(halves(issue_arrivals(spark, folder), ops.upsert_issues))
+
+
+@query("upsert_issues_by_bucket", ISSUE_MERGE_SQL)
+def bucketed_issues(spark, folder):
+    """The same merges into a stored table of which each rewrites only the buckets it falls into."""
+    table = KeyedTable(spark, f"{shared_folder(spark)}/issues-{uuid.uuid4()}", ops.ISSUES.keys, buckets=16)
+    rows = issue_arrivals(spark, folder)
+    for half in (rows.where(F.col("at") < F.lit(MIDDLE).cast("timestamp")), rows.where(F.col("at") >= F.lit(MIDDLE).cast("timestamp"))):
+        table.merge(half, lambda old, new: ops.upsert_issues(old, new, "event_id"))
+    return _in_micros(table.read())
+
+
+def _in_micros(table):
+    return table.withColumns({"created_us": micros("created_at"), "closed_us": micros("closed_at")}).drop("created_at", "closed_at")
+
+
+def issue_arrivals(spark, folder):
+    return events(spark, folder).select(
         "event_id", "at", F.col("event_type").alias("provider"),
         F.concat(F.lit("r"), F.pmod("user_id", F.lit(10))).alias("repo"), F.col("user_id").alias("issue_number"),
         F.col("props").alias("title"), F.when(F.col("value") >= 8, F.col("props")).otherwise("").alias("body"),
@@ -64,10 +89,6 @@ def issues(spark, folder):
         F.concat("event_type", "k").alias("labels"), F.col("at").alias("created_at"),
         F.when(F.col("k") % 3 == 0, F.col("at")).alias("closed_at"),
     )
-    table = halves(rows, ops.upsert_issues)
-    return table.withColumns({"created_us": micros("created_at"), "closed_us": micros("closed_at")}).drop(
-        "created_at", "closed_at"
-    )
 
 
 @query("upsert_pulls", f"""WITH {SEQ_SQL}
