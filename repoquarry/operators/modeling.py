@@ -69,7 +69,7 @@ def split_dataset(
     else:
         total = sum(row["size"] for row in quotas)
         group, quota = F.lit("all"), F.lit(math.ceil(total * test_size))
-    edges = F.broadcast(hash_edges(ordered, group, quota))  # one row per class
+    edges = hash_edges(ordered, group, quota)
     cuts = hash_cuts(ordered, group, edges).select(F.col("__group").alias("__cut_group"), "__cut")
     marked = ordered.withColumn("__group", group).join(
         F.broadcast(cuts), F.col("__group").eqNullSafe(F.col("__cut_group")), "left"

@@ -1,10 +1,10 @@
 """Reproducible samples: the rows with the smallest seeded hash of their id.
 
-A sample is described by one cut per group, the hash of its last row. Cuts come
-from counts per leading hash digits, so no group is ever gathered in one task:
-16**4 = 65,536 hash buckets split a group evenly, only the one bucket the cut falls
-into is ranked, and the population itself is filtered where it lies. The edges
-(one row per group: its last bucket and how many rows of it) are broadcast when
+A sample is described by one cut per group, the hash of its last row. Cuts come from a radix
+selection, so no group is ever gathered in one task: rows are counted per leading hash digits, only the
+bucket that a group's cut falls into is counted again by its next digits, as often as it holds more than
+``BUCKET_ROWS`` rows, and only what is left is ranked. The population itself is filtered where it lies. The
+edges (one row per group: its last bucket and how many rows of it) are broadcast when
 their number is bounded or was counted.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,9 @@ from ..functions.sizing import proportion_size_of
 from ..session import broadcast_if_small, materialize
 from .joins import lookup_join
 
-_DIGITS = 4
+_DIGITS = 4  # of the hash in each round of counting
+_HASH_DIGITS = 32
+BUCKET_ROWS = 1_000_000  # that one task may rank
 _TOP_K = 10_000
 _SMALL_PER_GROUP = 100
 
@@ -32,46 +35,64 @@ def seeded_hash(ids: Sequence[str], seed: int) -> Column:
 
 
 def hash_ordered(rows: DataFrame, ids: Sequence[str], seed: int) -> DataFrame:
-    """Add the hash, its leading digits as bucket, and the place (hash, ids) in the order."""
-    hashed = rows.withColumn("__hash", seeded_hash(ids, seed))
-    return hashed.withColumn("__bucket", F.substring("__hash", 1, _DIGITS)).withColumn(
-        "__place", F.struct("__hash", *ids)
-    )
+    """Add the hash and the place (hash, ids) in the order."""
+    return rows.withColumn("__hash", seeded_hash(ids, seed)).withColumn("__place", F.struct("__hash", *ids))
 
 
 def _same(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))
 
 
-def hash_edges(ordered: DataFrame, group: Column, quota: Column) -> DataFrame:
-    """Per group the bucket its sample ends in: (__edge_group, __edge_bucket, __rest, __size).
+class Edges(NamedTuple):
+    rows: DataFrame  # (__edge_group, __edge_bucket, __rest, __size, __n): materialized, one row per group
+    digits: int  # of the buckets
 
-    ``quota`` is the wanted number of rows as an expression over ``__size``, the
-    rows of the group; ``__rest`` of them lie in the last bucket. A group with quota
-    0 has no row here.
-    """
-    counts = ordered.groupBy(group.alias("__group"), "__bucket").agg(F.count("*").alias("__n"))
-    whole = Window.partitionBy("__group")
-    so_far = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+
+def _bucket(digits: int) -> Column:
+    return F.substring("__hash", 1, digits)
+
+
+def _edges(counts: DataFrame, wanted: Column) -> DataFrame:
+    """Of (__group, __bucket, __n, ..), the bucket in which ``wanted`` rows of a group are reached, and how many of its rows are."""
+    so_far = Window.partitionBy("__group").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        counts.withColumn("__size", F.sum("__n").over(whole))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(so_far), F.lit(0)))
-        .withColumn("__rest", F.least(quota, F.col("__size")) - F.col("__before"))
+        counts.withColumn("__before", F.coalesce(F.sum("__n").over(so_far), F.lit(0)))
+        .withColumn("__rest", wanted - F.col("__before"))
         .where((F.col("__rest") > 0) & (F.col("__rest") <= F.col("__n")))
-        .select(F.col("__group").alias("__edge_group"), F.col("__bucket").alias("__edge_bucket"), "__rest", "__size")
+        .select(F.col("__group").alias("__edge_group"), F.col("__bucket").alias("__edge_bucket"), "__rest", "__size", "__n")
     )
 
 
-def hash_cuts(ordered: DataFrame, group: Column, edges: DataFrame) -> DataFrame:
+def _inside(ordered: DataFrame, group: Column, edges: Edges) -> DataFrame:
+    """The rows in the last bucket of their group."""
+    placed = ordered.select(group.alias("__group"), _bucket(edges.digits).alias("__bucket"), "__hash", "__place")
+    rows, _ = broadcast_if_small(edges.rows)
+    return placed.join(rows, _same("__group", "__edge_group") & (F.col("__bucket") == F.col("__edge_bucket")))
+
+
+def hash_edges(ordered: DataFrame, group: Column, quota: Column) -> Edges:
+    """Per group the bucket its sample ends in, of ``BUCKET_ROWS`` rows at most while hashes differ.
+
+    ``quota`` is the wanted number of rows as an expression over ``__group`` and ``__size``, the
+    rows of the group; ``__rest`` of them lie in the last bucket. A group with quota
+    0 has no row here.
+    """
+    counts = ordered.groupBy(group.alias("__group"), _bucket(_DIGITS).alias("__bucket")).agg(F.count("*").alias("__n"))
+    sized = counts.withColumn("__size", F.sum("__n").over(Window.partitionBy("__group")))
+    edges = Edges(materialize(_edges(sized, F.least(quota, F.col("__size")))), _DIGITS)
+    while edges.digits < _HASH_DIGITS and (edges.rows.agg(F.max("__n")).first()[0] or 0) > BUCKET_ROWS:
+        digits = edges.digits + _DIGITS
+        again = _inside(ordered, group, edges).groupBy("__group", _bucket(digits).alias("__bucket"), "__rest", "__size").agg(F.count("*").alias("__n"))
+        again = again.withColumnRenamed("__rest", "__wanted")
+        edges = Edges(materialize(_edges(again, F.col("__wanted"))), digits)
+    return edges
+
+
+def hash_cuts(ordered: DataFrame, group: Column, edges: Edges) -> DataFrame:
     """Per group the place (hash, ids) of the last sampled row: (__group, __cut)."""
-    placed = ordered.select(group.alias("__group"), "__bucket", "__place")
     rank = F.row_number().over(Window.partitionBy("__group", "__bucket").orderBy("__place"))
-    return (
-        placed.join(edges, _same("__group", "__edge_group") & (F.col("__bucket") == F.col("__edge_bucket")))
-        .withColumn("__rank", rank)
-        .where(F.col("__rank") == F.col("__rest"))
-        .select("__group", F.col("__place").alias("__cut"))
-    )
+    ranked = _inside(ordered, group, edges).withColumn("__rank", rank)
+    return ranked.where(F.col("__rank") == F.col("__rest")).select("__group", F.col("__place").alias("__cut"))
 
 
 def sample_uniform(population: DataFrame, k: int, ids: Sequence[str], seed: int = 0) -> DataFrame:
@@ -86,7 +107,7 @@ def sample_uniform(population: DataFrame, k: int, ids: Sequence[str], seed: int
     if k <= _TOP_K:
         return ordered.orderBy("__place").limit(k).select(*columns)
     everything = F.lit(0)
-    edge = F.broadcast(hash_edges(ordered, everything, F.lit(k)))  # one row
+    edge = hash_edges(ordered, everything, F.lit(k))
     cut = hash_cuts(ordered, everything, edge).select("__cut").scalar()
     return ordered.where(F.col("__place") <= cut).select(*columns)
 
@@ -121,7 +142,8 @@ def sample_stratified(
         ranked = ordered.withColumn("__group", group).withColumn("__rank", F.row_number().over(place))
         return ranked.where(F.col("__rank") <= n).select(*columns)
     quota = F.lit(n) if n is not None else F.ceil(F.col("__size") * F.lit(frac))
-    edges, small = broadcast_if_small(materialize(hash_edges(ordered, group, quota)), max_broadcast_groups)
+    edges = hash_edges(ordered, group, quota)
+    _, small = broadcast_if_small(edges.rows, max_broadcast_groups)
     cuts = hash_cuts(ordered, group, edges)
     if small:
         few = F.broadcast(cuts.select(F.col("__group").alias("__cut_group"), "__cut"))
@@ -132,7 +154,7 @@ def sample_stratified(
             return F.to_json(F.struct(value.alias("g")))
 
         dim = cuts.select(named(F.col("__group")).alias("__name"), "__cut")
-        sizes = edges.select(named(F.col("__edge_group")).alias("__name"), F.col("__size").alias("weight"))
+        sizes = edges.rows.select(named(F.col("__edge_group")).alias("__name"), F.col("__size").alias("weight"))
         joined = lookup_join(ordered.withColumn("__name", named(group)), dim, ["__name"], ["__hash"], "inner", sizes)
     return joined.where(F.col("__place") <= F.col("__cut")).select(*columns)
 
