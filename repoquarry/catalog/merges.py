@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import upsert as ops
 from ..operators.upsert import Rules, upsert
-from ..plans.mine import append_newest
+from ..plans.mine import append_newest, run_row
 from ..session import shared_folder
 from ..sources import gitlog
 from ..sources.keyed import KeyedTable
@@ -187,3 +187,10 @@ def insert_newest_commit(spark, folder):
     known = history.where(F.col("epoch") < history.select(F.max("epoch")).scalar())
     table = append_newest(history, gitlog.commit_rows(known))
     return table.withColumn("epoch", F.unix_seconds("commit_ts")).drop("commit_ts")
+
+
+@query("run_log_row", f"""SELECT 'north/star' AS repo_path, (SELECT commit_hash FROM ({COMMIT_SQL}) ORDER BY epoch DESC, commit_hash DESC LIMIT 1) AS head_hash,
+    count(*) AS commit_count FROM orders HAVING count(*) > 0""")
+def run_log(spark, folder):
+    """The row of a run, but for its time."""
+    return run_row(log(spark, folder), "north/star").drop("started_at")

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import modeling
 from ..session import materialize
@@ -21,6 +22,8 @@ class Evaluation:
     confusion: DataFrame
     importances: DataFrame
     report: DataFrame
+    distribution: DataFrame  # label, n: of all rows, before the split
+    skipped: DataFrame | None = None  # one row: n_used, n_skipped of what the rows were made from
 
 
 def fit_and_evaluate(
@@ -38,7 +41,8 @@ def fit_and_evaluate(
     the training and by the evaluation.
     """
     rows = materialize(rows)
-    if modeling.label_distribution(rows).limit(2).count() < 2:
+    distribution = materialize(modeling.label_distribution(rows))
+    if distribution.limit(2).count() < 2:
         return None
     split = materialize(modeling.split_dataset(rows, ids))
     train, test = split.where("not is_test"), split.where("is_test")
@@ -53,4 +57,5 @@ def fit_and_evaluate(
         modeling.confusion_matrix(predictions, classes),
         importances,
         model_report(title, model_type, len(features), train.count(), test.count(), metrics, importances, classes),
+        distribution.orderBy(F.desc("n"), "label"),
     )

@@ -134,6 +134,8 @@ def test_resolution_classifier(spark, study, issues, tmp_path):
     usable = issues.where("s >= 0").count()
     rows = {r["class"]: r for r in result.metrics.collect()}
     assert rows["accuracy"].support == -(-usable // 5) and rows["accuracy"].f1 > 0.7
+    assert tuple(result.skipped.first()) == (usable, 300 - usable) and usable < 300
+    assert sum(r.n for r in result.distribution.collect()) == usable
     assert result.confusion.columns[1:] == [c for c in RESOLUTION_LABELS if c in result.confusion.columns]
     tops = [r.feature for r in result.importances.limit(2).collect()]
     assert {"concurrent_commits", "commits_in_lifespan"} & set(tops)
