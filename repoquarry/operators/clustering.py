@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
+MERGERS = 32
+
 
 def with_vectors(vocabulary: DataFrame, vectors: DataFrame) -> DataFrame:
     """Add the vector of every token, the zero vector where there is none; materialized.
@@ -49,30 +54,62 @@ def cluster_vocabulary(
     return model.transform(featured).drop("__point"), model
 
 
+def weighted_moments(points: DataFrame, vector: str, weight: Column, centre: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Sums of the weights, of the weighted vectors and of their weighted outer products, about ``centre``.
+
+    One mergeable aggregate: a task adds its rows to one matrix of width x width, the matrices of tasks are added
+    in ``MERGERS`` groups, and only these sums come to the driver.
+    """
+    width = len(centre)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((width + 1, width + 1))
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width) - centre
+                x = np.column_stack([np.ones(len(x)), x])
+                sums += (x * batch.column(1).to_numpy(zero_copy_only=False)[:, None]).T @ x
+        if sums[0, 0]:
+            yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId() % MERGERS], pa.int32()), "sums": pa.array([sums.tobytes()], pa.binary())})
+
+    def total(table: pa.Table) -> pa.Table:
+        sums = sum(np.frombuffer(v.as_buffer()) for v in table.column("sums"))
+        return pa.table({"sums": pa.array([sums.tobytes()], pa.binary())})
+
+    rows = points.select(F.col(vector).cast("array<double>").alias("v"), weight.cast("double").alias("w"))
+    parts = rows.mapInArrow(added, "part int, sums binary").groupBy("part").applyInArrow(total, "sums binary").toArrow()
+    sums = sum((np.frombuffer(v.as_buffer()) for v in parts.column("sums")), np.zeros((width + 1) ** 2)).reshape(width + 1, width + 1)
+    return sums[0, 0], sums[0, 1:], sums[1:, 1:]
+
+
 def reduce_dimensions(points: DataFrame, n_components: int = 2, method: str = "pca") -> DataFrame:
     """Principal-component coordinates ``c1, c2, ..`` of the centred vectors.
 
-    A column ``n`` weights them, so the axes are those of the table of all occurrences.
+    A column ``n`` weights them, so the axes are those of the table of all occurrences. The largest entry of an axis is positive.
     Vectors with fewer entries than components have zeros in the rest.
     """
     if method != "pca":
         raise ValueError(f"unknown method {method!r}; only 'pca' is available")
     names = [f"c{i + 1}" for i in range(n_components)]
-    if points.isEmpty():
+    first = points.select(F.col("vector").cast("array<double>")).first()
+    if first is None:
         return points.select("*", *[F.lit(0.0).alias(name) for name in names])
-    weight = F.col("n").cast("double") if "n" in points.columns else F.lit(1.0)
-    vectored = points.withColumn("__vector", F.col("vector").cast("array<double>")).withColumn("__weight", weight)
-    mean = vectored.select(Summarizer.mean(array_to_vector("__vector"), F.col("__weight")).alias("m")).first()["m"].toArray().tolist()
-    centred = vectored.withColumn("__vector", F.zip_with("__vector", F.array(*map(F.lit, mean)), lambda x, m: x - m))
-    # Vectors times the root of their weight, with their mirror images, have mean 0 and the weighted covariance.
-    root = F.sqrt("__weight")
-    mirrored = centred.select(F.explode(F.array(F.transform("__vector", lambda x: x * root), F.transform("__vector", lambda x: -x * root))).alias("v"))
-    k = min(n_components, len(mean))
-    axes = PCA(k=k, inputCol="__point", outputCol="__axes").fit(mirrored.select(array_to_vector("v").alias("__point")))
-    projected = axes.transform(centred.withColumn("__point", array_to_vector("__vector")))
-    placed = projected.withColumn("__axes", vector_to_array("__axes"))
-    coordinates = [F.col("__axes")[i] if i < k else F.lit(0.0) for i in range(n_components)]
-    return placed.select(*points.columns, *[c.alias(name) for c, name in zip(coordinates, names)])
+    weight = F.col("n") if "n" in points.columns else F.lit(1.0)
+    start = np.array(first[0])  # sums about a point of the cloud lose fewer digits
+    total, sums, products = weighted_moments(points, "vector", weight, start)
+    shift = sums / total
+    _, axes = np.linalg.eigh(products / total - np.outer(shift, shift))
+    axes = axes[:, ::-1][:, :n_components]
+    axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(axes.shape[1])])
+    mean = F.array(*map(F.lit, (start + shift).tolist()))
+    centred = F.zip_with(F.col("vector").cast("array<double>"), mean, lambda x, m: x - m)
+
+    def along(axis: np.ndarray) -> Column:
+        products = F.zip_with("__centred", F.array(*map(F.lit, axis.tolist())), lambda x, a: x * a)
+        return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
+
+    coordinates = [along(axes[:, i]) if i < axes.shape[1] else F.lit(0.0) for i in range(n_components)]
+    return points.withColumn("__centred", centred).select(*points.columns, *[c.alias(name) for c, name in zip(coordinates, names)])
 
 
 def representative_tokens(coordinates: DataFrame, axes: tuple[str, ...] = ("c1", "c2")) -> DataFrame:

@@ -233,14 +233,33 @@ def test_grades(spark, edges, empty):
     assert ordinal_quality.grade_documents(empty, model).count() == 0
 
 
-def test_ordinal_gradient():
+def test_ordinal_fit_is_stationary(monkeypatch):
+    """Long steps end where the likelihood, differenced numerically, has no slope in any weight or threshold."""
     draw = np.random.default_rng(0)
-    doc, place, value = np.repeat(np.arange(40), 5), draw.integers(0, 50, 200), draw.random(200)
-    grade = draw.integers(0, 3, 40)
+    doc, place, value = np.repeat(np.arange(60), 5), draw.integers(0, 12, 300), draw.random(300)
+    grade = draw.integers(0, 3, 60)
+    monkeypatch.setattr(ordinal_quality, "STEPS", 6000)
     model = ordinal_quality.fit_weights(doc, place, value, grade, 3)
-    p = model.probabilities(np.bincount(doc, weights=model.weights[place] * value, minlength=40))
-    share = np.bincount(grade, minlength=3) / 40
-    assert np.log(p[np.arange(40), grade]).mean() > (share * np.log(share)).sum() and np.allclose(p.sum(axis=1), 1)
+
+    def objective(weights, thresholds):
+        z = np.bincount(doc, weights=weights[place] * value, minlength=60)
+        p = ordinal_quality.Model(weights, thresholds).probabilities(z)
+        return -np.log(p[np.arange(60), grade]).mean() + ordinal_quality.RIDGE / 2 * (weights**2).sum()
+
+    best = objective(model.weights, model.thresholds)
+    for values in (model.weights[:12], model.thresholds):
+        for at in range(len(values)):
+            values[at] += 1e-5
+            high = objective(model.weights, model.thresholds)
+            values[at] -= 2e-5
+            low = objective(model.weights, model.thresholds)
+            values[at] += 1e-5
+            assert abs(high - low) / 2e-5 < 2e-3
+    monkeypatch.setattr(ordinal_quality, "STEPS", 150)
+    short = ordinal_quality.fit_weights(doc, place, value, grade, 3)
+    assert best <= objective(short.weights, short.thresholds) < objective(np.zeros(ordinal_quality.SIZE), model.thresholds) + 0.05
+    share = np.bincount(grade, minlength=3) / 60
+    assert best < -(share * np.log(share)).sum() and not model.weights[12:].any()
 
 
 # --- 5 ---
@@ -321,13 +340,6 @@ def test_a_family_just_under_the_limit(spark):
     assert all(n == m for n, m in formed) and sum(n for n, _ in formed) < 150 * 149
 
 
-def test_blocks_before_an_entry():
-    lists = parity_join.blocks_before(np.array([0, 0, 0, 1, 1]), np.array([5, 6, 7, 8, 9], np.uint64)).to_pylist()
-    assert lists == [[], [5], [5, 6], [], [8]]
-    long = parity_join.blocks_before(np.zeros(20, np.int64), np.arange(20, dtype=np.uint64)).to_pylist()
-    assert long[19] == list(range(19 - parity_join.BEFORE, 19)) and parity_join.blocks_before(np.zeros(0, np.int64), np.zeros(0, np.uint64)).to_pylist() == []
-
-
 def test_classes_on_edges(edges, empty):
     rows = [(r[0], r[1]) for r in EDGES]
     assert collect(parity_join.classes(edges)) == brute_classes(rows, 5, 80)
