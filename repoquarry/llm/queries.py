@@ -74,7 +74,7 @@ def _repetition_sql(rules: repetition_rules.Rules) -> str:
       FROM documents d LEFT JOIN by_doc USING (doc_id) LEFT JOIN by_line USING (doc_id)),
     based AS (SELECT *, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.repeat_words_pct} * n_words AS base_failed FROM joined)
     SELECT *, NOT base_failed AND dup_line_chars <= {rules.line_chars} * greatest(word_chars, 1)
-      AND n_symbols <= {rules.symbols} * n_words AND {shares} AS kept FROM based"""
+      AND {shares} AS kept, n_symbols > {rules.symbols} * n_words AS many_symbols FROM based"""
 
 
 ORACLES["op2_repetition_rules"] = _repetition_sql(repetition_rules.Rules())
@@ -206,8 +206,8 @@ ORACLES["op9_warc_index"] = f"""
 def op10_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = toxic_segments.fit(docs, _table(spark, folder, "labels"), ~in_fold("doc_id", 5))
-    scored = toxic_segments.score_documents(docs, model, with_segments=False)
-    return scored.select("doc_id", in_fold("doc_id", 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = toxic_segments.score_documents(docs, model)
+    return scored.select("doc_id", in_fold("doc_id", 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "segments")
 
 
 # --- 11: cross-tokenizer alignment --------------------------------------------------------------

@@ -17,13 +17,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .words import SPACE, mix, per_unit, roll, slices, span_hashes, split_words, word_hashes
+from .words import SPACE, mix, per_unit, released, roll, slices, span_hashes, split_words, word_hashes
 
 _U = np.uint64
 
@@ -36,8 +37,8 @@ class Rules:
     repeat_words_pct: int = 50  # words in repeated windows of ``base_window`` words
     base_window: int = 3
     windows: tuple[tuple[int, float], ...] = ((5, 0.15), (8, 0.13), (10, 0.10))
-    line_chars: float = 0.10  # word characters in lines equal to an earlier one
-    symbols: float = 0.10  # symbols for each word
+    line_chars: float = 0.065  # word characters in lines equal to an earlier one; half of what windows count for the two
+    symbols: float = 0.10  # symbols for each word; no repetition, so a flag of its own
 
 
 SYMBOLS = np.zeros(256, bool)
@@ -111,15 +112,20 @@ def measures(column: pa.Array, rules: Rules) -> dict[str, np.ndarray]:
     return out
 
 
-def judge(found: dict[str, np.ndarray], rules: Rules) -> tuple[np.ndarray, np.ndarray]:
-    """(failed the base rules, kept)."""
+class Verdict(NamedTuple):
+    base_failed: np.ndarray
+    kept: np.ndarray  # passes the base rules and those on repetition
+    many_symbols: np.ndarray
+
+
+def judge(found: dict[str, np.ndarray], rules: Rules) -> Verdict:
     words = found["n_words"]
     failed = (words < rules.min_words) | (100 * found["n_repeat_words"] > rules.repeat_words_pct * words)
     chars = np.maximum(found["word_chars"], 1)
-    kept = ~failed & (found["dup_line_chars"] <= rules.line_chars * chars) & (found["n_symbols"] <= rules.symbols * words)
+    kept = ~failed & (found["dup_line_chars"] <= rules.line_chars * chars)
     for k, share in rules.windows:
         kept &= found[f"dup_{k}gram_chars"] <= share * chars
-    return failed, kept
+    return Verdict(failed, kept, found["n_symbols"] > rules.symbols * words)
 
 
 def _columns(rules: Rules) -> list[str]:
@@ -128,32 +134,33 @@ def _columns(rules: Rules) -> list[str]:
 
 
 def measure_repetition(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """Per row: id, the counts, ``base_failed`` and ``kept``."""
+    """Per row: id, the counts, ``base_failed``, ``kept`` and ``many_symbols``."""
     names = _columns(rules)
     schema = T.StructType(
-        [docs.schema[id_col]] + [T.StructField(c, T.LongType()) for c in names] + [T.StructField(c, T.BooleanType()) for c in ("base_failed", "kept")]
+        [docs.schema[id_col]] + [T.StructField(c, T.LongType()) for c in names] + [T.StructField(c, T.BooleanType()) for c in Verdict._fields]
     )
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(1)):
                 found = measures(batch.column(1).slice(first, n), rules)
-                failed, kept = judge(found, rules)
-                arrays = [batch.column(0).slice(first, n), *(pa.array(found[c]) for c in names), pa.array(failed), pa.array(kept)]
+                arrays = [batch.column(0).slice(first, n), *(pa.array(found[c]) for c in names), *map(pa.array, judge(found, rules))]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def keep_unrepetitive(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """The rows that pass all rules, with all their columns."""
+    """The rows that pass all rules, also that on symbols, with all their columns."""
     place = docs.columns.index(text_col)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(place)
             for first, n in slices(texts):
-                _, kept = judge(measures(texts.slice(first, n), rules), rules)
-                yield batch.slice(first, n).filter(pa.array(kept))
+                verdict = judge(measures(texts.slice(first, n), rules), rules)
+                yield batch.slice(first, n).filter(pa.array(verdict.kept & ~verdict.many_symbols))
 
     return docs.mapInArrow(run, docs.schema)

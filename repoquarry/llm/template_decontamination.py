@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .words import Words, mix, roll, slices, span_hashes, split_words, string_hashes
+from .words import Words, mix, released, roll, slices, span_hashes, split_words, string_hashes
 
 _U = np.uint64
 WINDOW = 8
@@ -177,6 +177,7 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """All windows of the items, with ``item_id`` and ``needed``, the number of words in template windows; items with fewer than ``MIN_ITEM`` words have none."""
     id_type = items.schema[id_col].dataType.simpleString()
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(1)):
@@ -208,6 +209,7 @@ def document_windows(docs: DataFrame, known: DataFrame, lengths: set[int]) -> Da
             out &= (bits[place >> 6] >> (place & 63).astype(_U)) & _U(1) == _U(1)
         return out
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(3)):

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .words import SLICE_BYTES, mix, slices, span_hashes, split_words
+from .words import SLICE_BYTES, mix, released, slices, span_hashes, split_words
 
 _U = np.uint64
 FIT_ROWS = 20_000
@@ -164,6 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
     sample = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(F.broadcast(known), "_id")
     sample = materialize(sample.dropDuplicates(["_text", "_label"]).select("_text", "_label", part.alias("_calibrate")))
 
+    @released
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((TABLE + 1, 2), np.int64)  # the last place counts documents
         for batch in batches:
@@ -188,6 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
     model = Model(toxic, clean, float((n_toxic + 0.5) / (n_clean + n_toxic + 1)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @released
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(0)):
@@ -219,6 +221,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("e_value", pa.float64())]))
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(1), SLICE_BYTES):
@@ -235,6 +238,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", limit: flo
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(place)
