@@ -37,10 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import shared_folder
+from .words import slices
 
 MIN_SHARED = 100
 MAX_GAP = 64 << 10  # bytes between two records that one read may skip over
 MAX_READ = 8 << 20
+TASK_BYTES = 4 * MAX_READ  # of archives that one task reads
 MAX_FILE = 1 << 30
 DATE = "2024-01-01T00:00:00Z"  # part of the record, so that it does not depend on the run
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -125,8 +127,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         fs.create_dir(path, recursive=True)
         name, out, at = "", None, 0
         try:
-            for batch in batches:
-                rows = batch.to_pydict()
+            for batch, first, n in ((b, *part) for b in batches for part in slices(b.column(2))):
+                rows = batch.slice(first, n).to_pydict()
                 held = {f.name: [] for f in INDEX}
                 for page_id, url, html, digest, refers_to in zip(*(rows[c] for c in ("page_id", "url", "html", "payload_digest", "refers_to"))):
                     if out is None or at >= MAX_FILE:
@@ -199,7 +201,10 @@ def read_records(index: DataFrame, folder: str, payload: bool = True) -> DataFra
         if source is not None:
             source.close()
 
-    dealt = index.select("file", "offset", "length").repartition("file", F.expr(f"offset div {MAX_READ}"))
+    places = index.select("file", "offset", "length")
+    stored = places.agg(F.sum("length")).first()[0] or 0
+    # The index is narrow, so the number of tasks follows the bytes they will read; a number that is given is not changed.
+    dealt = places.repartition(max(stored // TASK_BYTES, int(index.sparkSession.sparkContext.defaultParallelism)), "file", F.expr(f"offset div {MAX_READ}"))
     return dealt.sortWithinPartitions("file", "offset").mapInArrow(run, schema)
 
 
