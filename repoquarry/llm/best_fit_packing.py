@@ -1,12 +1,11 @@
 """Packing of documents into fixed-length sequences by bounded-space best fit.
 
-Documents become token ids in one pass over the texts. Only the description of the
-pieces (id, start, length) is shuffled, never a text. Each task packs its share
-online: open sequences sit in a bitset by free space, so the best fit for a piece is
+Documents become token ids in one pass over the texts, and their pieces are placed as they come: each task packs
+its share online. Open sequences sit in a bitset by free space, so the best fit for a piece is
 the lowest set bit at or above its length. At most ``open_bins`` are open; when one
-more is needed, the fullest closes. What a task has open at its end is packed once more,
-in tasks of up to ``REPACK_PIECES`` pieces, so that many small tasks do not leave many
-half-empty sequences.
+more is needed, the fullest closes, and its pieces leave the task. Only what a task has open at its end is
+shuffled: it is packed once more in the same bounded way, in tasks of up to ``TASK_PIECES`` pieces,
+so that many small tasks do not leave many half-empty sequences.
 
 Texts are split where a space follows a character that is not white
 space. No token of the byte-level tokenizer crosses such a place, so the ids of the
@@ -21,7 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +30,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .words import slices
+from .words import released, slices
 
 SIZE = 2048
 END_ID = 0
 OPEN_BINS = 256
-TASK_PIECES = 100_000  # pieces that one task packs in the first round
-REPACK_PIECES = 1_000_000  # and in the second
+TASK_PIECES = 100_000  # pieces that one task packs in the second round
 CACHED_PARTS = 800_000
 CACHED_CHARS = 48
 SLICE_BYTES = 4 << 20
+BATCH_TOKENS = 2 << 20
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _CUTS = re.compile(r"(?<=\S)(?= )")
@@ -58,6 +57,7 @@ class _Ids(dict):
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a character of a token stands for a byte
         for token, i in vocabulary.items():
             self.sizes[i] = len(token)
+        self.first: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -78,7 +78,12 @@ class _Ids(dict):
         room = CACHED_PARTS - len(self)
         self._learn(list(new - odd))
         self.update((p, self.encode(" " + p).tobytes()) for p in odd)
-        out = [b"".join([*(self.encode(p).tobytes() for p in alone), *map(self.__getitem__, parts)]) for alone, parts in split]
+        first = sorted({p for alone, _ in split for p in alone if p not in self.first})  # the words that begin texts are often the same
+        for part, found in zip(first, self.tokenizer.encode_batch_fast(first, add_special_tokens=False)):
+            self.first[part] = np.array(found.ids, "<u4").tobytes()
+        out = [b"".join([*map(self.first.__getitem__, alone), *map(self.__getitem__, parts)]) for alone, parts in split]
+        if len(self.first) > CACHED_PARTS // 8 or sum(map(len, first)) > SLICE_BYTES:
+            self.first.clear()
         kept = 0
         for part in new:
             if kept < room and len(part) <= CACHED_CHARS:
@@ -102,16 +107,6 @@ def _parts(text: str | None) -> tuple[list[str], list[str]]:
     return [first] if first else [], rest
 
 
-_LOADED: dict[str, _Ids] = {}
-
-
-def _ids(path: str) -> _Ids:
-    if path not in _LOADED:
-        _LOADED.clear()
-        _LOADED[path] = _Ids(path)
-    return _LOADED[path]
-
-
 def cuts(length: int, size: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; only the first may be shorter than ``size``."""
     first = length % size or size
@@ -120,12 +115,18 @@ def cuts(length: int, size: int) -> list[tuple[int, int]]:
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """Per piece: id, piece, start, length, ``ids_crc32`` and, if asked for, ``ids`` (little-endian unsigned 32 bits)."""
+    schema, run = _cutter(docs.schema[id_col], tokenizer, size, end_id, with_ids)
+    return docs.select(id_col, text_col).mapInArrow(released(run), schema)
+
+
+def _cutter(id_field: T.StructField, tokenizer: str, size: int, end_id: int, with_ids: bool) -> tuple[T.StructType, Callable]:
+    """The schema of pieces, and the function that makes them from batches of (id, text)."""
     end = np.array([end_id], "<u4").tobytes()
-    fields = [docs.schema[id_col], *(T.StructField(c, T.LongType()) for c in ("piece", "start", "length", "ids_crc32"))]
+    fields = [id_field, *(T.StructField(c, T.LongType()) for c in ("piece", "start", "length", "ids_crc32"))]
     schema = T.StructType(fields + [T.StructField("ids", T.BinaryType())] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _ids(tokenizer).of_all
+        ids_of = _Ids(tokenizer).of_all  # with its cache for this task alone
 
         def out() -> pa.RecordBatch:
             arrays = [keys.take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in held[:4])]
@@ -148,7 +149,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             if rows:
                 yield out()
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return schema, run
 
 
 class Packer:
@@ -157,6 +158,7 @@ class Packer:
     def __init__(self, size: int, open_bins: int):
         self.size, self.open_bins = size, open_bins
         self.bits, self.bins, self.n_open, self.made = 0, [[] for _ in range(size + 1)], 0, 0
+        self.closed: list[int] = []  # since the caller last cleared it
 
     def _take(self, free: int) -> int:
         found = self.bins[free].pop()
@@ -173,65 +175,83 @@ class Packer:
             sequence = self._take(free)
         else:
             if length < self.size and self.n_open >= self.open_bins:
-                self._take((self.bits & -self.bits).bit_length() - 1)  # the fullest closes
+                self.closed.append(self._take((self.bits & -self.bits).bit_length() - 1))  # the fullest
             sequence, free = self.made, self.size
             self.made += 1
         if left := free - length:
             self.bins[left].append(sequence)
             self.bits |= 1 << left
             self.n_open += 1
+        else:
+            self.closed.append(sequence)
         return sequence, self.size - free
 
     def still_open(self) -> set[int]:
         return {s for same in self.bins for s in same}
 
 
-def _packed(pieces: DataFrame, size: int, open_bins: int, base: int) -> DataFrame:
-    """``pieces`` with sequence_id, offset and whether the sequence was open at the end of its task."""
-    fields = [*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("open", T.BooleanType())]
+def _packed(rows: DataFrame, schema: T.StructType, pieces_of: Callable, size: int, open_bins: int, base: int) -> DataFrame:
+    """Pieces, made from ``rows``, with sequence_id, offset and whether the sequence was open at the end of its task.
+
+    A task holds the pieces of open sequences alone.
+    """
+    fields = [*schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("open", T.BooleanType())]
+    place = schema.names.index("length")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, done = Packer(size, open_bins), []
+        packer, held, done, tokens, types = Packer(size, open_bins), {}, [], 0, None
         first = base + (TaskContext.get().partitionId() << 32)
-        for batch in batches:
-            places = [packer.place(n) for n in batch.column("length").to_pylist()]
-            done.append((batch, np.array(places, np.int64).reshape(-1, 2)))
-        left = np.array(sorted(packer.still_open()), np.int64)
-        for batch, places in done:  # descriptions of at most a task's share of pieces
-            arrays = [*batch.columns, pa.array(places[:, 0] + first), pa.array(places[:, 1]), pa.array(np.isin(places[:, 0], left))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
 
-    return pieces.mapInArrow(run, T.StructType(fields))
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*done))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[f.name for f in fields])
+
+        for batch in pieces_of(batches):
+            types = [*batch.schema.types, pa.int64(), pa.int64(), pa.bool_()]
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                sequence, offset = packer.place(row[place])
+                held.setdefault(sequence, []).append((*row, first + sequence, offset))
+                for closed in packer.closed:
+                    done.extend((*r, False) for r in held.pop(closed))
+                    tokens += size
+                packer.closed.clear()
+                if tokens >= BATCH_TOKENS:
+                    yield out()
+                    done, tokens = [], 0
+        done.extend((*r, True) for rest in held.values() for r in rest)
+        if done:
+            yield out()
 
+    return rows.mapInArrow(run, T.StructType(fields))
 
-def pack_pieces(pieces: DataFrame, id_col: str = "doc_id", size: int = SIZE, open_bins: int = OPEN_BINS) -> DataFrame:
-    """Pieces (id, piece, length, ..) with ``sequence_id`` and ``offset``; sequences hold ``size`` tokens at most."""
-    pieces = materialize(pieces)  # read once to count and once to pack
-    spread = F.xxhash64(*pieces.columns)
-    order = [F.xxhash64(F.lit(7), *pieces.columns), *map(F.col, pieces.columns)]  # arbitrary, the same in every attempt
-    tasks = pieces.count() // TASK_PIECES + 1
-    dealt = pieces.repartition(tasks, spread).sortWithinPartitions(*order)
-    first = materialize(_packed(dealt, size, open_bins, 0))
+
+def _twice(first: DataFrame, size: int, open_bins: int) -> DataFrame:
+    """The pieces of a first round, those of sequences that were open at the end of a task packed again."""
+    first = materialize(first)
     left = first.filter("open").drop("sequence_id", "offset", "open")
-    tasks = left.count() // REPACK_PIECES + 1
-    dealt = left.repartition(tasks, spread).sortWithinPartitions(F.desc("length"), *order)
-    second = _packed(dealt, size, REPACK_PIECES, 1 << 62)
+    keys = [c for c in left.columns if c != "ids"]
+    tasks = left.count() // TASK_PIECES + 1
+    order = [F.xxhash64(F.lit(7), *keys), *map(F.col, keys)]  # arbitrary, the same in every attempt
+    dealt = left.repartition(tasks, F.xxhash64(*keys)).sortWithinPartitions(*order)
+    second = _packed(dealt, left.schema, iter, size, open_bins, 1 << 62)
     return first.filter("not open").unionByName(second).drop("open")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, open_bins: int = OPEN_BINS) -> DataFrame:
-    """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = token_pieces(docs, tokenizer, id_col, text_col, size, end_id, with_ids=False)
-    return pack_pieces(pieces, id_col, size, open_bins)
+def pack_pieces(pieces: DataFrame, size: int = SIZE, open_bins: int = OPEN_BINS) -> DataFrame:
+    """Pieces (id, piece, length, ..) with ``sequence_id`` and ``offset``; sequences hold ``size`` tokens at most."""
+    return _twice(_packed(pieces, pieces.schema, iter, size, open_bins, 0), size, open_bins)
+
 
+def pack_documents(
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, open_bins: int = OPEN_BINS, with_ids: bool = False,
+) -> DataFrame:
+    """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset and, if asked for, ``ids`` (little-endian unsigned 32 bits)."""
+    schema, pieces_of = _cutter(docs.schema[id_col], tokenizer, size, end_id, with_ids)
+    return _twice(_packed(docs.select(id_col, text_col), schema, pieces_of, size, open_bins, 0), size, open_bins)
 
-def sequences(packed: DataFrame, pieces: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The packed sequences themselves: sequence_id, ids (one binary of at most ``size`` ids).
 
-    ``pieces`` comes from ``token_pieces`` with ids; rows are matched by id, piece and checksum.
-    """
-    ids = pieces.select(id_col, "piece", "ids_crc32", "ids").dropDuplicates([id_col, "piece", "ids_crc32"])
-    keyed = packed.join(ids.withColumnRenamed(id_col, "_id").withColumnRenamed("piece", "_piece").withColumnRenamed("ids_crc32", "_crc"),
-                        F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("piece") == F.col("_piece")) & (F.col("ids_crc32") == F.col("_crc")))
+def sequences(packed: DataFrame) -> DataFrame:
+    """The packed sequences themselves, from pieces with ids: sequence_id, ids (one binary of at most ``size`` ids)."""
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
-    return keyed.groupBy("sequence_id").agg(F.concat_ws("", F.transform(parts, lambda p: F.hex(p["ids"]))).alias("ids")).withColumn("ids", F.unhex("ids"))
+    return packed.groupBy("sequence_id").agg(F.concat_ws("", F.transform(parts, lambda p: F.hex(p["ids"]))).alias("ids")).withColumn("ids", F.unhex("ids"))
