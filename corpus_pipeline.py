@@ -12,7 +12,7 @@ from repoquarry.session import shared_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that the repetition rules reject."""
+    """Without documents that the repetition rules reject, and those of many symbols; null texts are rejected."""
     return repetition_rules.keep_unrepetitive(docs)
 
 
@@ -33,8 +33,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences of 2,048 tokens."""
-    return best_fit_packing.pack_documents(docs, tokenizer_path())
+    """Pieces of the documents, with their token ids, and their places in sequences of 2,048 tokens."""
+    return best_fit_packing.pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [
