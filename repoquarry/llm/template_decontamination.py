@@ -26,8 +26,8 @@ whose other side holds one row for each item window, which adaptive execution sp
 
 Defined cases: null and empty texts hold nothing; items with fewer than ``MIN_ITEM`` words are not
 looked for, and those shorter than the window are looked for whole; equal rows give
-equal pairs once; null ids are carried; an empty table on either side gives no pair; other columns
-pass untouched.
+equal pairs once; null ids are carried; an empty table on either side gives no pair; a very long text is
+scanned whole like any other; other columns pass untouched.
 """
 
 from __future__ import annotations

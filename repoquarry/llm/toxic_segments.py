@@ -21,7 +21,7 @@ broadcast does not grow with the data. Every text is scored whole, in one pass w
 Defined cases: null, empty and wordless texts have no segment and get the score of a document
 without evidence; equal texts get equal scores; labels that are null are not used, several labels
 of one id count as toxic if one is; without labels every score is 0; an empty table gives an empty
-table. Very long texts are one array operation and one linear scan.
+table; null ids are carried; other columns are ignored. Very long texts are one array operation and one linear scan.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ join back to the pages is a plain left join that adaptive execution may split.
 Defined cases: a null url or one without ``://`` has an empty host and path and fits
 no rule; an empty rule table gives every row the default; repeated rows get the same
 verdict; of two rules with the same host and path, ``block`` wins; rules without a host
-are ignored. Other columns, whatever their names, are not touched: the three results
+are ignored; an empty page table gives an empty table; a very long url is a row like any other, as only as many
+characters are expanded as rules have. Other columns, whatever their names, are not touched: the three results
 replace columns of the same name.
 """
 

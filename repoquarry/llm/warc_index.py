@@ -17,7 +17,8 @@ digest, so no group of copies meets in one task.
 
 Defined cases: a null html is an empty payload; a null id is always a response, and
 never referred to; rows that share both the smallest id and the payload are all responses;
-a null url gives a record without a target; an empty table gives an empty index;
+a null url gives a record without a target; an empty table gives an empty index; a very long payload is one
+record, written and read alone;
 columns other than the three named are ignored.
 """
 
