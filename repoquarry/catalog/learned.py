@@ -1,5 +1,7 @@
 """Stems, clusters, projections and classifiers."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import stemming as st
@@ -8,7 +10,8 @@ from ..operators.vocabulary import stemmed_rows, vocabulary_table
 from ..plans.analyze import analyze
 from ..plans.predict import predict_commit_types
 from ..plans.research import predict_resolution_times
-from ..session import materialize
+from ..session import materialize, shared_folder
+from ..sources.stems import StemDictionary
 from ..sources.tables import read_table, read_texts
 from . import query
 from .adaptors import COMMITS_SQL, commits, events, issues, tokens_sql, with_vec_id
@@ -76,8 +79,11 @@ def stemmed_vocabulary(spark, folder):
     return table.select("token", "n", (F.col("first.doc_id") * 100000 + F.col("first.pos")).alias("first_place"))
 
 
-@query("stemmed_tokens", f"""WITH {COMMITS_SQL}, {tokens_sql('word', 'commits', 'doc_id', 'message')}, {stems_sql('word')}
-SELECT doc_id, CAST(pos AS INTEGER) AS pos, stem AS token FROM word JOIN stems USING (token)""")
+STEMMED_SQL = f"""WITH {COMMITS_SQL}, {tokens_sql('word', 'commits', 'doc_id', 'message')}, {stems_sql('word')}
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, stem AS token FROM word JOIN stems USING (token)"""
+
+
+@query("stemmed_tokens", STEMMED_SQL)
 def stemmed_tokens(spark, folder):
     from ..operators.vocabulary import token_rows
 
@@ -85,6 +91,17 @@ def stemmed_tokens(spark, folder):
     return stemmed_rows(found, ["doc_id", "pos"]).select("doc_id", "pos", "token")
 
 
+@query("stemmed_tokens_stored", STEMMED_SQL)
+def stemmed_with_dictionary(spark, folder):
+    """The same rows by a stored dictionary that knows the words of half of the texts already."""
+    from ..operators.vocabulary import token_rows
+
+    stems = StemDictionary(spark, f"{shared_folder(spark)}/stems-{uuid.uuid4()}", buckets=16)
+    found = token_rows(commits(spark, folder), ["doc_id"], "message")
+    stems.grow(found.where(F.col("doc_id") % 2 == 0))
+    return stems.stemmed_rows(found, ["doc_id", "pos"]).select("doc_id", "pos", "token")
+
+
 def token_vectors(spark, folder, tokens):
     """Embeddings as vectors of the tokens whose hash points at them."""
     vectors = read_table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))

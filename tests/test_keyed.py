@@ -74,3 +74,20 @@ def test_a_lost_run_and_a_second_writer_change_nothing(spark, tmp_path):
     with pytest.raises(ValueError, match="other buckets"):
         other = KeyedTable(spark, f"file://{tmp_path}/u", RULES.keys, buckets=5)
         other.merge(rows(spark, [1], "b"), lambda old, new: merged(old, new.unionByName(rows(spark, range(9), "c"))))
+
+
+def test_a_corpus_seen_before_stems_nothing(spark, tmp_path):
+    from repoquarry.functions.stemming import with_stems
+    from repoquarry.operators.vocabulary import stemmed_rows
+    from repoquarry.sources.stems import StemDictionary
+
+    words = ["running", "runs", "flies", "flying", "nation", "nationality", "sky", "a", "ponies", "caress"]
+    first = spark.createDataFrame([(i, w) for i, w in enumerate(words * 3)] + [(99, None)], "pos int, token string")
+    second = first.unionByName(spark.createDataFrame([(100, "relational"), (101, "relational")], "pos int, token string"))
+    stems = StemDictionary(spark, f"file://{tmp_path}/stems", buckets=4)
+    assert stems.grow(first) == len(words) and stems.grow(first) == 0 and stems.grow(second.limit(0)) == 0
+    found = stems.stemmed_rows(second, ["pos"])
+    assert content(found) == content(stemmed_rows(second, ["pos"])) and stems.grow(second) == 0
+    assert content(stems.table.read()) == content(with_stems(second.where("token IS NOT NULL").select("token").distinct()))
+    empty = StemDictionary(spark, f"file://{tmp_path}/none")
+    assert empty.grow(first.limit(0)) == 0 and empty.table.read().count() == 0
