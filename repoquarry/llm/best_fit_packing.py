@@ -18,6 +18,7 @@ empty table gives no sequence; a null id is carried; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -36,7 +37,8 @@ SIZE = 2048
 END_ID = 0
 OPEN_BINS = 256
 TASK_PIECES = 100_000  # pieces that one task packs in the second round
-CACHED_PARTS = 800_000
+CACHED_PARTS = 800_000  # of a task
+KEPT_PARTS = 150_000  # of a worker between tasks, some 30 MB
 CACHED_CHARS = 48
 SLICE_BYTES = 4 << 20
 BATCH_TOKENS = 2 << 20
@@ -59,6 +61,13 @@ class _Ids(dict):
             self.sizes[i] = len(token)
         self.first: dict[str, bytes] = {}
 
+    def shrink(self) -> None:
+        """Keep the parts that came first, the frequent ones among them, for the worker's next task."""
+        kept = dict(itertools.islice(self.items(), KEPT_PARTS))
+        self.clear()
+        self.first.clear()
+        self.update(kept)
+
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
@@ -107,6 +116,16 @@ def _parts(text: str | None) -> tuple[list[str], list[str]]:
     return [first] if first else [], rest
 
 
+_LOADED: dict[str, _Ids] = {}
+
+
+def _ids(path: str) -> _Ids:
+    if path not in _LOADED:
+        _LOADED.clear()
+        _LOADED[path] = _Ids(path)
+    return _LOADED[path]
+
+
 def cuts(length: int, size: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; only the first may be shorter than ``size``."""
     first = length % size or size
@@ -126,7 +145,8 @@ def _cutter(id_field: T.StructField, tokenizer: str, size: int, end_id: int, wit
     schema = T.StructType(fields + [T.StructField("ids", T.BinaryType())] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _Ids(tokenizer).of_all  # with its cache for this task alone
+        held_ids = _ids(tokenizer)
+        ids_of = held_ids.of_all
 
         def out() -> pa.RecordBatch:
             arrays = [keys.take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in held[:4])]
@@ -148,6 +168,7 @@ def _cutter(id_field: T.StructField, tokenizer: str, size: int, end_id: int, wit
                     rows, held, size_held = [], ([], [], [], [], []), 0
             if rows:
                 yield out()
+        held_ids.shrink()
 
     return schema, run
 
