@@ -17,9 +17,10 @@ Blocks that different sets share give candidates. They are not paired with each
 4. when a round has not halved the pairs that are left, or these are no more than the entries of
    blocks, members outside a block's largest component are compared with all members of other components.
 
-Near copies that lie just under the limit share many blocks. An entry therefore carries the ``BEFORE``
-shared blocks before it, in an order that is the same for all sets, and in step 4 a pair is passed over
-where both sides have one of these in common: the first block they share forms it. Before a comparison, sizes and a 256-bit parity sketch (whose Hamming distance never exceeds the
+Near copies that lie just under the limit share many blocks. In step 4 an entry therefore carries the ``BEFORE``
+blocks before it, in an order that is the same for all sets, and a pair is passed over
+where both sides have one of these in common: the first block they share forms it. Until then entries are narrow, and sketches are one
+row a set. Before a comparison, sizes and a 256-bit parity sketch (whose Hamming distance never exceeds the
 number of differing shingles) rule pairs out; what remains is compared exactly on the
 whole texts. Step 4 makes the result whole: no pair that shares a block is left out
 unless both sides are already in one component.
@@ -42,7 +43,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -53,7 +54,7 @@ _U = np.uint64
 FILTER_BITS = 26
 SPARE = 0.25  # further blocks, so that the emptiest need not be entered
 BAND_RATIO = 1.5
-BEFORE = 8  # shared blocks before a block that its entry carries
+BEFORE = 8  # blocks before a block that its entry carries in the last step
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
@@ -144,7 +145,7 @@ def entries(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
         value = mix(value + mix((band[of].astype(_U) << _U(32)) + number + _U(0x9E3779B9)))
         order = np.lexsort((value, -held, of))  # fullest first; the order depends on a block's content alone
         rank = np.arange(total) - base[of]
-        entered = np.sort(order[rank < enter[of]])  # by set and block number
+        entered = order[rank < enter[of]]
         out_doc.append(live[of[entered]])
         out_key.append(value[entered])
     if not out_doc:
@@ -152,16 +153,6 @@ def entries(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out_doc), np.concatenate(out_key)
 
 
-def blocks_before(doc: np.ndarray, key: np.ndarray) -> pa.ListArray:
-    """For each entered block of a set the ``BEFORE`` keys before it; sets enter bands and blocks in the same order."""
-    at = np.arange(len(doc))
-    first = np.maximum.accumulate(np.where(np.append(True, doc[1:] != doc[:-1])[: len(doc)], at, 0))
-    n = np.minimum(at - first, BEFORE)
-    edges = np.concatenate([[0], np.cumsum(n)])
-    which = np.repeat(at - n, n) + np.arange(edges[-1]) - np.repeat(edges[:-1], n)
-    return pa.ListArray.from_arrays(edges.astype(np.int32), _long(key[which]))
-
-
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -225,8 +216,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
         for batch in batches:
             for first, n in slices(batch.column(1)):
                 sets = shingle_sets(batch.column(1).slice(first, n), shingle)
-                sid = pa.array(set_ids(sets).view(np.int64), mask=sets.size == 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(sets.size.astype(np.int64)), sid], names=["id", "n", "sid"])
+                sid, sketch = pa.array(set_ids(sets).view(np.int64), mask=sets.size == 0), sketches(sets)
+                arrays = [batch.column(0).slice(first, n), pa.array(sets.size.astype(np.int64)), sid, *(_long(np.ascontiguousarray(sketch[:, i])) for i in range(4))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "sid", *SKETCH])
 
     @released
     def entered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,26 +228,23 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
                 doc, key = entries(sets, percent)
                 yield pa.RecordBatch.from_arrays([_long(key), _long(set_ids(sets)[doc])], names=["key", "sid"])
 
-    sets = materialize(rows.mapInArrow(measured, "id long, n long, sid long"))
-    nodes = materialize(sets.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("rep")))
+    sets = materialize(rows.mapInArrow(measured, "id long, n long, sid long, " + ", ".join(f"{c} long" for c in SKETCH)))
+    nodes = sets.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("rep"), *(F.max(c).alias(c) for c in ("n", *SKETCH)))
+    nodes = materialize(nodes)
     keys = rows.select("text").mapInArrow(entered, "key long, sid long").groupBy("key").agg(F.min("sid").alias("leader"), F.max("sid").alias("last"))
     shared = materialize(keys.filter("leader < last").select("key", "leader"))
     with_partner = _bitmap(shared, "key")
 
     @released
-    def with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def entered_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in slices(batch.column(0)):
                 sets = shingle_sets(batch.column(0).slice(first, n), shingle)
                 doc, key = entries(sets, percent)
                 found = _in_bitmap(with_partner.value, key)
-                doc, key = doc[found], key[found]
-                sketch = sketches(sets)[doc]
-                arrays = [_long(key), _long(set_ids(sets)[doc]), pa.array(sets.size[doc].astype(np.int64)), *(_long(np.ascontiguousarray(sketch[:, i])) for i in range(4))]
-                yield pa.RecordBatch.from_arrays([*arrays, blocks_before(doc, key)], names=["key", "sid", "n", *SKETCH, "before"])
+                yield pa.RecordBatch.from_arrays([_long(key[found]), _long(set_ids(sets)[doc[found]])], names=["key", "sid"])
 
-    fields = ", ".join(f"{c} long" for c in ("key", "sid", "n", *SKETCH)) + ", before array<long>"
-    members = rows.select("text").mapInArrow(with_sketch, fields).distinct()
+    members = rows.select("text").mapInArrow(entered_again, "key long, sid long").distinct()
     members = materialize(members.join(shared, "key"))
     found = _links(members, rows, nodes, shingle, percent)
     roots = nodes.join(found, nodes.sid == found.node, "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
@@ -306,15 +295,32 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([_long(_row_keys(batch.column(1), batch.column(0).to_numpy().view(_U)))], names=["mark"])
 
 
-def _candidates(some: DataFrame, others: DataFrame, percent: int, condition: Column) -> DataFrame:
-    """Distinct pairs (a < b) of a shared block that ``condition`` asks for and that can reach the similarity."""
-    joined = some.alias("x").join(others.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") != F.col("y.sid")) & _can_link("x", "y", percent) & condition)
+def _with_one(members: DataFrame, one: str, nodes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) of each row's ``sid`` with its ``one`` that can reach the similarity."""
+    pairs = members.filter(F.col("sid") != F.col(one)).select(F.least("sid", one).alias("a"), F.greatest("sid", one).alias("b")).distinct()
+    both = pairs.join(nodes.alias("x"), F.col("a") == F.col("x.sid")).join(nodes.alias("y"), F.col("b") == F.col("y.sid"))
+    return both.filter(_can_link("x", "y", percent)).select("a", "b")
+
+
+def _with_all(unsettled: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) of a block that are in different components and can reach the similarity.
+
+    Near copies share many blocks. The first that two sets share, by key, forms their pair; where both sides have one of the
+    few before a block in common, the pair is not formed again. (Blocks that are settled already lie in one component, so those
+    left out here form no pair.)
+    """
+    earlier = Window.partitionBy("sid").orderBy("key").rowsBetween(-BEFORE, -1)
+    wide = unsettled.withColumn("before", F.collect_list("key").over(earlier)).join(nodes.drop("rep"), "sid")
+    wide = materialize(wide)
+    new = ~F.arrays_overlap("x.before", "y.before") & F.expr("x.root <> y.root AND (y.root = y.top OR x.sid < y.sid)")
+    joined = wide.filter("root <> top").alias("x").join(wide.alias("y"), (F.col("x.key") == F.col("y.key")) & _can_link("x", "y", percent) & new)
     return joined.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
 
 
 def _links(members: DataFrame, rows: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Components (node, root) of all links."""
-    pairs = _candidates(members.filter("sid = leader"), members, percent, F.lit(True))
+    pairs = _with_one(members, "leader", nodes, percent)
+    members = members.drop("leader")
     found, n_members, before, whole = None, members.count(), None, False
     for step in itertools.count(1):
         pairs = compact(pairs)
@@ -323,7 +329,7 @@ def _links(members: DataFrame, rows: DataFrame, nodes: DataFrame, shingle: int,
         found = connected(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if whole:
             return found
-        placed = materialize(members.join(found, members.sid == found.node, "left").withColumn("root", F.coalesce("root", "sid")).drop("node"))
+        placed = materialize(members.join(found, members.sid == found.node, "left").select("key", "sid", F.coalesce("root", "sid").alias("root")))
         sizes = placed.groupBy("key", "root").agg(F.count("*").alias("held"), F.max_by("sid", F.xxhash64("sid", F.lit(step))).alias("one"))
         largest = sizes.groupBy("key").agg(F.max_by(F.struct("root", "one"), F.struct("held", "root")).alias("top"), F.sum("held").alias("all"), F.max("held").alias("most"))
         largest = compact(largest.filter("all > most").select("key", F.col("top.root").alias("top"), F.col("top.one").alias("one"), "all", "most"))
@@ -331,12 +337,7 @@ def _links(members: DataFrame, rows: DataFrame, nodes: DataFrame, shingle: int,
         if not work:
             return found
         unsettled = placed.join(largest.select("key", "top", "one"), "key")
-        outside = unsettled.filter("root <> top")
         # All pairs of a block in different components, once no more than the members are left or a round has not settled half of them.
         whole = work <= n_members or before is not None and 2 * work > before
-        if whole:
-            # The first block that two sets share forms their pair, so it need not be formed again in the blocks after that.
-            pairs = _candidates(outside, unsettled, percent, F.expr("x.root <> y.root AND (y.root = y.top OR x.sid < y.sid)") & ~F.arrays_overlap("x.before", "y.before"))
-        else:
-            pairs = _candidates(unsettled.filter("sid = one"), outside, percent, F.lit(True))
+        pairs = _with_all(unsettled, nodes, percent) if whole else _with_one(unsettled.filter("root <> top"), "one", nodes, percent)
         before = work
