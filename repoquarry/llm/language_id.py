@@ -34,7 +34,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -228,17 +227,20 @@ def fit(
     if not languages:
         return model
     tasks = -(-examples.count() // TASK_WINDOWS)
-    dealt = materialize(examples.repartition(tasks, "h").sortWithinPartitions("h", "k", "lang"))
+    # Only so many partitions hold windows, whatever the session's number, as each gives a model.
+    dealt = examples.withColumn("task", F.pmod(F.xxhash64(F.lit("task"), "h"), F.lit(tasks)))
+    dealt = materialize(dealt.repartitionByRange(tasks, "task").sortWithinPartitions("task", "h", "k", "lang"))
     context = docs.sparkSession.sparkContext
     for step in range(rounds):
         shared, rates = context.broadcast(model), (RATE * (rounds - step) / rounds, RATE * (rounds - step - 1) / rounds)
 
         def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(list(batches))  # about TASK_WINDOWS short windows
-            if not len(table):
+            held = [b for b in batches if b.num_rows]  # about TASK_WINDOWS short windows
+            if not held:
                 return
+            table = pa.Table.from_batches(held)
             label = pc.index_in(table.column("lang"), pa.array(languages)).to_numpy()
-            out = descend(shared.value, table.column("words").combine_chunks(), label, rates, TaskContext.get().partitionId() + 1000 * step)
+            out = descend(shared.value, table.column("words").combine_chunks(), label, rates, table.column("task")[0].as_py() * rounds + step)
             flat = np.concatenate([x.ravel() for x in (out.embeddings, out.weights, out.bias)])
             pieces = [flat[i : i + _CHUNK].tobytes() for i in range(0, len(flat), _CHUNK)]
             yield pa.RecordBatch.from_pydict({"at": pa.array(range(len(pieces)), pa.int32()), "n": pa.array([len(table)] * len(pieces), pa.int64()), "values": pa.array(pieces, pa.binary())})

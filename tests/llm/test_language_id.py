@@ -94,6 +94,13 @@ def test_held_out_accuracy_and_rejection(spark):
     assert not any(r["accepted"] for r in language_id.identify(strange, model).collect())
 
 
+def test_more_tasks_than_texts(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "TASK_WINDOWS", 1)
+    monkeypatch.setattr(language_id, "STEPS", 1)
+    rows = [(i, "the house of the king" if i % 2 else "la casa del rey", "en" if i % 2 else "es") for i in range(4)]
+    assert language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True)).languages == ("en", "es")
+
+
 def test_rows_that_break_things(spark):
     clashes = ["lang_pred", "score", "accepted", "h", "k", "words", "_text", "_lang", "_h", "_times", "at", "n"]
     long = "los caminos de la noche " * 60_000
