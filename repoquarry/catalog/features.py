@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from ..functions.text import FEATURE_LABELS
 from ..operators import modeling
 from ..operators.clustering import representative_tokens
-from ..operators.features import commit_features, commit_tokens, issue_features
+from ..operators.features import commit_features, commit_tokens, issue_features, token_weights
 from ..operators.vocabulary import vocabulary_table
-from ..session import materialize
+from ..session import materialize, stored
 from ..plans.reports import model_report
 from ..sources.tables import read_table, read_texts
 from . import query
@@ -45,10 +45,10 @@ def commit_feature_rows(spark, folder):
     ids = materialize(speech_tokens(spark, folder).select("token").distinct())
     notes = materialize(page_tokens(spark, folder).select("token").distinct())
     messages = commits(spark, folder)
-    tokens = materialize(commit_tokens(messages, "doc_id", "message"))
-    terms = tokens.where("token IS NOT NULL").select("token").distinct()
-    clusters = token_label(terms, spark, folder).where(F.col("label") < 5).withColumnRenamed("label", "cluster")
-    table = commit_features(messages, "doc_id", "message", clusters, 5, ids, notes, stem=False, tokens=tokens)
+    tokens = stored(commit_tokens(messages, "doc_id", "message"))
+    weights = token_weights(tokens)
+    clusters = token_label(weights.select("token"), spark, folder).where(F.col("label") < 5).withColumnRenamed("label", "cluster")
+    table = commit_features(messages, "doc_id", "message", clusters, 5, ids, notes, stem=False, tokens=tokens, weights=weights)
     return table.withColumns({name: F.round(name, 6) for name in table.columns if name not in ("doc_id", "label")})
 
 

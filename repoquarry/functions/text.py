@@ -167,15 +167,16 @@ def word_counts(found: Column, min_length: int = 3, stop_words: Sequence[str] =
 
     def runs(ordered: Column) -> Column:
         size = F.size(ordered)
-        ends = F.filter(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: (i <= size) & ((i == size) | (F.get(ordered, i - 1) != F.get(ordered, i))))
+        ends = F.filter(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: (i <= size) & ((i == size) | ~F.get(ordered, i - 1).eqNullSafe(F.get(ordered, i))))
 
-        def counted(stops: Column) -> Column:
-            starts = F.concat(F.array(F.lit(0)), stops)
+        def counted(stops: Column, starts: Column) -> Column:
             return F.transform(stops, lambda stop, i: F.struct(F.get(ordered, stop - 1).alias("token"), (stop - F.get(starts, i)).cast("long").alias("n")))
 
-        return bound(ends, counted)
+        # the starts are bound too: inside the loop they would be made again for every run
+        return bound(ends, lambda stops: bound(F.concat(F.array(F.lit(0)), stops), lambda starts: counted(stops, starts)))
 
-    return bound(F.array_sort(F.filter(found, lambda word: keeps_word(word, min_length, stop_words))), runs)
+    # sort_array compares strings itself, array_sort by an expression
+    return F.filter(bound(F.sort_array(found), runs), lambda pair: keeps_word(pair["token"], min_length, stop_words))
 
 
 def is_feature_request(labels: Column) -> Column:
@@ -199,10 +200,13 @@ def keeps_word(word: Column, min_length: int = 3, stop_words: Sequence[str] = ST
     """Whether a word belongs to a vocabulary: no number, long enough, no stop word.
 
     The null test stands first and is written out. Otherwise the optimizer infers it
-    in some uses of the same rows only, and their equal shuffles are not shared.
+    in some uses of the same rows only, and their equal shuffles are not shared. The
+    pattern stands last, and a word that begins with a to z is no number without it.
     """
-    keep = word.isNotNull() & ~word.rlike(rf"^{DIGIT}+\z") & (F.length(word) >= min_length)
-    return keep & ~word.isin(*stop_words) if stop_words else keep
+    keep = word.isNotNull() & (F.length(word) >= min_length)
+    if stop_words:
+        keep = keep & ~word.isin(*stop_words)
+    return keep & ((word >= "a") & (word < "{") | ~word.rlike(rf"^{DIGIT}+\z"))
 
 
 def vocabulary(text: Column, min_length: int = 3, stop_words: Sequence[str] = STOP_WORDS) -> Column:

@@ -83,6 +83,18 @@ def test_commit_features(spark):
     assert tuple(rows[3])[1:] == tuple(rows[4])[1:] == ("other", *[0.0] * 7)
 
 
+def test_commit_features_of_repeated_keys(spark):
+    """Tokens of one term and rows of one key are merged, and no aggregate has to sort."""
+    commits = spark.createDataFrame([(1, "fixing fixes docs"), (1, "add fixes"), (None, "runs running"), (None, None), (2, "the of")], "id int, message string")
+    clusters = spark.createDataFrame([("fix", 0), ("run", 1)], "token string, cluster int")
+    table = commit_features(commits, "id", "message", clusters, 2, clusters.select("token"), None)
+    assert "SortAggregate" not in table._jdf.queryExecution().executedPlan().toString()
+    rows = {r.id: r for r in table.collect()}
+    assert len(rows) == 3 and rows[1].label == "feature" and rows[2].label == "other" and rows[2].log_token_count == 0
+    assert rows[None].cluster_1_frac == 1 and rows[None].type_token_ratio == 1 / 2 and rows[None].id_overlap == 1 / 2
+    assert rows[1].cluster_0_frac == pytest.approx(3 / 5) and rows[1].type_token_ratio == pytest.approx(4 / 5)
+
+
 def test_analysis(spark, study):
     result = analyze(*study, k=3, top_n=2)
     assert {(r.source_a, r.source_b) for r in result.alignment.collect()} == {
