@@ -8,9 +8,10 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stemming import with_stems
+from ..functions.stemming import porter_stem, with_stems
 from ..functions.text import STOP_WORDS, keeps_word, words
-from .joins import key_weights, lookup_join
+from ..session import BROADCAST_ROWS, materialize
+from .joins import frequent_bar, key_weights
 
 
 def token_rows(
@@ -27,11 +28,16 @@ def token_rows(
 
 
 def stemmed_rows(tokens: DataFrame, spread_by: Sequence[str]) -> DataFrame:
-    """Token rows with each token replaced by its stem, stemming distinct tokens only."""
-    weights = key_weights(tokens, ["token"])
-    stems = with_stems(weights.select("token"))
-    joined = lookup_join(tokens, stems, ["token"], spread_by, "inner", weights)
-    return joined.drop("token").withColumnRenamed("stem", "token")
+    """Token rows with each token replaced by its stem; ``spread_by`` is not needed any more.
+
+    The stems of the most frequent tokens are broadcast, at most ``BROADCAST_ROWS`` of them. A token
+    that is not among them is stemmed where it stands, so no row is shuffled.
+    """
+    weights = materialize(key_weights(tokens, ["token"]))
+    frequent = with_stems(weights.where(F.col("weight") >= frequent_bar(weights, BROADCAST_ROWS)).select("token"))
+    joined = tokens.where(F.col("token").isNotNull()).join(F.broadcast(frequent), "token", "left")
+    columns = [F.coalesce("stem", porter_stem(F.col("token"))).alias("token") if c == "token" else c for c in tokens.columns]
+    return joined.select(*columns)
 
 
 def vocabulary_table(tokens: DataFrame, order: Sequence[str], stem: bool = True) -> DataFrame:
@@ -50,6 +56,16 @@ def vocabulary_table(tokens: DataFrame, order: Sequence[str], stem: bool = True)
     return counted.select("token", "n", unpacked(F.col("first")).alias("first"))
 
 
+def distinct_stems(tokens: DataFrame) -> DataFrame:
+    """The stems of the tokens, each once, in the column ``token``.
+
+    The distinct tokens are materialized: otherwise the optimizer drops their aggregation, since that of
+    the stems follows, and every occurrence is stemmed.
+    """
+    found = materialize(tokens.select("token").distinct())
+    return with_stems(found).select(F.col("stem").alias("token")).distinct()
+
+
 _NULL = -(2**63)  # a null number, which comes first
 
 
