@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stemming import with_stems
-from ..operators.joins import key_weights, lookup_join
+from ..operators.joins import frequent_join, key_weights
 from ..session import materialize
 from .keyed import BUCKETS, KeyedTable
 
@@ -34,7 +34,12 @@ class StemDictionary:
         return n
 
     def stemmed_rows(self, tokens: DataFrame, spread_by: Sequence[str]) -> DataFrame:
-        """Token rows with each token replaced by its stored stem, after the dictionary has grown by their words."""
-        self.grow(tokens)
-        joined = lookup_join(tokens, self.table.read(), ["token"], spread_by, "inner", key_weights(tokens, ["token"]))
-        return joined.drop("token").withColumnRenamed("stem", "token")
+        """Token rows with each token replaced by its stored stem, after the dictionary has grown by their words.
+
+        The words are counted once; the most frequent of them are broadcast with their stems, and only rows of
+        others are shuffled, so ``spread_by`` is not needed any more.
+        """
+        weights = materialize(key_weights(tokens, ["token"]))
+        self.grow(weights)
+        stems = materialize(weights.join(self.table.read(), "token"))
+        return frequent_join(tokens, stems, "token", "inner").drop("token").withColumnRenamed("stem", "token")

@@ -89,5 +89,7 @@ def test_a_corpus_seen_before_stems_nothing(spark, tmp_path):
     found = stems.stemmed_rows(second, ["pos"])
     assert content(found) == content(stemmed_rows(second, ["pos"])) and stems.grow(second) == 0
     assert content(stems.table.read()) == content(with_stems(second.where("token IS NOT NULL").select("token").distinct()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "__salt" not in plan  # rows of frequent words meet their stems in a broadcast
     empty = StemDictionary(spark, f"file://{tmp_path}/none")
     assert empty.grow(first.limit(0)) == 0 and empty.table.read().count() == 0
