@@ -20,9 +20,9 @@ Blocks that different sets share give candidates. They are not paired with each
 Near copies that lie just under the limit share many blocks. In step 4 an entry therefore carries the ``BEFORE``
 blocks before it, in an order that is the same for all sets, and a pair is passed over
 where both sides have one of these in common: the first block they share forms it. Until then entries are narrow, and sketches are one
-row a set. Before a comparison, sizes and a 256-bit parity sketch (whose Hamming distance never exceeds the
+row a set. Before a comparison, sizes and a parity sketch of 1,024 bits (whose Hamming distance never exceeds the
 number of differing shingles) rule pairs out; what remains is compared exactly on the
-whole texts. Step 4 makes the result whole: no pair that shares a block is left out
+whole texts. In steps 1 to 3, where sketches travel with pairs, they are folded to 256 bits, which are full from about 500 shingles on. Step 4 makes the result whole: no pair that shares a block is left out
 unless both sides are already in one component.
 
 Equal sets are one node throughout. The keys of shared blocks pass through the driver
@@ -38,7 +38,7 @@ table; other columns are ignored.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -55,7 +55,8 @@ FILTER_BITS = 26
 SPARE = 0.25  # further blocks, so that the emptiest need not be entered
 BAND_RATIO = 1.5
 BEFORE = 8  # blocks before a block that its entry carries in the last step
-SKETCH = ("s0", "s1", "s2", "s3")
+SKETCH = tuple(f"s{i}" for i in range(16))
+FOLDED = 4  # words of a folded sketch
 
 
 class Sets(NamedTuple):
@@ -93,10 +94,11 @@ def set_ids(sets: Sets) -> np.ndarray:
 
 
 def sketches(sets: Sets) -> np.ndarray:
-    """Four 64-bit words a set: the parity of the shingles that fall on each of 256 bits."""
-    out = np.zeros((len(sets.size), 4), _U)
+    """64-bit words of a set: the parity of the shingles that fall on each of their bits."""
+    n = len(SKETCH)
+    out = np.zeros((len(sets.size), n), _U)
     bit = mix(sets.key ^ _U(0x2545F4914F6CDD1D))
-    np.bitwise_xor.at(out.reshape(-1), sets.doc * 4 + (bit & _U(3)).astype(np.int64), _U(1) << (bit >> _U(58)))
+    np.bitwise_xor.at(out.reshape(-1), sets.doc * n + (bit & _U(n - 1)).astype(np.int64), _U(1) << (bit >> _U(58)))
     return out
 
 
@@ -177,10 +179,21 @@ def _row_keys(ids: pa.Array, sid: np.ndarray) -> np.ndarray:
     return mix(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(_U) ^ sid)
 
 
-def _can_link(a: str, b: str, percent: int) -> Column:
+def _folded(nodes: DataFrame) -> DataFrame:
+    """(sid, n) and the sketch folded to ``FOLDED`` words: the parity of several bits is one bit."""
+    def word(i: int) -> Column:
+        out = F.col(SKETCH[i])
+        for name in SKETCH[i + FOLDED :: FOLDED]:
+            out = out.bitwiseXOR(F.col(name))
+        return out
+
+    return nodes.select("sid", "n", *(word(i).alias(SKETCH[i]) for i in range(FOLDED)))
+
+
+def _can_link(a: str, b: str, percent: int, words: Sequence[str] = SKETCH) -> Column:
     """Whether sizes and sketches allow the similarity."""
     least, most = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    differ = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in words), F.lit(0))
     # |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|)
     return (most * percent <= least * 100) & (differ * (100 + percent) <= (least + most) * (100 - percent))
 
@@ -217,7 +230,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
             for first, n in slices(batch.column(1)):
                 sets = shingle_sets(batch.column(1).slice(first, n), shingle)
                 sid, sketch = pa.array(set_ids(sets).view(np.int64), mask=sets.size == 0), sketches(sets)
-                arrays = [batch.column(0).slice(first, n), pa.array(sets.size.astype(np.int64)), sid, *(_long(np.ascontiguousarray(sketch[:, i])) for i in range(4))]
+                arrays = [batch.column(0).slice(first, n), pa.array(sets.size.astype(np.int64)), sid, *(_long(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH)))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "sid", *SKETCH])
 
     @released
@@ -298,8 +311,9 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _with_one(members: DataFrame, one: str, nodes: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a < b) of each row's ``sid`` with its ``one`` that can reach the similarity."""
     pairs = members.filter(F.col("sid") != F.col(one)).select(F.least("sid", one).alias("a"), F.greatest("sid", one).alias("b")).distinct()
-    both = pairs.join(nodes.alias("x"), F.col("a") == F.col("x.sid")).join(nodes.alias("y"), F.col("b") == F.col("y.sid"))
-    return both.filter(_can_link("x", "y", percent)).select("a", "b")
+    folded = _folded(nodes)
+    both = pairs.join(folded.alias("x"), F.col("a") == F.col("x.sid")).join(folded.alias("y"), F.col("b") == F.col("y.sid"))
+    return both.filter(_can_link("x", "y", percent, SKETCH[:FOLDED])).select("a", "b")
 
 
 def _with_all(unsettled: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:

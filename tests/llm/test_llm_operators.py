@@ -358,6 +358,25 @@ def test_sketch_distance_is_a_lower_bound():
         assert sum(int(x).bit_count() for x in words[i] ^ words[j]) <= len(keys[i] ^ keys[j])
 
 
+def test_the_sketch_tells_texts_just_under_the_limit_apart():
+    """Of 700 shingles with a similarity of about 0.72, linked at 0.8; 256 bits would be full."""
+    base = [f"b{i}" for i in range(704)]
+    texts = []
+    for c in range(12):
+        text = list(base)
+        for at in range(c % 6 * 10 + 5 * (c // 6), 660, 60):
+            text[at] = f"n{c}_{at}"
+        texts.append(" ".join(text))
+    sets = parity_join.shingle_sets(pa.array(texts), 5)
+    words = parity_join.sketches(sets)
+    keys = [set(sets.key[sets.doc == i].tolist()) for i in range(12)]
+    for i, j in combinations(range(12), 2):
+        shared = len(keys[i] & keys[j])
+        if 74 * len(keys[i] | keys[j]) > 100 * shared:
+            differ = sum(int(x).bit_count() for x in words[i] ^ words[j])
+            assert differ * 180 > 20 * (len(keys[i]) + len(keys[j]))
+
+
 def test_components(spark):
     draw = random.Random(6)
     links = [(draw.randrange(300), draw.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)]
