@@ -32,37 +32,19 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, shared_folder
-from .best_fit_packing import _parts
-from .words import slices
+from .part_ids import ByteLevel, Ids, PartIds, _byte_characters
+from .words import released, slices
 
 HOT_PAIRS = 1 << 20
 SLICE_BYTES = 1 << 20
-CACHED_PARTS, CACHED_CHARS = 300_000, 48  # of a task
 GROUPS = "array<struct<start:long,end:long,a:array<int>,b:array<int>>>"
 
 
-class ByteLevel:
-    """A byte-level tokenizer that reads a space and the text."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        byte_of, vocabulary = _byte_characters(), self.tokenizer.get_vocab()
-        self.entries = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.entries[i] = bytes(map(byte_of.__getitem__, token)) if all(c in byte_of for c in token) else token.encode()
-        self.splits = True
-
-    def encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
-
-
 class Pieces:
     """A sentencepiece tokenizer that adds a space before the text."""
 
@@ -72,72 +54,36 @@ class Pieces:
         self.model = SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.entries = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) and re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.splits = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.crosses_spaces = any("▁" in p.lstrip("▁") for p in pieces)
+        self.holds_lines = any("\n" in p for p in pieces)
+        self.space = self.model.piece_to_id("▁")
 
     def encode(self, text: str) -> list[int]:
-        return self.model.encode(text, num_threads=1) if text else [self.model.piece_to_id("▁")]  # it adds no space to nothing
-
+        """Ids of a text that begins with a space, or with a line feed that follows other text."""
+        if text == " ":
+            return [self.space]  # the model adds no space to nothing
+        if text[0] == " ":
+            return self.model.encode(text[1:], num_threads=1)
+        ids = self.model.encode(text, num_threads=1)
+        return ids[1:] if ids[:1] == [self.space] else []  # without the space that the model adds
 
-class PartIds:
-    """Ids of the parts of texts for both sides, as little-endian 32-bit numbers; none if a side does not spell the part.
 
-    A part begins at a space that follows a character that is not white space, where no token of either side goes on.
-    """
+class BothIds(PartIds):
+    """Ids of a space and the text for both sides; none for texts that a side does not spell."""
 
     def __init__(self, sides: tuple):
-        self.sides = sides
-        self.sizes = tuple(np.array([len(x) for x in side.entries], np.int64) for side in sides)
-        self.held: tuple[dict, dict] = ({}, {})
-        self.splits = all(side.splits for side in sides)
-
-    def _spelled(self, text: str) -> list[np.ndarray] | None:
-        """Ids of both sides for a space and the text, if they spell it."""
-        ids, spelled = [np.array(side.encode(text), np.int32) for side in self.sides], b" " + text.encode()
-        return ids if all(b"".join(map(side.entries.__getitem__, x.tolist())) == spelled for side, x in zip(self.sides, ids)) else None
-
-    def _learn(self, parts: list[str]) -> None:
-        """New parts, encoded as one text; one by one if that is not spelled."""
-        together = [p for p in parts if p and not p[-1].isspace()]  # the space after others would be taken with theirs
-        ids = self._spelled(" ".join(together)) if together else None
-        if ids is not None:
-            spans = np.cumsum([len(p.encode()) + 1 for p in together])
-            for held, x, sizes in zip(self.held, ids, self.sizes):
-                data, at = x.tobytes(), 0
-                for part, end in zip(together, (4 * np.searchsorted(np.cumsum(sizes[x]), spans) + 4).tolist()):
-                    held[part], at = data[at:end], end
-        for part in parts:
-            if part not in self.held[0]:
-                ids = self._spelled(part)
-                for k, held in enumerate(self.held):
-                    held[part] = ids[k].tobytes() if ids else None
+        super().__init__(sides, spaces=not sides[1].crosses_spaces, lines=not sides[1].holds_lines, checked=True)
 
-    def of_all(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        """Ids of both sides for each text; nothing for those that are not spelled."""
-        split = []
-        for text in texts:
-            alone, parts = _parts(" " + text) if text and self.splits else ([], [])
-            split.append([p[1:] for p in alone] + parts if self.splits else [text] * bool(text))
-        new = set().union(*split).difference(self.held[0])
-        room = CACHED_PARTS - len(self.held[0])
-        self._learn(sorted(new))
-        one, two = self.held
-        out = []
-        for parts in split:
-            a = list(map(one.__getitem__, parts))
-            out.append((b"", b"") if None in a else (b"".join(a), b"".join(map(two.__getitem__, parts))))
-        for part in new:
-            if room > 0 and len(part) <= CACHED_CHARS:
-                room -= 1
-            else:
-                del one[part], two[part]
-        return out
+    def of_texts(self, column: pa.Array) -> list[Ids]:
+        """Null and empty texts have no ids."""
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        space, nothing = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+        return self.of_column(pc.if_else(pc.equal(column, nothing), nothing, pc.binary_join_element_wise(space, column, nothing)))
 
-
-def _byte_characters() -> dict[str, int]:
-    """Bytes by the characters that stand for them: printable ones for themselves, others from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+    def of_all(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """Ids of both sides for each text, as little-endian 32-bit numbers."""
+        found = self.of_texts(pa.array(texts, pa.string()))
+        return [tuple(x.ids[x.bounds[i] : x.bounds[i + 1]].astype("<i4").tobytes() for x in found) for i in range(len(texts))]
 
 
 class Tokens(NamedTuple):
@@ -160,9 +106,9 @@ class Aligned(NamedTuple):
     link_b: np.ndarray
 
 
-def _tokens(ids: list[bytes], sizes: np.ndarray) -> Tokens:
-    flat = np.frombuffer(b"".join(ids), np.int32).astype(np.int64)
-    doc = np.repeat(np.arange(len(ids)), [len(x) // 4 for x in ids])
+def _tokens(ids: Ids, sizes: np.ndarray) -> Tokens:
+    flat = ids.ids.astype(np.int64)
+    doc = np.repeat(np.arange(len(ids.bounds) - 1), np.diff(ids.bounds))
     end = np.cumsum(sizes[flat])
     return Tokens(flat, doc, end - sizes[flat], end)
 
@@ -176,13 +122,12 @@ def covering(one: Tokens, two: Tokens) -> np.ndarray:
 
 class Aligner:
     def __init__(self, byte_level: str, pieces: str):
-        self.parts = PartIds((ByteLevel(byte_level), Pieces(pieces)))
+        self.parts = BothIds((ByteLevel(byte_level), Pieces(pieces)))
         self.n_a, self.n_b = (len(sizes) for sizes in self.parts.sizes)
         self.strings = [f"{i}{c}" for size, marks in ((self.n_a, ",|"), (self.n_b, ",;")) for c in marks for i in range(size)]
 
-    def align(self, texts: list[str | None]) -> Aligned:
-        ids = self.parts.of_all(texts)
-        a, b = (_tokens([x[k] for x in ids], self.parts.sizes[k]) for k in (0, 1))
+    def align(self, texts: pa.Array) -> Aligned:
+        a, b = map(_tokens, self.parts.of_texts(texts), self.parts.sizes)
         base = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(np.bincount(a.doc, weights=a.end - a.start, minlength=len(texts)).astype(np.int64), out=base[1:])
         cover_b, cover_a = covering(a, b), covering(b, a)
@@ -217,16 +162,28 @@ class Aligner:
         return out
 
 
+_LOADED: dict[tuple[str, str], Aligner] = {}
+
+
+def _aligner(byte_level: str, pieces: str) -> Aligner:
+    """The worker's aligner, with the parts that it knows from tasks before."""
+    if (byte_level, pieces) not in _LOADED:
+        _LOADED.clear()
+        _LOADED[byte_level, pieces] = Aligner(byte_level, pieces)
+    return _LOADED[byte_level, pieces]
+
+
 def token_groups(docs: DataFrame, byte_level: str, pieces: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id and ``groups`` (bytes of the space and the text, ids of both sides)."""
     id_type = docs.schema[id_col].dataType.simpleString()
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(byte_level, pieces)
+        aligner = _aligner(byte_level, pieces)
         for batch in batches:
             for first, n in slices(batch.column(1), SLICE_BYTES):
-                found = aligner.groups(aligner.align(batch.column(1).slice(first, n).to_pylist()))
+                found = aligner.groups(aligner.align(batch.column(1).slice(first, n)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(found, kind)], names=[id_col, "groups"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, groups {GROUPS}")
@@ -238,11 +195,12 @@ def _document_pairs(docs: DataFrame, byte_level: str, pieces: str, id_col: str,
     names = [id_col, "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
     pair_type = pa.int64() if wide else pa.int32()
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(byte_level, pieces)
+        aligner = _aligner(byte_level, pieces)
         for batch in batches:
             for first, n in slices(batch.column(1), SLICE_BYTES):
-                x = aligner.align(batch.column(1).slice(first, n).to_pylist())
+                x = aligner.align(batch.column(1).slice(first, n))
                 link_doc = x.a.doc[x.link_a]
                 of_group = np.searchsorted(x.base, x.ends, side="left") - 1
                 key = x.a.id[x.link_a] * aligner.n_b + x.b.id[x.link_b]
