@@ -7,9 +7,9 @@ more is needed, the fullest closes, and its pieces leave the task. Only what a t
 shuffled: it is packed once more in the same bounded way, in tasks of up to ``TASK_PIECES`` pieces,
 so that many small tasks do not leave many half-empty sequences.
 
-Texts are split where a space follows a character that is not white
+Texts are split where a space or a line feed follows a character that is not white
 space. No token of the byte-level tokenizer crosses such a place, so the ids of the
-parts, kept in a bounded cache, are those of the whole text.
+parts, kept in a bounded table (``part_ids``), are those of the whole text.
 
 Defined cases: null and empty texts have the end id alone; a longer document is cut into
 full pieces, of which the first may be shorter; equal rows are packed each for itself; an
@@ -19,7 +19,6 @@ empty table gives no sequence; a null id is carried; other columns are ignored.
 from __future__ import annotations
 
 import itertools
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -31,89 +30,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
+from .part_ids import ByteLevel, PartIds
 from .words import released, slices
 
 SIZE = 2048
 END_ID = 0
 OPEN_BINS = 256
 TASK_PIECES = 100_000  # pieces that one task packs in the second round
-CACHED_PARTS = 800_000  # of a task
-KEPT_PARTS = 150_000  # of a worker between tasks, some 30 MB
-CACHED_CHARS = 48
 SLICE_BYTES = 4 << 20
 BATCH_TOKENS = 2 << 20
 
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-_CUTS = re.compile(r"(?<=\S)(?= )")
 
-
-class _Ids(dict):
-    """Ids of text parts, as little-endian unsigned 32-bit bytes. Most parts are kept without the space before them."""
+class _Ids:
+    """Ids of texts, as unsigned 32-bit numbers."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        vocabulary = self.tokenizer.get_vocab()
-        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a character of a token stands for a byte
-        for token, i in vocabulary.items():
-            self.sizes[i] = len(token)
-        self.first: dict[str, bytes] = {}
-
-    def shrink(self) -> None:
-        """Keep the parts that came first, the frequent ones among them, for the worker's next task."""
-        kept = dict(itertools.islice(self.items(), KEPT_PARTS))
-        self.clear()
-        self.first.clear()
-        self.update(kept)
-
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _learn(self, parts: list[str]) -> None:
-        """Add new parts, encoded as one text of which each begins with a space and follows a character that is none."""
-        if parts:
-            ids = self.encode(" " + " ".join(parts))
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode()) + 1 for p in parts])) + 1
-            data, at = ids.tobytes(), 0
-            for part, end in zip(parts, (4 * ends).tolist()):
-                self[part], at = data[at:end], end
+        side = ByteLevel(path)
+        self.tokenizer, self.parts = side.tokenizer, PartIds([side])
+
+    def of_column(self, column: pa.Array, end_id: int | None = None) -> Iterator[memoryview]:
+        """Little-endian bytes of the ids of each text, followed by the end id if there is one."""
+        ((ids, bounds),) = self.parts.of_column(column)
+        if end_id is not None:
+            ids, bounds = np.insert(ids.astype("<u4"), bounds[1:], end_id), bounds + np.arange(len(bounds))
+        data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+        for lo, hi in itertools.pairwise((4 * bounds).tolist()):
+            yield data[lo:hi]
 
     def of_all(self, texts: list[str | None]) -> list[bytes]:
-        split = [_parts(t) for t in texts]
-        new = set().union(*(parts for _, parts in split)).difference(self)
-        odd = {p for p in new if not p or p[-1].isspace()}  # a part that ends in white space is followed by nothing
-        room = CACHED_PARTS - len(self)
-        self._learn(list(new - odd))
-        self.update((p, self.encode(" " + p).tobytes()) for p in odd)
-        first = sorted({p for alone, _ in split for p in alone if p not in self.first})  # the words that begin texts are often the same
-        for part, found in zip(first, self.tokenizer.encode_batch_fast(first, add_special_tokens=False)):
-            self.first[part] = np.array(found.ids, "<u4").tobytes()
-        out = [b"".join([*map(self.first.__getitem__, alone), *map(self.__getitem__, parts)]) for alone, parts in split]
-        if len(self.first) > CACHED_PARTS // 8 or sum(map(len, first)) > SLICE_BYTES:
-            self.first.clear()
-        kept = 0
-        for part in new:
-            if kept < room and len(part) <= CACHED_CHARS:
-                kept += 1
-            else:
-                del self[part]
-        return out
-
-
-def _parts(text: str | None) -> tuple[list[str], list[str]]:
-    """(parts as they are, parts that follow with a space before each).
-
-    A space after a character that is not white space begins a part; other spaces do not.
-    """
-    if not text:
-        return [], []
-    if "  " in text or "\n " in text or _OTHER_SPACE.search(text):
-        first, *rest = _CUTS.split(text)
-        return [first], [part[1:] for part in rest]
-    first, *rest = text.split(" ")
-    return [first] if first else [], rest
+        return [bytes(x) for x in self.of_column(pa.array(texts, pa.string()))]
 
 
 _LOADED: dict[str, _Ids] = {}
@@ -140,13 +85,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
 def _cutter(id_field: T.StructField, tokenizer: str, size: int, end_id: int, with_ids: bool) -> tuple[T.StructType, Callable]:
     """The schema of pieces, and the function that makes them from batches of (id, text)."""
-    end = np.array([end_id], "<u4").tobytes()
     fields = [id_field, *(T.StructField(c, T.LongType()) for c in ("piece", "start", "length", "ids_crc32"))]
     schema = T.StructType(fields + [T.StructField("ids", T.BinaryType())] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_ids = _ids(tokenizer)
-        ids_of = held_ids.of_all
+        ids_of = _ids(tokenizer).of_column
 
         def out() -> pa.RecordBatch:
             arrays = [keys.take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in held[:4])]
@@ -155,8 +98,7 @@ def _cutter(id_field: T.StructField, tokenizer: str, size: int, end_id: int, wit
         for batch in batches:
             keys, rows, held, size_held = batch.column(0), [], ([], [], [], [], []), 0
             for first, n in slices(batch.column(1), SLICE_BYTES):
-                for row, ids in enumerate(ids_of(batch.column(1).slice(first, n).to_pylist()), first):
-                    ids = memoryview(ids + end)
+                for row, ids in enumerate(ids_of(batch.column(1).slice(first, n), end_id), first):
                     for piece, (start, length) in enumerate(cuts(len(ids) // 4, size)):
                         part = ids[4 * start : 4 * (start + length)]
                         rows.append(row)
@@ -168,7 +110,6 @@ def _cutter(id_field: T.StructField, tokenizer: str, size: int, end_id: int, wit
                     rows, held, size_held = [], ([], [], [], [], []), 0
             if rows:
                 yield out()
-        held_ids.shrink()
 
     return schema, run
 

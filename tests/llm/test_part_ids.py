@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from repoquarry.llm import token_alignment
+from repoquarry.llm import best_fit_packing, token_alignment
 from repoquarry.llm.part_ids import ByteLevel, PartIds
 from repoquarry.llm.queries import piece_path, tokenizer_path
 
@@ -70,3 +71,22 @@ def test_known_parts_reach_no_tokenizer_again():
     mixed = ["begin" + "".join(draw.choice(" \n") + draw.choice(words) for _ in range(300)) for _ in range(100)]
     parts.of_column(pa.array(mixed))
     assert side.n == 0
+
+
+def test_parts_stay_with_a_worker(monkeypatch):
+    """A worker's next task encodes nothing that it knows, in packing and alignment."""
+    words = pa.array([" ".join(f"{i:x}z" for i in range(160_000))])
+    ids = best_fit_packing._ids(tokenizer_path())
+    list(ids.of_column(words, 0))
+    known = ids.parts.n
+    assert known >= 160_000 and best_fit_packing._ids(tokenizer_path()) is ids
+    list(ids.of_column(words, 0))
+    assert ids.parts.n == known
+    assert token_alignment._aligner(tokenizer_path(), piece_path()) is token_alignment._aligner(tokenizer_path(), piece_path())
+
+
+def test_end_ids_follow_every_text():
+    ids = best_fit_packing._Ids(tokenizer_path())
+    texts = ["one two", None, "", "one\ntwo "]
+    found = [np.frombuffer(x, "<u4").tolist() for x in ids.of_column(pa.array(texts), 7)]
+    assert found == [[*(ids.tokenizer.encode(t).ids if t else []), 7] for t in texts]
