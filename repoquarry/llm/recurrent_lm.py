@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .words import mix, slices, span_hashes, split_words, word_hashes
+from .words import slices, split_words, tail_hashes, word_hashes
 
 _U = np.uint64
 VOCAB, GROUPS, CLASS_SIZE = 1024, 16, 32
@@ -41,7 +41,7 @@ ROUNDS = 4
 LANES, WINDOW = 512, 16
 RATES = (0.02, 0.01, 0.006, 0.003)
 FREQUENT = 1 << 19
-SCORE_BYTES = 6 << 20
+SCORE_BYTES = 8 << 20
 PIECE = 4096  # numbers of a model that travel in one row
 SMOOTH = 0.1
 LEAD_BITS = 20
@@ -51,8 +51,7 @@ END = -16  # key of the end of a text; its group bits are 0
 def keys_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(text, key) of all words and ends of text, in order. The last 4 bits of a key name the group."""
     words = split_words(column)
-    tail = np.maximum(words.end - 2, words.start)
-    group = span_hashes(words.data, tail, words.end, lower=True) & _U(GROUPS - 1)
+    group = tail_hashes(words, lower=True) & _U(GROUPS - 1)
     key = ((word_hashes(words, lower=True) & ~_U(GROUPS - 1)) | group).view(np.int64)
     n = words.n_docs
     at = np.searchsorted(words.doc, np.arange(n), side="right")
@@ -135,15 +134,20 @@ def initial(mass: np.ndarray) -> dict[str, np.ndarray]:
     return w
 
 
+def _sigmoid(v: np.ndarray) -> np.ndarray:
+    """In place; exp takes less than half the time of tanh."""
+    np.negative(v, out=v)
+    with np.errstate(over="ignore"):  # 1 / inf is 0
+        np.exp(v, out=v)
+    v += 1
+    return np.reciprocal(v, out=v)
+
+
 def step(w: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     """(new state, update gate, reset gate, candidate, recurrent part of the candidate)."""
     a, g = w["inputs"].take(x, axis=0), h @ w["state"]
-    gates = a[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN]
-    gates *= 0.5
-    np.tanh(gates, out=gates)
-    gates += 1
-    gates *= 0.5
-    z, r, gn = gates[:, :HIDDEN], gates[:, HIDDEN:], g[:, 2 * HIDDEN :]
+    z, r = (_sigmoid(a[:, k : k + HIDDEN] + g[:, k : k + HIDDEN]) for k in (0, HIDDEN))
+    gn = np.ascontiguousarray(g[:, 2 * HIDDEN :])
     n = r * gn
     n += a[:, 2 * HIDDEN :]
     np.tanh(n, out=n)
@@ -156,7 +160,8 @@ def step(w: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
 def _softmax_log(z: np.ndarray, place: np.ndarray, d: bool) -> np.ndarray:
     """Log-probability at ``place`` of each row of logits. With ``d``, z becomes the gradient of its negative."""
     rows = np.arange(len(z))
-    np.minimum(z, 80, out=z)
+    if z.max(initial=0) > 80:
+        np.minimum(z, 80, out=z)
     out = z[rows, place]
     np.exp(z, out=z)
     total = z @ np.ones(z.shape[1], z.dtype)
@@ -235,9 +240,9 @@ def gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, h: np.n
         dg[:, 2 * HIDDEN :] = dr
         dr *= gn
         dr -= dr * r
-        dg[:, :HIDDEN], dg[:, HIDDEN : 2 * HIDDEN] = dz, dr
         da = d_inputs[t * lanes : (t + 1) * lanes]
-        da[:, : 2 * HIDDEN], da[:, 2 * HIDDEN :] = dg[:, : 2 * HIDDEN], dn
+        da[:, :HIDDEN], da[:, HIDDEN : 2 * HIDDEN], da[:, 2 * HIDDEN :] = dz, dr, dn
+        dg[:, : 2 * HIDDEN] = da[:, : 2 * HIDDEN]
         grad["state"] += hp.T @ dg
         carry += dg @ back
         if len(firsts_of[t]):

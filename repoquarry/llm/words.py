@@ -158,6 +158,13 @@ def word_hashes(words: Words, lower: bool = False) -> np.ndarray:
     return span_hashes(words.data, words.start, words.end, lower)
 
 
+def tail_hashes(words: Words, lower: bool = False) -> np.ndarray:
+    """Hashes of the last two bytes of each word, or of its only one, equal to those of spans."""
+    table = _LOWER if lower else _BYTES
+    two, last = words.end - words.start > 1, table[words.data[words.end - 1]]
+    return mix(np.where(two, table[words.data[words.end - 2]] + last * _U(_BASE), last) + np.where(two, _U(2), _U(1)) * _U(0xA24BAED4963EE407))
+
+
 def string_hashes(texts: list[str], lower: bool = False) -> np.ndarray:
     """Hashes of given words, equal to those of the same words in a text."""
     parts = [t.encode() for t in texts]
