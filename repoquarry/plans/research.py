@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from ..functions.timing import RESOLUTION_LABELS
 from ..operators.features import ISSUE_FEATURES, closed_issues, issue_features, life_span_report
 from ..operators.joins import sampled_issues
+from ..session import materialize
 from ..sources.tables import read_sample
 from .evaluate import Evaluation, fit_and_evaluate
 
@@ -29,6 +30,6 @@ def predict_resolution_times(
     """
     sample = read_sample(issues.sparkSession, sample_csv)
     chosen = closed_issues(sampled_issues(issues, sample), KEY, issue_limit)
-    rows = issue_features(chosen, commits, KEY)
+    rows = materialize(issue_features(chosen, commits, KEY))
     result = fit_and_evaluate(rows, KEY, ISSUE_FEATURES, RESOLUTION_LABELS, "RQ MODEL REPORT", model_type, max_depth)
     return result and replace(result, skipped=life_span_report(chosen))

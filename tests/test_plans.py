@@ -1,8 +1,12 @@
+import glob
+import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from repoquarry.functions.text import commit_label
 from repoquarry.functions.timing import RESOLUTION_LABELS
 from repoquarry.operators import clustering, modeling
 from repoquarry.operators.features import commit_feature_names, commit_features
@@ -11,6 +15,7 @@ from repoquarry.plans import mine
 from repoquarry.plans.analyze import analyze
 from repoquarry.plans.predict import commit_feature_table, predict_commit_types
 from repoquarry.plans.research import predict_resolution_times
+from repoquarry.session import discard, materialize, release, shared_folder
 from repoquarry.sources.tables import read_table, write_csv, write_lines
 
 THEMES = {
@@ -95,6 +100,59 @@ def test_commit_features_of_repeated_keys(spark):
     assert rows[1].cluster_0_frac == pytest.approx(3 / 5) and rows[1].type_token_ratio == pytest.approx(4 / 5)
 
 
+def test_commit_features_by_hand(spark):
+    """Shares and overlaps of random commits as loops count them; no commit's terms go to more than a few tasks."""
+    rng = random.Random(5)
+    stems = {"running": "run", "runs": "run", "run": "run", "fixes": "fix", "fix": "fix", "mocks": "mock", "zebra": "zebra", "docs": "doc"}
+    rows = [(rng.choice([None, *range(12)]), " ".join(rng.choice([*stems, "the", "of"]) for _ in range(rng.randrange(9)))) for _ in range(60)]
+    commits = spark.createDataFrame(rows, "id int, message string")
+    clusters = {"run": 0, "fix": 1, "doc": 2, "mock": 7}
+    ids, comments = {"run", "mock", "far"}, {"zebra", "fix"}
+    words = lambda names: spark.createDataFrame([(n,) for n in names], "token string")
+    table = commit_features(commits, "id", "message", spark.createDataFrame([*clusters.items()], "token string, cluster int"), 3, words(ids), words(comments))
+    found = {r.id: r for r in table.collect()}
+    assert len(found) == len({key for key, _ in rows}) and "REPARTITION_BY_COL" in table._jdf.queryExecution().executedPlan().toString()
+    labels = [r.label for r in commits.select(commit_label(F.col("message")).alias("label")).collect()]
+    for key, row in found.items():
+        own = [(label, stems[w]) for (k, text), label in zip(rows, labels) if k == key for w in text.split() if w in stems]
+        n, terms = len(own), set(own)  # a term counts once a label
+        shares = [sum(clusters.get(term) == i for _, term in own) / max(n, 1) for i in range(3)]
+        m = [sum(term in side for _, term in terms) for side in (ids, comments)]
+        overlaps = [hits / (len(terms) + len(side) - hits) if n else 0.0 for hits, side in zip(m, (ids, comments))]
+        assert tuple(row)[2:] == pytest.approx((*shares, math.log1p(n), len(terms) / max(n, 1), *overlaps), abs=1e-9)
+        assert row.label == max(label for (k, _), label in zip(rows, labels) if k == key)
+
+
+def test_disk_given_back(spark, study, tmp_path):
+    """Stored tokens are deleted with the last use, shuffles of what is materialized at a release."""
+    folder = shared_folder(spark).removeprefix("file://")
+    before = set(glob.glob(f"{folder}/stored-*"))
+    assert commit_feature_table(*study, k=3).count() == 200
+    assert set(glob.glob(f"{folder}/stored-*")) == before
+    shuffles = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    rows = materialize(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().join(spark.range(50).withColumnRenamed("id", "k"), "k"))
+    held = shuffles.size()
+    for _ in range(10):  # the cleaner runs beside this
+        release(spark)
+        if shuffles.size() < held:
+            break
+        time.sleep(0.1)
+    assert shuffles.size() < held and rows.count() == 10
+    kept = spark.range(3)
+    kept.write.parquet(str(tmp_path / "mine"))
+    discard(spark.read.parquet(str(tmp_path / "mine")))  # not written by stored()
+    assert spark.read.parquet(str(tmp_path / "mine")).count() == 3
+
+
+def test_points_as_narrow_as_they_come(spark):
+    words = spark.createDataFrame([("a",), ("b",)], "token string")
+    vectors = spark.createDataFrame([("a", [0.1, 2.0])], "token string, vector array<float>")
+    points = clustering.with_vectors(words, vectors)
+    assert points.schema["vector"].dataType.simpleString() == "array<double>"
+    assert "cast(vector" in points._jdf.queryExecution().optimizedPlan().toString()  # after what is stored
+    assert {r.token: r.vector for r in points.collect()} == {"a": [pytest.approx(0.1, abs=1e-8), 2.0], "b": [0.0, 0.0]}
+
+
 def test_analysis(spark, study):
     result = analyze(*study, k=3, top_n=2)
     assert {(r.source_a, r.source_b) for r in result.alignment.collect()} == {
