@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, release
 from .components import compact, connected
 from .words import mix, released, roll, slices, split_words, word_hashes
 
@@ -244,8 +244,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     sets = materialize(rows.mapInArrow(measured, "id long, n long, sid long, " + ", ".join(f"{c} long" for c in SKETCH)))
     nodes = sets.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("rep"), *(F.max(c).alias(c) for c in ("n", *SKETCH)))
     nodes = materialize(nodes)
+    release(rows.sparkSession)
     keys = rows.select("text").mapInArrow(entered, "key long, sid long").groupBy("key").agg(F.min("sid").alias("leader"), F.max("sid").alias("last"))
     shared = materialize(keys.filter("leader < last").select("key", "leader"))
+    release(rows.sparkSession)  # of the entries of all blocks
     with_partner = _bitmap(shared, "key")
 
     @released
@@ -259,6 +261,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
 
     members = rows.select("text").mapInArrow(entered_again, "key long, sid long").distinct()
     members = materialize(members.join(shared, "key"))
+    del shared
+    release(rows.sparkSession)
     found = _links(members, rows, nodes, shingle, percent)
     roots = nodes.join(found, nodes.sid == found.node, "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -277,6 +281,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     same = F.col(f"`{id_col}`") == F.col("__id")
     kept = docs.join(placed.filter("__id <> component_id").select("__id").distinct(), same, "left_anti")
     twice = materialize(placed.groupBy("__id").count().filter("count > 1").select("__id"))
+    release(docs.sparkSession)
     if not twice.count():
         return kept
     return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([id_col, text_col]))
@@ -336,13 +341,15 @@ def _links(members: DataFrame, rows: DataFrame, nodes: DataFrame, shingle: int,
     pairs = _with_one(members, "leader", nodes, percent)
     members = members.drop("leader")
     found, n_members, before, whole = None, members.count(), None, False
+    pairs = compact(pairs)
     for step in itertools.count(1):
-        pairs = compact(pairs)
+        release(rows.sparkSession)
         new = _verified(pairs, _texts(rows, nodes, pairs, shingle), shingle, percent)
         # Components so far stand for the links that made them.
         found = connected(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if whole:
             return found
+        release(rows.sparkSession)  # of the texts of all pairs
         placed = materialize(members.join(found, members.sid == found.node, "left").select("key", "sid", F.coalesce("root", "sid").alias("root")))
         sizes = placed.groupBy("key", "root").agg(F.count("*").alias("held"), F.max_by("sid", F.xxhash64("sid", F.lit(step))).alias("one"))
         largest = sizes.groupBy("key").agg(F.max_by(F.struct("root", "one"), F.struct("held", "root")).alias("top"), F.sum("held").alias("all"), F.max("held").alias("most"))
@@ -353,5 +360,6 @@ def _links(members: DataFrame, rows: DataFrame, nodes: DataFrame, shingle: int,
         unsettled = placed.join(largest.select("key", "top", "one"), "key")
         # All pairs of a block in different components, once no more than the members are left or a round has not settled half of them.
         whole = work <= n_members or before is not None and 2 * work > before
-        pairs = _with_all(unsettled, nodes, percent) if whole else _with_one(unsettled.filter("root <> top"), "one", nodes, percent)
+        pairs = compact(_with_all(unsettled, nodes, percent) if whole else _with_one(unsettled.filter("root <> top"), "one", nodes, percent))
         before = work
+        del new, placed, sizes, largest, unsettled

@@ -15,6 +15,7 @@ from repoquarry.llm import components, licence_classifier, ordinal_quality, pari
 from repoquarry.llm import template_decontamination as templates
 from repoquarry.llm import toxic_segments, url_rules, warc_index
 from repoquarry.llm.queries import in_fold, tokenizer_path
+from repoquarry.session import release
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = " ".join(f"long{i * i % 7919}" for i in range(40_000))
@@ -606,3 +607,17 @@ def test_toxic_documents(spark, edges, empty):
     assert toxic_segments.score_documents(empty, model).count() == 0
     nothing = toxic_segments.fit(edges, labels.limit(0), F.lit(True))
     assert all(r["score"] < 0.5 for r in toxic_segments.score_documents(edges, nothing).collect())
+
+
+def test_near_duplicates_give_disk_back(spark):
+    """Shuffles of rounds that are over are gone when the rows come back, without waiting for the driver's memory to fill."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") + str(rng.randrange(40)) for _ in range(60)) for _ in range(40)]
+    texts += [text.replace(" ", " x ", 1) for text in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    release(spark)
+    shuffles = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    held = shuffles.size()
+    kept = parity_join.keep_one(docs)
+    assert shuffles.size() - held < 10
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
