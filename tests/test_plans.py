@@ -153,6 +153,28 @@ def test_points_as_narrow_as_they_come(spark):
     assert {r.token: r.vector for r in points.collect()} == {"a": [pytest.approx(0.1, abs=1e-8), 2.0], "b": [0.0, 0.0]}
 
 
+def test_vectors_are_computed_once(spark):
+    """The dimension comes from what is stored; counted are the rows that the vectors are made of."""
+    words = spark.createDataFrame([("a", 3), ("b", 1), ("c", 2), (None, 1)], "token string, n long")
+    made = spark.sparkContext.accumulator(0)
+
+    def vector(row):
+        made.add(1)
+        return row
+
+    rows = [("z", None), ("a", [0.5, 2.0, 1.0]), ("c", None), (None, [9.0, 9.0, 9.0])]
+    vectors = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(vector), "token string, vector array<float>")
+    points = clustering.with_vectors(words, vectors)
+    expected = {"a": [0.5, 2.0, 1.0], "b": [0.0] * 3, "c": [0.0] * 3, None: [0.0] * 3}
+    assert {r.token: r.vector for r in points.collect()} == expected and made.value == len(rows)
+    # no token has a vector: zeros as long as the vectors that there are
+    others = clustering.with_vectors(words.where("token = 'b'"), vectors)
+    assert [(r.token, r.n, r.vector) for r in others.collect()] == [("b", 1, [0.0] * 3)]
+    for none in (vectors.where("token = 'z'"), vectors.limit(0)):
+        assert [r.vector for r in clustering.with_vectors(words.limit(1), none).collect()] == [[0.0]]
+    assert clustering.with_vectors(words.limit(0), vectors).collect() == []
+
+
 def test_analysis(spark, study):
     result = analyze(*study, k=3, top_n=2)
     assert {(r.source_a, r.source_b) for r in result.alignment.collect()} == {
