@@ -55,17 +55,18 @@ class KeyedTable:
         _, folders, _, schema = self._current()
         return None if schema is None else self._files(folders, schema) if folders else self.spark.createDataFrame([], schema)
 
-    def merge(self, batch: DataFrame, merged: Callable[[DataFrame | None, DataFrame], DataFrame]) -> list[int]:
+    def merge(self, batch: DataFrame, merged: Callable[[DataFrame | None, DataFrame], DataFrame], materialized: bool = False) -> list[int]:
         """Put ``merged(stored rows, batch)`` in place of the buckets that the batch falls into, and return their numbers.
 
         ``merged`` gets the stored rows of these buckets alone, or None, and must keep every row in the bucket of its key.
+        The batch is read twice; it is materialized for this unless the caller has done so.
         """
         version, folders, n, schema = self._current()
 
         def bucket() -> Column:  # keys as text, so that an int and a long are one key
             return F.pmod(F.xxhash64(*(F.col(k).cast("string") for k in self.keys)), F.lit(n)).cast("int")
 
-        batch = materialize(batch)
+        batch = batch if materialized else materialize(batch)
         touched = sorted(r[0] for r in batch.select(bucket().alias("b")).distinct().collect())
         if not touched and schema is not None:
             return []

@@ -30,16 +30,31 @@ class StemDictionary:
         stems = materialize(with_stems(new))
         n = stems.count()
         if n or known is None:
-            self.table.merge(stems, lambda old, batch: batch if old is None else old.unionByName(batch))
+            self._add(stems)
         return n
 
+    def _add(self, stems: DataFrame) -> None:
+        """Store stems of words that are not stored; materialized."""
+        self.table.merge(stems, lambda old, batch: batch if old is None else old.unionByName(batch), materialized=True)
+
+    def _stems_of(self, words: DataFrame) -> DataFrame:
+        """Distinct words with their stored ``stem``; a word that is ``new`` has the stem that is to be stored, and only it is stemmed."""
+        known = self.table.read()
+        if known is None:
+            return with_stems(words).withColumn("new", F.lit(True))
+        stored = known.select("token", F.col("stem").alias("__stored"), F.lit(True).alias("__known"))
+        new = F.col("__known").isNull()
+        found = with_stems(words.join(stored, "token", "left"))
+        return found.select(*words.columns, F.when(new, F.col("stem")).otherwise(F.col("__stored")).alias("stem"), new.alias("new"))
+
     def stemmed_rows(self, tokens: DataFrame, spread_by: Sequence[str]) -> DataFrame:
         """Token rows with each token replaced by its stored stem, after the dictionary has grown by their words.
 
-        The words are counted once; the most frequent of them are broadcast with their stems, and only rows of
-        others are shuffled, so ``spread_by`` is not needed any more.
+        The words are counted once and meet the dictionary once, which gives all their stems, and those that it has to
+        grow by. The most frequent words are broadcast with their stems, and only rows of others are shuffled, so
+        ``spread_by`` is not needed any more.
         """
         weights = materialize(key_weights(tokens, ["token"]))
-        self.grow(weights)
-        stems = materialize(weights.join(self.table.read(), "token"))
-        return frequent_join(tokens, stems, "token", "inner").drop("token").withColumnRenamed("stem", "token")
+        stems = materialize(self._stems_of(weights))
+        self._add(stems.where(F.col("new")).select("token", "stem"))
+        return frequent_join(tokens, stems.drop("new"), "token", "inner").drop("token").withColumnRenamed("stem", "token")

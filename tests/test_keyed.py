@@ -93,3 +93,29 @@ def test_a_corpus_seen_before_stems_nothing(spark, tmp_path):
     assert "LeftAnti" in plan and "__salt" not in plan  # rows of frequent words meet their stems in a broadcast
     empty = StemDictionary(spark, f"file://{tmp_path}/none")
     assert empty.grow(first.limit(0)) == 0 and empty.table.read().count() == 0
+
+
+def test_words_meet_the_stored_stems_once(spark, tmp_path, monkeypatch):
+    from repoquarry.sources import keyed, stems as source
+    from repoquarry.sources.stems import StemDictionary
+
+    tokens = spark.createDataFrame([(0, "running"), (1, "runs"), (2, "odd"), (3, None), (4, "runs"), (5, "flies"), (6, "void")], "pos int, token string")
+    stems = StemDictionary(spark, f"file://{tmp_path}/stems", buckets=4)
+    # a stored stem holds, whatever the stemmer says; so do words that no row has
+    kept = spark.createDataFrame([("odd", "strange"), ("void", None), ("other", "other")], "token string, stem string")
+    stems.table.merge(kept, lambda old, batch: batch)
+    calls = []
+    for module in (keyed, source):
+        monkeypatch.setattr(module, "materialize", lambda df, f=module.materialize: calls.append("materialize") or f(df))
+    monkeypatch.setattr(stems.table, "read", lambda f=stems.table.read: calls.append("read") or f())
+    found = stems.stemmed_rows(tokens, ["pos"])
+    assert sorted(calls) == ["materialize", "materialize", "read"]
+    expected = {(0, "run"), (1, "run"), (2, "strange"), (4, "run"), (5, "fli"), (6, None)}
+    assert {(r.pos, r.token) for r in found.collect()} == expected and found.count() == 6 and found.columns == ["pos", "token"]
+    assert {tuple(r) for r in stems.table.read().collect()} == {
+        ("odd", "strange"), ("void", None), ("other", "other"), ("running", "run"), ("runs", "run"), ("flies", "fli")}
+    assert stems.grow(tokens) == 0 and stems.stemmed_rows(tokens.limit(0), ["pos"]).count() == 0
+    # a dictionary that is not stored yet, with rows and without
+    for name, rows, n in (("none", tokens, 6), ("void", tokens.where("token IS NULL"), 0)):
+        fresh = StemDictionary(spark, f"file://{tmp_path}/{name}", buckets=4)
+        assert fresh.stemmed_rows(rows, ["pos"]).count() == n and fresh.table.read().count() == max(n - 1, 0)
